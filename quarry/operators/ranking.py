@@ -122,45 +122,44 @@ def percent_rank_of(totals: DataFrame, value: str = "total", buckets: int = 32,
     ``method='window'`` uses ``rank()`` over one global window (one task).
     ``method='buckets'`` is the scale form: the rank of a value is one plus
     the number of rows with a smaller value, so it only depends on the
-    histogram of distinct values.  The histogram is cut into ``buckets``
-    value ranges (approximate quantiles; the cut need not be exact, only
-    monotone), per-bucket counts give offsets through a window over at most
-    ``buckets`` rows, and the rank inside a bucket is a running count in a
-    window partitioned by bucket.
+    histogram of distinct values (a value shared by a third of all rows is
+    one histogram row).  The histogram is cut into ``buckets`` value ranges
+    (the cut only needs to be monotone in the value, not balanced);
+    per-bucket counts give the offsets through a window over at most
+    ``buckets + 1`` rows, which is broadcast back; the rank inside a bucket is
+    a running count in a window partitioned by bucket.  The ranks of the
+    distinct values are then joined to the rows by value.
     """
-    n_minus_one = totals.agg((F.count(F.lit(1)) - 1).alias("_nm1")).scalar()
     if method == "window":
         w = Window.orderBy(F.col(value).asc_nulls_last())
         return (totals.withColumn("_rm1", (F.rank().over(w) - 1).cast("long"))
-                      .withColumn("_nm1", n_minus_one))
+                      .withColumn("_nm1", F.count(F.lit(1)).over(Window.partitionBy()) - 1))
     if method != "buckets":
         raise ValueError(f"unknown method {method!r}")
     hist = totals.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = hist.where(F.col("_v").isNotNull()).agg(
-        F.percentile_approx(to_double(F.col("_v")), fractions).alias("_cuts")).scalar()
-    vd = to_double(F.col("_v"))
-    # bucket = number of cut points below the value: monotone in the value,
-    # which is all the offsets need.  (A scalar subquery may not appear in a
-    # higher-order function, hence one comparison per cut point; Spark runs
-    # the subquery once and reuses it.)
-    below = [F.coalesce((vd > F.element_at(cuts, i)).cast("int"), F.lit(0))
-             for i in range(1, buckets)]
-    bucket = F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(sum(below[1:], below[0]))
+    # Equal-width buckets over asinh(value): monotone, needs only the range
+    # (one scalar subquery), and spreads heavy-tailed totals over buckets.
+    x = F.asinh(to_double(F.col("_v")))
+    rng = hist.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
+    scaled = F.floor((x - lo) / (hi - lo) * buckets).cast("int")
+    bucket = (F.when(F.col("_v").isNull(), F.lit(buckets))
+               .when(hi > lo, F.least(scaled, F.lit(buckets - 1)))
+               .otherwise(F.lit(0)))
     hist = hist.withColumn("_b", bucket)
     per_bucket = hist.groupBy("_b").agg(F.sum("_c").alias("_bc"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         "_b",
-        F.coalesce(F.sum("_bc").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
+        F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
+        (F.sum("_bc").over(Window.partitionBy()) - 1).alias("_nm1"))
     inner = Window.partitionBy("_b").orderBy(F.col("_v").asc_nulls_last()) \
                   .rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (hist.join(offsets, "_b")
-                 .select("_v", (F.col("_off") + F.coalesce(F.sum("_c").over(inner), F.lit(0)))
+    ranks = (hist.join(F.broadcast(offsets), "_b")
+                 .select("_v", "_nm1",
+                         (F.col("_off") + F.coalesce(F.sum("_c").over(inner), F.lit(0)))
                          .cast("long").alias("_rm1")))
-    return (totals.join(ranks, F.col(value).eqNullSafe(F.col("_v")))
-                  .drop("_v")
-                  .withColumn("_nm1", n_minus_one))
+    return totals.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def traffic_percent_rank(totals: DataFrame, method: str = "buckets", buckets: int = 32,
