@@ -2,48 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
 
-def k_hop(edges: DataFrame, start: DataFrame, *, k: int = 4, mode: str = "exact",
-          src: str = "src", dst: str = "dst", node: str = "node",
-          limit: int | None = None, checkpoint_every: int = 8,
-          out: str = "follower_id") -> DataFrame:
+def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame], *,
+          k: int = 4, mode: str = "exact", src: str = "src", dst: str = "dst",
+          node: str = "node", limit: int | None = None, checkpoint_every: int = 4,
+          materialize_edges: bool = True, out: str = "follower_id") -> DataFrame:
     """Distinct nodes that reach a start node along ``src -> dst`` edges in
-    exactly ``k`` steps (``mode='exact'``, walks: nodes may repeat, cycles are
+    exactly ``k`` steps (``mode='exact'``: walks, nodes may repeat, cycles are
     allowed) or in 1..k steps (``mode='within'``).
 
+    ``start`` is a frame with a ``node`` column, or a function that derives
+    it from the (materialised) edges.
+
     Frontier iteration: the set of nodes at step s depends only on the set at
     step s - 1, so each level is a semi-join of the edges with the previous
-    frontier followed by ``distinct`` - no per-path rows, which a recursive
-    UNION ALL would grow exponentially.  In ``within`` mode nodes already
-    reached are removed from the next frontier (breadth-first search: the
-    union is unchanged).  The loop only builds the plan; for long loops the
-    frontier is checkpointed into the cluster's checkpoint folder every
-    ``checkpoint_every`` levels to cut the lineage.
+    frontier followed by ``distinct``: no per-path rows, which a recursive
+    UNION ALL grows exponentially.  ``within`` is the distinct union of the
+    frontiers.
+
+    The edges are read once per level, so they are checkpointed first (into
+    the cluster's checkpoint folder, ``spark.checkpoint.dir``): every level
+    then scans the materialised edges instead of re-deriving them, and the
+    lineage survives lost executors.  The driver loop only builds the plan;
+    every ``checkpoint_every`` levels the frontier (and the union so far) is
+    checkpointed as well, which keeps the plan linear in ``k``.
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
     e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"))
+    if materialize_edges and k > 1:
+        ensure_checkpoint_dir(e.sparkSession)
+        e = e.checkpoint(eager=True)
+    if callable(start):
+        start = start(e.select(F.col("_s").alias(src), F.col("_d").alias(dst)))
     frontier = start.select(F.col(node).alias("_n")).distinct()
     reached = None
     for step in range(1, k + 1):
-        nxt = (e.join(frontier, F.col("_d") == F.col("_n"), "left_semi")
-                .select(F.col("_s").alias("_n"))
-                .distinct())
+        frontier = (e.join(frontier, F.col("_d") == F.col("_n"), "left_semi")
+                     .select(F.col("_s").alias("_n"))
+                     .distinct())
         if mode == "within":
-            if reached is not None:
-                nxt = nxt.join(reached, "_n", "left_anti")
-            reached = nxt if reached is None else reached.unionByName(nxt)
-        frontier = nxt
+            reached = frontier if reached is None else reached.unionByName(frontier)
         if checkpoint_every and step % checkpoint_every == 0 and step < k:
             ensure_checkpoint_dir(frontier.sparkSession)
             frontier = frontier.checkpoint(eager=True)
             if reached is not None:
-                reached = reached.checkpoint(eager=True)
-    res = (frontier if mode == "exact" else reached).select(F.col("_n").alias(out))
-    res = res.orderBy(out)
+                reached = reached.distinct().checkpoint(eager=True)
+    res = frontier if mode == "exact" else reached.distinct()
+    res = res.select(F.col("_n").alias(out)).orderBy(out)
     return res.limit(limit) if limit is not None else res

@@ -114,21 +114,23 @@ def _rounded_percent(rank_minus_one: Column, n_minus_one: Column) -> Column:
     return F.when(n_minus_one <= 0, F.lit(0.0)).otherwise(tenths / F.lit(10.0))
 
 
-def percent_rank_of(totals: DataFrame, value: str = "total", buckets: int = 32,
-                    method: str = "buckets") -> DataFrame:
+def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buckets",
+                    resolution: int = 64) -> DataFrame:
     """Adds ``_rm1`` (rank - 1, ascending, ties share the lowest rank, NULLs
     last) and ``_nm1`` (rows - 1) to ``totals``.
 
-    ``method='window'`` uses ``rank()`` over one global window (one task).
-    ``method='buckets'`` is the scale form: the rank of a value is one plus
+    ``method='window'`` uses ``rank()`` over one global window: one task,
+    right when the rows are few by construction (a fixed node domain).
+    ``method='buckets'`` is the scale form.  The rank of a value is one plus
     the number of rows with a smaller value, so it only depends on the
     histogram of distinct values (a value shared by a third of all rows is
-    one histogram row).  The histogram is cut into ``buckets`` value ranges
-    (the cut only needs to be monotone in the value, not balanced);
-    per-bucket counts give the offsets through a window over at most
-    ``buckets + 1`` rows, which is broadcast back; the rank inside a bucket is
-    a running count in a window partitioned by bucket.  The ranks of the
-    distinct values are then joined to the rows by value.
+    one histogram row).  Values fall into log-spaced buckets,
+    ``floor(asinh(v) * resolution)``: monotone in the value, and at most
+    ~2 * 710 * resolution buckets exist for any double, so the per-bucket
+    counts, their running offsets (one small window) and the broadcast of
+    those offsets are bounded whatever the data size.  The rank inside a
+    bucket is a running count in a window partitioned by bucket; the ranks of
+    the distinct values are then joined to the rows by value.
     """
     if method == "window":
         w = Window.orderBy(F.col(value).asc_nulls_last())
@@ -137,15 +139,9 @@ def percent_rank_of(totals: DataFrame, value: str = "total", buckets: int = 32,
     if method != "buckets":
         raise ValueError(f"unknown method {method!r}")
     hist = totals.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    # Equal-width buckets over asinh(value): monotone, needs only the range
-    # (one scalar subquery), and spreads heavy-tailed totals over buckets.
-    x = F.asinh(to_double(F.col("_v")))
-    rng = hist.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
-    scaled = F.floor((x - lo) / (hi - lo) * buckets).cast("int")
-    bucket = (F.when(F.col("_v").isNull(), F.lit(buckets))
-               .when(hi > lo, F.least(scaled, F.lit(buckets - 1)))
-               .otherwise(F.lit(0)))
+    last = 1 << 30  # NULL totals rank after every value
+    bucket = F.when(F.col("_v").isNull(), F.lit(last)).otherwise(
+        F.floor(F.asinh(to_double(F.col("_v"))) * resolution).cast("int"))
     hist = hist.withColumn("_b", bucket)
     per_bucket = hist.groupBy("_b").agg(F.sum("_c").alias("_bc"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -162,11 +158,11 @@ def percent_rank_of(totals: DataFrame, value: str = "total", buckets: int = 32,
     return totals.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
-def traffic_percent_rank(totals: DataFrame, method: str = "buckets", buckets: int = 32,
+def traffic_percent_rank(totals: DataFrame, method: str = "buckets", resolution: int = 64,
                          out: str = "airport", rank_out: str = "percent_rank") -> DataFrame:
     """Percent rank of each node's total, ``(rank - 1) * 100 / (n - 1)``
     rounded to one decimal; ascending; ties share a rank."""
-    ranked = percent_rank_of(totals, "total", buckets=buckets, method=method)
+    ranked = percent_rank_of(totals, "total", method=method, resolution=resolution)
     pr = _rounded_percent(F.col("_rm1"), F.col("_nm1"))
     return (ranked.select(F.col("node").alias(out), pr.alias(rank_out))
                   .orderBy(rank_out, out))

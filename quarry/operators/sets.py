@@ -45,6 +45,7 @@ def basket_intersect_except_sets(rows: DataFrame, cols: list, attr: str, have_al
 
 def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int = 3,
                       drop_latest: bool = True, limit: int | None = None,
+                      period_bound: int | None = None,
                       key_out: str = "part_id", period_out: str = "month",
                       out: str = "part_summary") -> DataFrame:
     """Rolling sum over the current and ``width - 1`` preceding periods of a
@@ -55,14 +56,30 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     The grid is never built.  Its periods are the distinct periods of the
     data, so "the 2 preceding grid rows" means the 2 preceding distinct
     periods.  Each period gets its dense index (one window over the distinct
-    periods only, e.g. at most 12 months), and the sum is a RANGE frame over
-    that index on the active rows: missing grid rows contributed 0 anyway.
-    Rows per key are bounded by the number of periods.
+    periods only), and the sum is a RANGE frame over that index on the active
+    rows: missing grid rows contributed 0 anyway.  Rows per key are bounded
+    by the number of periods.
+
+    The index is derived from the (key, period) totals themselves, so the
+    fact table is scanned and joined once.  ``period_bound`` states an upper
+    bound on the number of distinct periods (12 for month of year); with it
+    the index is broadcast, without it AQE decides from the runtime size.
     """
-    totals = (df.groupBy(F.col(key).alias(key_out), period.alias(period_out))
+    # Rows without a period have no place on the grid.  Filtering them here,
+    # once, also keeps the two branches below identical (the optimizer would
+    # otherwise infer the filter for one of them only).
+    totals = (df.where(period.isNotNull())
+                .groupBy(F.col(key).alias(key_out), period.alias(period_out))
                 .agg(F.sum(money(value)).alias("_t")))
-    index = (totals.select(period_out).distinct()
-                   .withColumn("_i", F.dense_rank().over(Window.orderBy(period_out))))
+    # The periods are read off the totals.  A bare distinct (or an unused
+    # aggregate) lets the optimizer drop the per-(key, period) aggregate and
+    # re-read the fact rows; consuming count(_t) (always >= 0) keeps the
+    # aggregate, sum included, so both branches share one exchange.
+    periods = (totals.groupBy(period_out).agg(F.count("_t").alias("_keys"))
+                     .where(F.col("_keys") >= 0))
+    index = periods.select(period_out, F.dense_rank().over(Window.orderBy(period_out)).alias("_i"))
+    if period_bound is not None:
+        index = F.broadcast(index)
     active = totals.where(F.col("_t") != 0).join(index, period_out)
     frame = Window.partitionBy(key_out).orderBy("_i").rangeBetween(-(width - 1), 0)
     res = active.withColumn("_s", F.sum("_t").over(frame))

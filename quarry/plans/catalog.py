@@ -334,7 +334,7 @@ def _rolling(spark, root, limit):
             .join(t.orders.select("o_orderkey", F.month("o_orderdate").alias("_month")),
                   F.col("l_orderkey") == F.col("o_orderkey")))
     return op.rolling_dense_sum(rows, "l_partkey", F.col("_month"), "l_quantity",
-                                width=3, drop_latest=True, limit=limit)
+                                width=3, drop_latest=True, limit=limit, period_bound=12)
 
 
 @query
@@ -351,8 +351,7 @@ def rolling_dense_sum_all(spark, root):
 
 def _k_hop(spark, root, mode):
     g = edges(Tables(spark, root).events)
-    start = g.agg(F.min("dst").alias("node"))
-    return op.k_hop(g, start, k=4, mode=mode)
+    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode)
 
 
 @query

@@ -2,13 +2,19 @@
 
 Reads are lazy: a ``Tables`` object only resolves paths, and Catalyst prunes
 the columns each query uses and pushes its filters into the parquet scan.
+
+A table's schema is resolved once per session and path: later reads pass it
+to the reader, which then plans without the footer-reading job that schema
+inference starts on every ``spark.read.parquet`` call.
 """
 
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -16,6 +22,18 @@ TABLES = (
 ).split()
 
 
+_SCHEMAS: dict[tuple, StructType] = {}
+_LOCK = threading.Lock()
+
+
+def _stamp(path: str):
+    try:
+        st = os.stat(path)
+        return (st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path (object store): the path is the key
+        return None
+
+
 class Tables:
     """``Tables(spark, "/data/sf0.1").orders`` -> DataFrame of orders.parquet."""
 
@@ -29,7 +47,16 @@ class Tables:
     def load(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(f"unknown table {name!r}")
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        key = (id(self.spark._jsparkSession), path, _stamp(path))
+        with _LOCK:
+            schema = _SCHEMAS.get(key)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            with _LOCK:
+                _SCHEMAS[key] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
