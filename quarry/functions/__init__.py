@@ -2,7 +2,9 @@
 
 from quarry.functions.columns import (
     before_year,
+    cents,
     day_of,
+    from_cents,
     in_month,
     in_year,
     is_false,
@@ -15,6 +17,6 @@ from quarry.functions.columns import (
 )
 
 __all__ = [
-    "before_year", "day_of", "in_month", "in_year", "is_false", "is_true",
+    "before_year", "cents", "day_of", "from_cents", "in_month", "in_year", "is_false", "is_true",
     "iso_weekday", "money", "on_days", "pg_weekday", "to_double",
 ]

@@ -22,6 +22,22 @@ def money(col) -> Column:
     return _c(col).cast(MONEY)
 
 
+def cents(col) -> Column:
+    """Exact integer hundredths of a 2-decimal amount stored as a double.
+
+    Sums of cents are exact, independent of summation order, and run on
+    plain longs (a decimal(28,2) sum allocates a BigDecimal per update).
+    Per-key sums stay far below 2**63; ANSI mode raises, not wraps, if a
+    sum ever overflows.  Products of amounts use decimals instead.
+    """
+    return F.round(_c(col) * 100).cast("long")
+
+
+def from_cents(col) -> Column:
+    """Cents back to the amount, as a double (correctly rounded)."""
+    return _c(col).cast("double") / F.lit(100.0)
+
+
 def to_double(col) -> Column:
     return _c(col).cast("double")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import money, to_double
+from quarry.functions import cents, from_cents, to_double
 
 
 def _col(c) -> Column:
@@ -37,7 +37,7 @@ def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
                        item_out: str = "part_id") -> DataFrame:
     """All rows holding their group's maximum ``value`` (ties kept, duplicate
     rows kept); ``limit`` keeps the first rows by (group, item)."""
-    w = Window.partitionBy(group).orderBy(money(value).desc())
+    w = Window.partitionBy(group).orderBy(cents(value).desc())
     res = (df.withColumn("_r", F.dense_rank().over(w))
              .where(F.col("_r") == 1)
              .select(F.col(group).alias(group_out), F.col(item).alias(item_out)))
@@ -65,17 +65,17 @@ def max_above_max_avg(df: DataFrame, key: str, trip: str, value: str,
 
     Two combinable aggregates, (key, trip) then key, stand in for a
     count-distinct next to avg/max; the largest average is a scalar subquery.
-    Averages are exact decimal sums divided by counts as doubles.
+    Averages are exact sums (integer cents) divided by counts as doubles.
     """
-    v = money(value)
+    v = cents(value)
     per_trip = (df.groupBy(F.col(key).alias("_k"), F.col(trip).alias("_t"))
                   .agg(F.sum(v).alias("_s"), F.count(v).alias("_c"), F.max(v).alias("_m")))
     per_key = (per_trip.groupBy("_k")
                        .agg(F.count("_t").alias("_trips"), F.sum("_s").alias("_s"),
                             F.sum("_c").alias("_c"), F.max("_m").alias("_m"))
                        .where(F.col("_trips") >= min_trips)
-                       .select("_k", (to_double(F.col("_s")) / F.col("_c")).alias("_avg"),
-                               to_double(F.col("_m")).alias("_max")))
+                       .select("_k", (from_cents(F.col("_s")) / F.col("_c")).alias("_avg"),
+                               from_cents(F.col("_m")).alias("_max")))
     best_avg = per_key.agg(F.max("_avg")).scalar()
     return (per_key.where(F.col("_max") > best_avg)
                    .select(F.col("_k").alias(out))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import day_of, money, to_double
+from quarry.functions import cents, day_of, to_double
 
 
 def _col(c) -> Column:
@@ -26,7 +26,7 @@ def strictly_increasing(df: DataFrame, key: str, period, value: str,
     """Keys whose per-period total rises strictly from each period present to
     the next.  Equal totals fail; a key with one period qualifies."""
     totals = (df.groupBy(F.col(key).alias("_k"), _col(period).alias("_p"))
-                .agg(F.sum(money(value)).alias("_t")))
+                .agg(F.sum(cents(value)).alias("_t")))
     w = Window.partitionBy("_k").orderBy("_p")
     prev = F.lag("_t").over(w)
     flagged = totals.select("_k", (prev.isNull() | (F.col("_t") > prev)).alias("_up"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import money, to_double
+from quarry.functions import cents, from_cents
 
 
 def basket_intersect_except(rows: DataFrame, key: str, attr: str, have_all, have_none) -> DataFrame:
@@ -70,7 +70,7 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     # otherwise infer the filter for one of them only).
     totals = (df.where(period.isNotNull())
                 .groupBy(F.col(key).alias(key_out), period.alias(period_out))
-                .agg(F.sum(money(value)).alias("_t")))
+                .agg(F.sum(cents(value)).alias("_t")))
     # The periods are read off the totals.  A bare distinct (or an unused
     # aggregate) lets the optimizer drop the per-(key, period) aggregate and
     # re-read the fact rows; consuming count(_t) (always >= 0) keeps the
@@ -86,6 +86,6 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     if drop_latest:
         latest = Window.partitionBy(key_out).orderBy(F.col("_i").desc())
         res = res.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") > 1)
-    res = (res.select(key_out, period_out, to_double(F.col("_s")).alias(out))
+    res = (res.select(key_out, period_out, from_cents(F.col("_s")).alias(out))
               .orderBy(F.col(key_out).asc(), F.col(period_out).desc()))
     return res.limit(limit) if limit is not None else res

@@ -13,13 +13,27 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import day_of, in_month, money, pg_weekday, to_double
+from quarry.functions import cents, day_of, from_cents, in_month, pg_weekday
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def revenue_units(price: str, qty_cents: str) -> Column:
+    """Exact ``sum(price * quantity)`` as a decimal amount, for a price column
+    and a column of summed quantity cents: each product fits a long and the
+    sum runs in decimal(38,0) units of 1/10000 (low volume: one row per
+    dimension key)."""
+    units = (cents(price) * F.col(qty_cents)).cast("decimal(38,0)")
+    return F.sum(units) / F.lit(10000)
+
+
+def revenue(price: str, qty_cents: str) -> Column:
+    """``revenue_units`` as a double (correctly rounded)."""
+    return revenue_units(price, qty_cents).cast("double")
+
+
 def star_revenue_filtered(fact: DataFrame, dim: DataFrame, header: DataFrame, *,
                           fact_dim_key: str, dim_key: str,
                           fact_header_key: str, header_key: str,
@@ -32,16 +46,17 @@ def star_revenue_filtered(fact: DataFrame, dim: DataFrame, header: DataFrame, *,
     ``price`` is a dimension column and ``quantity`` a fact column; header and
     dimension keys are unique (primary keys), so the header join is a semi-join.
     Plan: fact semi-join filtered headers -> sum(quantity) per dimension key
-    (partial aggregation) -> join filtered dimension -> sum per group.
+    (partial aggregation, exact integer cents) -> join filtered dimension ->
+    sum of price x quantity per group (decimal, one row per dimension key).
     """
     hdr = header.where(header_pred).select(F.col(header_key).alias("_hk"))
     kept = fact.join(hdr, F.col(fact_header_key) == F.col("_hk"), "left_semi")
     qty = (kept.groupBy(F.col(fact_dim_key).alias("_dk"))
-               .agg(F.sum(money(quantity)).alias("_q")))
+               .agg(F.sum(cents(quantity)).alias("_q")))
     d = dim.where(dim_pred).select(F.col(dim_key).alias("_dk2"), group, price)
     joined = qty.join(d, F.col("_dk") == F.col("_dk2"))
     return (joined.groupBy(group)
-                  .agg(to_double(F.sum(money(price) * F.col("_q"))).alias(out))
+                  .agg(revenue(price, "_q").alias(out))
                   .orderBy(group))
 
 
@@ -67,7 +82,7 @@ def percentage_bonus(values: DataFrame, name: str, value: str, rate,
                      out: str = "bonus") -> DataFrame:
     """``ROUND(SUM(value) * rate)`` per name (namesakes merge), ascending.
 
-    ``value`` should be an exact decimal; rounding is half away from zero.
+    ``value`` should be exact (a decimal); rounding is half away from zero.
     """
     r = F.lit(Decimal(str(rate)))
     return (values.groupBy(name)
@@ -95,7 +110,7 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
         when = F.lit(True)
     totals = (facts.where(when & (pg_weekday(ts) == weekday))
                    .groupBy(day_of(ts).alias(day_out))
-                   .agg(F.sum(money(value)).alias("_t")))
+                   .agg(F.sum(cents(value)).alias("_t")))
     if spine == "observed":
         res = totals
     elif spine == "calendar":
@@ -109,7 +124,7 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
         res = cal.join(totals, day_out, "left")
     else:
         raise ValueError(f"unknown spine {spine!r}")
-    return (res.select(day_out, to_double(F.coalesce(F.col("_t"), F.lit(Decimal(0)))).alias(total_out))
+    return (res.select(day_out, from_cents(F.coalesce(F.col("_t"), F.lit(0))).alias(total_out))
                .orderBy(day_out))
 
 
@@ -127,8 +142,8 @@ def anti_join_spend(tx: DataFrame, excluded: DataFrame, entities: DataFrame, *,
     ex = excluded.select(F.col(excluded_key).alias("_x")).distinct()
     kept = tx.join(ex, F.col(tx_key) == F.col("_x"), "left_anti")
     spend = (kept.groupBy(F.col(tx_entity).alias("_e"))
-                 .agg(F.sum(money(amount)).alias("_s"))
-                 .where(F.col("_s") >= F.lit(Decimal(str(min_total)))))
+                 .agg(F.sum(cents(amount)).alias("_s"))
+                 .where(F.col("_s") >= F.lit(int(Decimal(str(min_total)) * 100))))
     ent = entities.select(F.col(entity_key).alias(id_out), F.col(name).alias(name_out))
     return (spend.join(ent, F.col("_e") == F.col(id_out))
                  .select(id_out, name_out)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import operators as op
-from quarry.functions import before_year, day_of, in_month, in_year, money, on_days
+from quarry.functions import before_year, cents, day_of, from_cents, in_month, in_year, on_days
+from quarry.operators.stars import revenue_units
 from quarry.sources import Tables, edges, matches, roster, services
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,11 +102,11 @@ def percentage_bonus(spark, root):
     li = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")),
                          "l_orderkey", "left_semi")
     # sum(qty * price) = price * sum(qty) per (supplier, part): aggregate first.
-    qty = li.groupBy("l_suppkey", "l_partkey").agg(F.sum(money("l_quantity")).alias("_q"))
+    qty = li.groupBy("l_suppkey", "l_partkey").agg(F.sum(cents("l_quantity")).alias("_q"))
     per_supp = (qty.join(t.part.select("p_partkey", "p_retailprice"),
                          F.col("l_partkey") == F.col("p_partkey"))
                 .groupBy("l_suppkey")
-                .agg(F.sum(money("p_retailprice") * F.col("_q")).alias("value")))
+                .agg(revenue_units("p_retailprice", "_q").alias("value")))
     values = per_supp.join(t.supplier.select("s_suppkey", F.col("s_name").alias("name")),
                            F.col("l_suppkey") == F.col("s_suppkey"))
     return op.percentage_bonus(values, "name", "value", "0.1")
@@ -148,7 +149,7 @@ def strictly_increasing(spark, root):
 def nth_exceeds_prior(spark, root):
     t = Tables(spark, root)
     spend = (t.lineitem.groupBy("l_orderkey")
-             .agg(F.sum(money("l_extendedprice")).alias("spend")))
+             .agg(from_cents(F.sum(cents("l_extendedprice"))).alias("spend")))
     tx = (spend.join(t.orders.select("o_orderkey", "o_custkey",
                                      day_of("o_orderdate").alias("tx_date")),
                      F.col("l_orderkey") == F.col("o_orderkey")))

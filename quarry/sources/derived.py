@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import money
+from quarry.functions import cents
 
 
 def matches(events: DataFrame) -> DataFrame:
@@ -59,7 +59,8 @@ def services(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     """Lineitems as trips between two nations.
 
     origin = the customer's nation (through orders), destination = the
-    supplier's nation, seats = l_quantity, round_trip = (l_returnflag = 'R').
+    supplier's nation, seats = l_quantity (exact hundredths), round_trip =
+    (l_returnflag = 'R').
     Orders are resolved to their origin nation before meeting lineitem, so
     lineitem joins one narrow (o_orderkey, origin) frame.
     """
@@ -72,5 +73,5 @@ def services(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     return (li.join(origin, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(dest, F.col("l_suppkey") == F.col("s_suppkey"))
               .select("origin", "destination",
-                      money("l_quantity").alias("seats"),
+                      cents("l_quantity").alias("seats"),
                       (F.col("l_returnflag") == "R").alias("round_trip")))
