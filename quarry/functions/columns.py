@@ -70,8 +70,10 @@ def is_false(col) -> Column:
 def _bound(value: dt.date, like_ts: bool) -> Column:
     # Literals typed like the column so the comparison is pushed to the
     # parquet scan as a range (``year(ts) = y`` would not be).
+    # A timestamp_ntz literal parsed from text: no time zone (neither the
+    # Python process's nor the session's) takes part.
     if like_ts:
-        return F.lit(dt.datetime(value.year, value.month, value.day)).cast("timestamp_ntz")
+        return F.lit(f"{value.isoformat()} 00:00:00").cast("timestamp_ntz")
     return F.lit(value)
 
 

@@ -1,0 +1,10 @@
+"""Streaming.
+
+The analytical questions this library answers are all batch questions over
+whole tables: none of them uses a watermark, an event-time window, a trigger
+or per-key state, so there is no streaming operator here.  Every operator
+takes and returns plain DataFrames; to run one on data that arrives
+continuously, write the stream to a table (``writeStream ... toTable``) and
+run the operator over that table, which keeps results whole and exact
+instead of approximating them per micro-batch.
+"""

@@ -23,3 +23,15 @@ def test_oracle_sf0_01(spark, duck01, key):
 def test_oracle_smoke_scale(spark, key):
     res = compare(spark, key, SF001)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("key", ["star_revenue_filtered", "daily_max_ties", "weekday_totals_calendar",
+                                 "top_n_per_day", "weekday_weekend_pivot"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck01, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        res = compare(spark, key, SF01, duck01)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["ok"], res
