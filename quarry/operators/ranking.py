@@ -139,9 +139,11 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     if method != "buckets":
         raise ValueError(f"unknown method {method!r}")
     hist = totals.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    last = 1 << 30  # NULL totals rank after every value
-    bucket = F.when(F.col("_v").isNull(), F.lit(last)).otherwise(
-        F.floor(F.asinh(to_double(F.col("_v"))) * resolution).cast("int"))
+    last = 1 << 30  # NULL totals rank after every value, NaN just before them
+    vd = to_double(F.col("_v"))
+    bucket = (F.when(F.col("_v").isNull(), F.lit(last))
+               .when(F.isnan(vd), F.lit(last - 1))
+               .otherwise(F.floor(F.asinh(vd) * resolution).cast("int")))
     hist = hist.withColumn("_b", bucket)
     per_bucket = hist.groupBy("_b").agg(F.sum("_c").alias("_bc"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

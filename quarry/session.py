@@ -40,7 +40,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when nothing is configured (local tests, benches) a fresh
     folder under the system temp dir is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

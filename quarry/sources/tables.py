@@ -48,7 +48,7 @@ class Tables:
         if name not in TABLES:
             raise KeyError(f"unknown table {name!r}")
         path = self.path(name)
-        key = (id(self.spark._jsparkSession), path, _stamp(path))
+        key = (id(self.spark), path, _stamp(path))
         with _LOCK:
             schema = _SCHEMAS.get(key)
         if schema is None:
