@@ -65,17 +65,19 @@ def distinct_count_and_list(df: DataFrame, key: str, item_id: str, item_name: st
     """Per key: number of distinct items and the sorted, ``sep``-joined list of
     their distinct names.  Rows with a NULL key are dropped.
 
-    The distinct (key, item) pairs are formed first, so the list collected per
-    key is bounded by the number of distinct items of that key (it is the
-    output itself), never by the number of fact rows.
+    Two combinable aggregates: per (key, item) the set of its names, then per
+    key the item count and the union of the name sets.  What is collected per
+    key is bounded by the distinct items of that key (it is the output
+    itself), never by the number of fact rows.
     """
-    pairs = (df.where(F.col(key).isNotNull())
-               .select(key, item_id, item_name)
-               .distinct())
-    return (pairs.groupBy(key)
-                 .agg(F.count_distinct(item_id).alias(count_out),
-                      F.array_join(F.array_sort(F.collect_set(item_name)), sep).alias(list_out))
-                 .orderBy(key))
+    per_item = (df.where(F.col(key).isNotNull())
+                  .groupBy(key, item_id)
+                  .agg(F.collect_set(item_name).alias("_names")))
+    names = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_names"))))
+    return (per_item.groupBy(key)
+                    .agg(F.count(item_id).alias(count_out),
+                         F.array_join(names, sep).alias(list_out))
+                    .orderBy(key))
 
 
 def percentage_bonus(values: DataFrame, name: str, value: str, rate,

@@ -46,3 +46,21 @@ def test_percent_rank_bucketed_has_partitioned_windows(spark):
     p = plan(spark, "traffic_percent_rank")
     # the only unpartitioned window runs over per-bucket counts
     assert "Window [" in p
+
+
+def test_each_base_table_is_scanned_once(spark):
+    """Branches that need the same aggregate share its exchange: in the final
+    adaptive plan every base table is scanned once (the set-operator form of
+    the basket question re-reads its inputs by design)."""
+    import collections
+    import re
+    for key in CATALOG:
+        if key == "basket_intersect_except_sets":
+            continue
+        df = CATALOG[key](spark, SF01)
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()
+        if "== Final Plan ==" in p:
+            p = p.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+        scans = collections.Counter(re.findall(r"FileScan parquet \[[^\]]*\][^\n]*?/(\w+)\.parquet", p))
+        assert all(n == 1 for n in scans.values()), (key, dict(scans))
