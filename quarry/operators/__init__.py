@@ -15,12 +15,14 @@ from quarry.operators.ranking import (
     max_above_max_avg,
     max_per_group_ties,
     percent_rank_of,
+    percent_rank_totals,
     top_n_per_day,
     top_two_values_global,
     top_with_ties,
     traffic_percent_rank,
     traffic_top,
     two_sided_totals,
+    two_sided_traffic_top1,
 )
 from quarry.operators.roles import (
     argmin_per_entity,
@@ -54,9 +56,9 @@ __all__ = [
     "count_threshold", "daily_max_ties", "day_counts", "distinct_count_and_list",
     "exact_length_count", "first_last_same", "k_hop", "largest_gap",
     "match_points", "max_above_max_avg", "max_per_group_ties", "nth_exceeds_prior",
-    "percent_rank_of", "percentage_bonus", "rolling_dense_sum", "semi_any_role",
+    "percent_rank_of", "percent_rank_totals", "percentage_bonus", "rolling_dense_sum", "semi_any_role",
     "star_revenue_filtered", "strictly_increasing", "top_n_per_day",
     "top_two_values_global", "top_with_ties", "traffic_percent_rank", "traffic_top",
-    "two_entity_daily_diff", "two_sided_totals", "union_distinct_roles",
+    "two_entity_daily_diff", "two_sided_totals", "two_sided_traffic_top1", "union_distinct_roles",
     "weekday_totals", "weekday_weekend_pivot",
 ]

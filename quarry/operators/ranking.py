@@ -160,9 +160,9 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     return totals.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
-def traffic_percent_rank(totals: DataFrame, method: str = "buckets", resolution: int = 64,
-                         out: str = "airport", rank_out: str = "percent_rank") -> DataFrame:
-    """Percent rank of each node's total, ``(rank - 1) * 100 / (n - 1)``
+def percent_rank_totals(totals: DataFrame, method: str = "buckets", resolution: int = 64,
+                        out: str = "airport", rank_out: str = "percent_rank") -> DataFrame:
+    """Percent rank of each (node, total) row, ``(rank - 1) * 100 / (n - 1)``
     rounded to one decimal; ascending; ties share a rank."""
     ranked = percent_rank_of(totals, "total", method=method, resolution=resolution)
     pr = _rounded_percent(F.col("_rm1"), F.col("_nm1"))
@@ -170,6 +170,25 @@ def traffic_percent_rank(totals: DataFrame, method: str = "buckets", resolution:
                   .orderBy(rank_out, out))
 
 
+def two_sided_traffic_top1(flows: DataFrame, origin: str, dest: str, amount: str,
+                           round_trip: str | None = None, ties: bool = False,
+                           out: str = "airport") -> DataFrame:
+    """The node with the most traffic, counting each flow at both ends and
+    twice for round trips (``two_sided_totals`` then ``traffic_top``)."""
+    return traffic_top(two_sided_totals(flows, origin, dest, amount, round_trip), ties=ties, out=out)
+
+
+def traffic_percent_rank(flows: DataFrame, origin: str, dest: str, amount: str,
+                         round_trip: str | None = None, method: str = "buckets",
+                         resolution: int = 64, out: str = "airport",
+                         rank_out: str = "percent_rank") -> DataFrame:
+    """Percent rank of every node's two-sided traffic (``two_sided_totals``
+    then ``percent_rank_totals``)."""
+    totals = two_sided_totals(flows, origin, dest, amount, round_trip)
+    return percent_rank_totals(totals, method=method, resolution=resolution, out=out,
+                               rank_out=rank_out)
+
+
 def day_counts(df: DataFrame, day, key: str, count_col: str,
                day_out: str = "day", out: str = "num_posts") -> DataFrame:
     """Rows per (day, key), counting non-null ``count_col``."""

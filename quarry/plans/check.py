@@ -21,9 +21,7 @@ def _norm(v):
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return repr(float(v)) if v != int(v) else repr(float(v))
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, decimal.Decimal):
         return repr(float(v))
     if isinstance(v, int):

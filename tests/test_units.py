@@ -141,7 +141,9 @@ def test_services_worked_example(spark):
     assert sorted(rows(totals)) == [("LAX", 6), ("SFO", 6)]
     assert rows(op.traffic_top(totals)) == [("LAX",)]
     for method in ("buckets", "window"):
-        assert rows(op.traffic_percent_rank(totals, method=method)) == [("LAX", 0.0), ("SFO", 0.0)]
+        assert rows(op.percent_rank_totals(totals, method=method)) == [("LAX", 0.0), ("SFO", 0.0)]
+    assert rows(op.two_sided_traffic_top1(flows, "o", "d", "seats", "rt")) == [("LAX",)]
+    assert rows(op.traffic_percent_rank(flows, "o", "d", "seats", "rt")) == [("LAX", 0.0), ("SFO", 0.0)]
     one_way = op.two_sided_totals(flows.withColumn("rt", F.lit(False)), "o", "d", "seats", "rt")
     assert sorted(rows(one_way)) == [("LAX", 3), ("SFO", 3)]
 
@@ -151,9 +153,9 @@ def test_percent_rank_formula_and_ties(spark):
                                    "node string, total long")
     exp = [("a", 0.0), ("b", 25.0), ("c", 25.0), ("d", 75.0), ("e", 100.0)]
     for method in ("buckets", "window"):
-        assert rows(op.traffic_percent_rank(totals, method=method)) == exp
+        assert rows(op.percent_rank_totals(totals, method=method)) == exp
     single = totals.where("node = 'a'")
-    assert rows(op.traffic_percent_rank(single)) == [("a", 0.0)]
+    assert rows(op.percent_rank_totals(single)) == [("a", 0.0)]
 
 
 def test_percent_rank_buckets_equal_window_random(spark):
@@ -162,9 +164,9 @@ def test_percent_rank_buckets_equal_window_random(spark):
     data = [(f"n{i}", rnd.choice([rnd.randint(-30, 30), rnd.randint(0, 10**9), None]))
             for i in range(400)]
     totals = spark.createDataFrame(data, "node string, total long")
-    b = rows(op.traffic_percent_rank(totals, method="window"))
+    b = rows(op.percent_rank_totals(totals, method="window"))
     for res in (1, 64):  # coarse buckets put many values in one bucket
-        a = rows(op.traffic_percent_rank(totals, method="buckets", resolution=res))
+        a = rows(op.percent_rank_totals(totals, method="buckets", resolution=res))
         assert sorted(a) == sorted(b)
 
 
@@ -323,7 +325,7 @@ def test_empty_inputs(spark):
     assert rows(op.argmin_per_entity(m)) == []
     totals = spark.createDataFrame([], "node string, total long")
     assert rows(op.traffic_top(totals)) == []
-    assert rows(op.traffic_percent_rank(totals)) == []
+    assert rows(op.percent_rank_totals(totals)) == []
     counts = spark.createDataFrame([], "d int, u long, n long")
     assert rows(op.top_two_values_global(counts, "d", "u", "n")) == []
     df = spark.createDataFrame([], "k long, m int, v double")
