@@ -37,8 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests, benches) a fresh
-    folder under the system temp dir is made.
+    as is; a cluster without it is an error.  Only in local mode with
+    nothing configured (tests, benches) a fresh folder under the system temp
+    dir is made.
     """
     try:
         sc = spark.sparkContext
@@ -51,6 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a folder every executor "
+            "shares (checkpointed data must outlive any one machine)")
     path = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(os.path.join(path, "ckpt"))
     return sc.getCheckpointDir()
