@@ -28,8 +28,11 @@ def top_with_ties(facts: DataFrame, key: str, entities: DataFrame, entity_key: s
     counts = (facts.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
                    .join(entities.select(F.col(entity_key).alias("_k"), F.col(label).alias(out)),
                          "_k"))
-    top = counts.agg(F.max("_n")).scalar()
-    return counts.where(F.col("_n") == top).select(out).orderBy(out)
+    # The subquery returns a struct over every column the main branch reads,
+    # so column pruning leaves both branches identical and the subquery
+    # reuses the main branch's exchanges instead of re-reading the inputs.
+    top = counts.agg(F.struct(F.max("_n").alias("n"), F.max(out).alias("l"))).scalar()
+    return counts.where(F.col("_n") == top.getField("n")).select(out).orderBy(out)
 
 
 def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
@@ -76,8 +79,13 @@ def max_above_max_avg(df: DataFrame, key: str, trip: str, value: str,
                        .where(F.col("_trips") >= min_trips)
                        .select("_k", (from_cents(F.col("_s")) / F.col("_c")).alias("_avg"),
                                from_cents(F.col("_m")).alias("_max")))
-    best_avg = per_key.agg(F.max("_avg")).scalar()
-    return (per_key.where(F.col("_max") > best_avg)
+    # Both branches must read the same columns of ``per_key`` for column
+    # pruning to leave their aggregates identical, so that the subquery
+    # reuses the main branch's exchange instead of re-reading the input: the
+    # subquery returns a struct over both, and the main branch's ``_avg IS
+    # NOT NULL`` is implied anyway (a NULL average comes with a NULL max).
+    best = per_key.agg(F.struct(F.max("_avg").alias("a"), F.max("_max").alias("m"))).scalar()
+    return (per_key.where((F.col("_max") > best.getField("a")) & F.col("_avg").isNotNull())
                    .select(F.col("_k").alias(out))
                    .orderBy(out))
 
