@@ -40,7 +40,7 @@ def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
                        item_out: str = "part_id") -> DataFrame:
     """All rows holding their group's maximum ``value`` (ties kept, duplicate
     rows kept); ``limit`` keeps the first rows by (group, item)."""
-    w = Window.partitionBy(group).orderBy(cents(value).desc())
+    w = Window.partitionBy(group).orderBy(F.col(value).desc())
     res = (df.withColumn("_r", F.dense_rank().over(w))
              .where(F.col("_r") == 1)
              .select(F.col(group).alias(group_out), F.col(item).alias(item_out)))
@@ -68,7 +68,8 @@ def max_above_max_avg(df: DataFrame, key: str, trip: str, value: str,
 
     Two combinable aggregates, (key, trip) then key, stand in for a
     count-distinct next to avg/max; the largest average is a scalar subquery.
-    Averages are exact sums (integer cents) divided by counts as doubles.
+    ``value`` is an amount with at most two decimals; averages are exact
+    sums (integer cents) divided by counts as doubles.
     """
     v = cents(value)
     per_trip = (df.groupBy(F.col(key).alias("_k"), F.col(trip).alias("_t"))

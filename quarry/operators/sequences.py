@@ -24,7 +24,8 @@ def _col(c) -> Column:
 def strictly_increasing(df: DataFrame, key: str, period, value: str,
                         out: str = "customer_id") -> DataFrame:
     """Keys whose per-period total rises strictly from each period present to
-    the next.  Equal totals fail; a key with one period qualifies."""
+    the next.  Equal totals fail; a key with one period qualifies.
+    ``value`` is an amount with at most two decimals (summed exactly, in cents)."""
     totals = (df.groupBy(F.col(key).alias("_k"), _col(period).alias("_p"))
                 .agg(F.sum(cents(value)).alias("_t")))
     w = Window.partitionBy("_k").orderBy("_p")

@@ -51,7 +51,8 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     """Rolling sum over the current and ``width - 1`` preceding periods of a
     zero-filled key x period grid, reported only for periods in which the key
     was active (total <> 0), without each key's latest active period; ordered
-    by key and period descending, first ``limit`` rows.
+    by key and period descending, first ``limit`` rows.  ``value`` is an
+    amount with at most two decimals (summed exactly, in cents).
 
     The grid is never built.  Its periods are the distinct periods of the
     data, so "the 2 preceding grid rows" means the 2 preceding distinct

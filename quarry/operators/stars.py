@@ -43,7 +43,8 @@ def star_revenue_filtered(fact: DataFrame, dim: DataFrame, header: DataFrame, *,
     """``SUM(price * quantity)`` per dimension group over fact rows whose
     dimension satisfies ``dim_pred`` and whose header satisfies ``header_pred``.
 
-    ``price`` is a dimension column and ``quantity`` a fact column; header and
+    ``price`` is a dimension column and ``quantity`` a fact column, both
+    amounts with at most two decimals (summed exactly); header and
     dimension keys are unique (primary keys), so the header join is a semi-join.
     Plan: fact semi-join filtered headers -> sum(quantity) per dimension key
     (partial aggregation, exact integer cents) -> join filtered dimension ->
@@ -102,7 +103,8 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
     ``spine='observed'``: dates present in ``facts`` (as the question was
     answered).  ``spine='calendar'``: every such date of ``year``/``month``,
     0 where nothing happened (as the question was asked); the calendar is at
-    most 5 rows.
+    most 5 rows.  ``value`` is an amount with at most two decimals (summed
+    exactly, in cents).
     """
     if year is not None and month is not None:
         when = in_month(ts, year, month)
@@ -140,6 +142,7 @@ def anti_join_spend(tx: DataFrame, excluded: DataFrame, entities: DataFrame, *,
     ``NOT EXISTS`` as a left-anti join (the excluded keys are de-duplicated
     map-side first, which also leaves them partitioned for the join); spend is
     aggregated per entity before the entity table is joined for the name.
+    ``amount`` has at most two decimals (summed exactly, in cents).
     """
     ex = excluded.select(F.col(excluded_key).alias("_x")).distinct()
     kept = tx.join(ex, F.col(tx_key) == F.col("_x"), "left_anti")

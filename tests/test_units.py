@@ -330,3 +330,9 @@ def test_empty_inputs(spark):
     assert rows(op.top_two_values_global(counts, "d", "u", "n")) == []
     df = spark.createDataFrame([], "k long, m int, v double")
     assert rows(op.rolling_dense_sum(df, "k", F.col("m"), "v")) == []
+
+
+def test_max_per_group_ties_compares_raw_values(spark):
+    # values closer than a cent must not tie
+    df = spark.createDataFrame([(1, 10, 1.001), (1, 11, 1.004)], "g long, i long, v double")
+    assert rows(op.max_per_group_ties(df, "g", "i", "v")) == [(1, 11)]
