@@ -32,7 +32,8 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     then scans the materialised edges instead of re-deriving them, and the
     lineage survives lost executors.  The driver loop only builds the plan;
     every ``checkpoint_every`` levels the frontier (and the union so far) is
-    checkpointed as well, which keeps the plan linear in ``k``.
+    checkpointed as well, which keeps the plan linear in ``k``, and the walk
+    stops early once the frontier is empty.
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -55,6 +56,8 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
             frontier = frontier.checkpoint(eager=True)
             if reached is not None:
                 reached = reached.distinct().checkpoint(eager=True)
+            if frontier.isEmpty():  # reads the checkpoint: every later level is empty too
+                break
     res = frontier if mode == "exact" else reached.distinct()
     res = res.select(F.col("_n").alias(out)).orderBy(out)
     return res.limit(limit) if limit is not None else res

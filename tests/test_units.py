@@ -393,3 +393,10 @@ def test_every_operator_accepts_empty_input(spark):
             assert got == [(0,)], name
         else:
             assert got == [], name
+
+
+def test_k_hop_stops_on_empty_frontier(spark):
+    e = spark.createDataFrame([(1, 0), (2, 1)], "src long, dst long")
+    start = spark.createDataFrame([(0,)], "node long")
+    assert rows(op.k_hop(e, start, k=40, checkpoint_every=2)) == []
+    assert [r[0] for r in rows(op.k_hop(e, start, k=40, mode="within", checkpoint_every=2))] == [1, 2]
