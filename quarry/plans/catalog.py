@@ -82,16 +82,21 @@ def distinct_count_and_list(spark, root):
             .join(t.nation, F.col("r_regionkey") == F.col("n_regionkey"))
             .join(t.supplier.select("s_suppkey", "s_nationkey"),
                   F.col("n_nationkey") == F.col("s_nationkey"))
-            .select("s_suppkey", "n_nationkey", "n_name"))
-    # (order, nation) pairs are de-duplicated before meeting orders.
+            .select("s_suppkey", F.struct("n_nationkey", "n_name").alias("_item")))
+    # The (nation) items are gathered per order, then per customer, each step
+    # grouped on the key of the next join so that join reuses the exchange.
+    # The sets are bounded: lines of one order, nations of one customer.
     per_order = (t.lineitem.select("l_orderkey", "l_suppkey")
                  .join(asia, F.col("l_suppkey") == F.col("s_suppkey"))
-                 .select("l_orderkey", "n_nationkey", "n_name").distinct())
-    rows = (per_order.join(t.orders.select("o_orderkey", "o_custkey"),
-                           F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(t.customer.select("c_custkey", F.col("c_name").alias("customer_name")),
-                  F.col("o_custkey") == F.col("c_custkey"))
-            .select("customer_name", "n_nationkey", "n_name"))
+                 .groupBy("l_orderkey").agg(F.collect_set("_item").alias("_items")))
+    per_customer = (per_order.join(t.orders.select("o_orderkey", "o_custkey"),
+                                   F.col("l_orderkey") == F.col("o_orderkey"))
+                    .groupBy("o_custkey")
+                    .agg(F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items")))
+    rows = (per_customer.join(t.customer.select("c_custkey", F.col("c_name").alias("customer_name")),
+                              F.col("o_custkey") == F.col("c_custkey"))
+            .select("customer_name", F.explode("_items").alias("_item"))
+            .select("customer_name", "_item.n_nationkey", "_item.n_name"))
     return op.distinct_count_and_list(rows, "customer_name", "n_nationkey", "n_name",
                                       "distinct_nations", "list_of_nations")
 
