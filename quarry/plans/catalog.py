@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from quarry import operators as op
 from quarry.functions import before_year, cents, day_of, from_cents, in_month, in_year, on_days
-from quarry.operators.stars import revenue_units
 from quarry.sources import Tables, edges, matches, roster, services
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,12 +105,16 @@ def percentage_bonus(spark, root):
     t = Tables(spark, root)
     li = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")),
                          "l_orderkey", "left_semi")
-    # sum(qty * price) = price * sum(qty) per (supplier, part): aggregate first.
-    qty = li.groupBy("l_suppkey", "l_partkey").agg(F.sum(cents("l_quantity")).alias("_q"))
-    per_supp = (qty.join(t.part.select("p_partkey", "p_retailprice"),
-                         F.col("l_partkey") == F.col("p_partkey"))
+    # Each line's value is an exact product of cents (it fits a long); the
+    # sum per supplier is combined map-side, so after the part join only one
+    # row per supplier and task is shuffled.  (Summing per (supplier, part)
+    # first would shuffle again for the part join: such pairs rarely repeat
+    # within a task at scale.)
+    units = cents("l_quantity") * cents("p_retailprice")
+    per_supp = (li.join(t.part.select("p_partkey", "p_retailprice"),
+                        F.col("l_partkey") == F.col("p_partkey"))
                 .groupBy("l_suppkey")
-                .agg(revenue_units("p_retailprice", "_q").alias("value")))
+                .agg((F.sum(units).cast("decimal(38,0)") / F.lit(10000)).alias("value")))
     values = per_supp.join(t.supplier.select("s_suppkey", F.col("s_name").alias("name")),
                            F.col("l_suppkey") == F.col("s_suppkey"))
     return op.percentage_bonus(values, "name", "value", "0.1")
@@ -305,14 +308,15 @@ def top_two_values_global(spark, root):
 
 def _basket_rows(t):
     types = ["PROMO", "ECONOMY", "LARGE"]
-    # One (order, type) row per order before the orders join.
+    # The types of each order (at most three) are gathered on the order key,
+    # so the orders join reuses that exchange.
     per_order = (t.lineitem.select("l_orderkey", "l_partkey")
                  .join(t.part.where(F.col("p_type").isin(*types)).select("p_partkey", "p_type"),
                        F.col("l_partkey") == F.col("p_partkey"))
-                 .select("l_orderkey", "p_type").distinct())
+                 .groupBy("l_orderkey").agg(F.collect_set("p_type").alias("_types")))
     return (per_order.join(t.orders.select("o_orderkey", "o_custkey"),
                            F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(F.col("o_custkey").alias("customer_id"), "p_type"))
+            .select(F.col("o_custkey").alias("customer_id"), F.explode("_types").alias("p_type")))
 
 
 @query
