@@ -64,3 +64,14 @@ def test_each_base_table_is_scanned_once(spark):
             p = p.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
         scans = collections.Counter(re.findall(r"FileScan parquet \[[^\]]*\][^\n]*?/(\w+)\.parquet", p))
         assert all(n == 1 for n in scans.values()), (key, dict(scans))
+
+
+def test_month_and_day_filters_reach_the_scan(spark):
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # untruncated scan metadata
+    try:
+        assert "GreaterThanOrEqual(ts,2024-01-01" in plan(spark, "weekday_totals")
+        p = plan(spark, "top_n_per_day")
+        assert "GreaterThanOrEqual(ts,2024-01-05" in p and "LessThan(ts,2024-01-07" in p
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
