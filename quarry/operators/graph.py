@@ -37,6 +37,8 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"))
     if materialize_edges and k > 1:
         ensure_checkpoint_dir(e.sparkSession)

@@ -49,6 +49,8 @@ def nth_exceeds_prior(tx: DataFrame, key: str, order: list, value: str, n: int =
     Only the first ``n`` rows per key are kept before the lags are taken; the
     row-number filter is planned as a per-task top-n ahead of the shuffle.
     """
+    if not 1 <= prior < n:
+        raise ValueError("need 1 <= prior < n")
     w = Window.partitionBy(key).orderBy(*order)
     first_n = tx.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
     v = F.col(value)
@@ -71,6 +73,8 @@ def consecutive_days(df: DataFrame, key: str, ts, n: int = 4, mode: str = "windo
     ``mode='islands'``: one row per maximal run (its first and last day).
     Windows see distinct (key, day) rows only: at most one row per day.
     """
+    if n < 1:
+        raise ValueError("n must be at least 1")
     days = df.select(F.col(key), day_of(_col(ts)).alias("_d")).distinct()
     w = Window.partitionBy(key).orderBy("_d")
     if mode == "windows":

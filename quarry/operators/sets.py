@@ -66,6 +66,8 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     bound on the number of distinct periods (12 for month of year); with it
     the index is broadcast, without it AQE decides from the runtime size.
     """
+    if width < 1:
+        raise ValueError("width must be at least 1")
     # Rows without a period have no place on the grid.  Filtering them here,
     # once, also keeps the two branches below identical (the optimizer would
     # otherwise infer the filter for one of them only).

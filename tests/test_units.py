@@ -400,3 +400,15 @@ def test_k_hop_stops_on_empty_frontier(spark):
     start = spark.createDataFrame([(0,)], "node long")
     assert rows(op.k_hop(e, start, k=40, checkpoint_every=2)) == []
     assert [r[0] for r in rows(op.k_hop(e, start, k=40, mode="within", checkpoint_every=2))] == [1, 2]
+
+
+def test_invalid_parameters_are_rejected(spark):
+    df = spark.createDataFrame([(1, 1, 1.0)], "k long, m int, v double")
+    e = spark.createDataFrame([(1, 0)], "src long, dst long")
+    start = spark.createDataFrame([(0,)], "node long")
+    for call in (lambda: op.k_hop(e, start, k=0, mode="within"),
+                 lambda: op.nth_exceeds_prior(df, "k", ["m"], "v", n=3, prior=3),
+                 lambda: op.consecutive_days(df, "k", F.lit(None).cast("timestamp_ntz"), n=0),
+                 lambda: op.rolling_dense_sum(df, "k", F.col("m"), "v", width=0)):
+        with pytest.raises(ValueError):
+            call()
