@@ -35,14 +35,20 @@ def _stamp(path: str):
 
 
 class Tables:
-    """``Tables(spark, "/data/sf0.1").orders`` -> DataFrame of orders.parquet."""
+    """``Tables(spark, "/data/sf0.1").orders`` -> DataFrame of orders.parquet.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``pattern`` places each table under ``root``; the default is one parquet
+    file or folder per table named ``<table>.parquet``.  A cluster layout of
+    one folder per table is ``Tables(spark, "s3a://bucket/tpch", "{name}/")``.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, pattern: str = "{name}.parquet"):
         self.spark = spark
         self.root = root
+        self.pattern = pattern
 
     def path(self, name: str) -> str:
-        return os.path.join(self.root, f"{name}.parquet")
+        return os.path.join(self.root, self.pattern.format(name=name))
 
     def load(self, name: str) -> DataFrame:
         if name not in TABLES:
