@@ -13,7 +13,8 @@ from quarry.session import ensure_checkpoint_dir
 def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame], *,
           k: int = 4, mode: str = "exact", src: str = "src", dst: str = "dst",
           node: str = "node", limit: int | None = None, checkpoint_every: int = 4,
-          materialize_edges: bool = True, out: str = "follower_id") -> DataFrame:
+          materialize_edges: bool = True, split_hot: bool = True, max_hot: int = 10000,
+          min_hot_degree: int = 10000, out: str = "follower_id") -> DataFrame:
     """Distinct nodes that reach a start node along ``src -> dst`` edges in
     exactly ``k`` steps (``mode='exact'``: walks, nodes may repeat, cycles are
     allowed) or in 1..k steps (``mode='within'``).
@@ -34,23 +35,40 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     every ``checkpoint_every`` levels the frontier (and the union so far) is
     checkpointed as well, which keeps the plan linear in ``k``, and the walk
     stops early once the frontier is empty.
+
+    Hot targets (a node followed by a third of all edges) would put all their
+    edges into one join task.  With ``split_hot`` the edges are split once by
+    in-degree: a target is hot when it has more than
+    ``max(|E| / max_hot, min_hot_degree)`` edges, so at most ``max_hot``
+    targets are hot (a proven bound for the broadcasts).  Hot edges are
+    matched map-side against a broadcast of the frontier's hot nodes; the
+    rest go through an ordinary, balanced semi-join.
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
     if k < 1:
         raise ValueError("k must be at least 1")
     e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"))
-    if materialize_edges and k > 1:
+    if materialize_edges and (k > 1 or split_hot):
         ensure_checkpoint_dir(e.sparkSession)
         e = e.checkpoint(eager=True)
     if callable(start):
         start = start(e.select(F.col("_s").alias(src), F.col("_d").alias(dst)))
+    step_edges = _split_hot_targets(e, max_hot, min_hot_degree) if split_hot else None
     frontier = start.select(F.col(node).alias("_n")).distinct()
     reached = None
     for step in range(1, k + 1):
-        frontier = (e.join(frontier, F.col("_d") == F.col("_n"), "left_semi")
-                     .select(F.col("_s").alias("_n"))
-                     .distinct())
+        if step_edges is None:
+            nxt = e.join(frontier, F.col("_d") == F.col("_n"), "left_semi")
+        else:
+            hot_keys, hot, cold = step_edges
+            # Hot targets: the frontier's hot nodes (at most ``max_hot``) are
+            # broadcast to the hot edges, which never shuffle.  Cold targets:
+            # an ordinary sort-merge semi-join, balanced by construction.
+            hot_frontier = frontier.join(F.broadcast(hot_keys), F.col("_n") == F.col("_h"), "left_semi")
+            nxt = (hot.join(F.broadcast(hot_frontier), F.col("_d") == F.col("_n"), "left_semi")
+                      .unionByName(cold.join(frontier, F.col("_d") == F.col("_n"), "left_semi")))
+        frontier = nxt.select(F.col("_s").alias("_n")).distinct()
         if mode == "within":
             reached = frontier if reached is None else reached.unionByName(frontier)
         if checkpoint_every and step % checkpoint_every == 0 and step < k:
@@ -63,3 +81,22 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     res = frontier if mode == "exact" else reached.distinct()
     res = res.select(F.col("_n").alias(out)).orderBy(out)
     return res.limit(limit) if limit is not None else res
+
+
+def _split_hot_targets(e: DataFrame, max_hot: int, min_hot_degree: int = 10000):
+    """(hot target keys, hot edges, cold edges) of materialised edges.
+
+    A target is hot when its in-degree exceeds ``max(|E| / max_hot,
+    min_hot_degree)``; at most ``max_hot`` targets can, so the key list has a
+    proven size bound.  The count and the degrees are two jobs over the
+    checkpointed edges; the key list is checkpointed once for all levels.
+    """
+    n = e.count()
+    threshold = max(n // max_hot, min_hot_degree)
+    hot_keys = (e.groupBy("_d").agg(F.count(F.lit(1)).alias("_deg"))
+                 .where(F.col("_deg") > threshold)
+                 .select(F.col("_d").alias("_h"))
+                 .checkpoint(eager=True))  # at most max_hot rows, read by every level
+    hot = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_semi")
+    cold = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_anti")
+    return hot_keys, hot, cold

@@ -81,3 +81,28 @@ def test_match_points_hot_player(spark):
     assert (top[0], top[1], top[2]) == (0, "hot", 3 * HOT)
     # partial sums: one row per player and task
     assert max(exchange_records(res)) <= SLICES * 501 + 1
+
+
+def test_hot_join_target_never_shuffles(spark):
+    """A node followed by a third of all edges: k-hop matches its edges
+    map-side against a broadcast of the (bounded) hot frontier, so no
+    exchange carries them; the other edges go through an ordinary join."""
+    from pyspark.sql import functions as F
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # sort-merge, as at scale
+    try:
+        n = 200000
+        edges = spark.range(n).select(
+            F.col("id").alias("src"),
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("dst"))
+        start = spark.createDataFrame([(0,)], "node long")
+        res = op.k_hop(edges, start, k=1)
+        hot = sum(1 for i in range(n) if i % 3 == 0 or i % 5000 == 0)  # edges into node 0
+        assert len(res.collect()) == hot  # also executes res's own plan
+        assert max(exchange_records(res)) <= n - hot
+        # without the split the edges' exchange would carry all n rows
+        plain = op.k_hop(edges, start, k=1, split_hot=False)
+        plain.collect()
+        assert max(exchange_records(plain)) == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
