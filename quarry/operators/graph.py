@@ -88,15 +88,15 @@ def _split_hot_targets(e: DataFrame, max_hot: int, min_hot_degree: int = 10000):
 
     A target is hot when its in-degree exceeds ``max(|E| / max_hot,
     min_hot_degree)``; at most ``max_hot`` targets can, so the key list has a
-    proven size bound.  The count and the degrees are two jobs over the
-    checkpointed edges; the key list is checkpointed once for all levels.
+    proven size bound.  The count is one job over the checkpointed edges;
+    the degree aggregate is part of the plan, identical at every level, so
+    adaptive execution computes it once.
     """
     n = e.count()
     threshold = max(n // max_hot, min_hot_degree)
     hot_keys = (e.groupBy("_d").agg(F.count(F.lit(1)).alias("_deg"))
                  .where(F.col("_deg") > threshold)
-                 .select(F.col("_d").alias("_h"))
-                 .checkpoint(eager=True))  # at most max_hot rows, read by every level
+                 .select(F.col("_d").alias("_h")))  # at most max_hot rows
     hot = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_semi")
     cold = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_anti")
     return hot_keys, hot, cold
