@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import LOWER, UPPER
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.line_dedup import line_dedup
+from quarry.llm.near_dedup import near_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +20,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup(_table(spark, sf_dir, "documents"), words=4, percent=80)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op7_exact_dedup, op8_near_dedup, op9_line_dedup)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
@@ -35,6 +41,19 @@ ORACLE_SQL = {
                           first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id
                    FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op8_near_dedup": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'),
+                                       lambda x: x <> '') AS ws FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(ws) >= 4 THEN list_distinct([array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)])
+                                  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
+        e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS v FROM s),
+        p AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.v = b.v GROUP BY a.doc_id, b.doc_id, a.n, b.n
+                           HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        r AS (SELECT x, y FROM p UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x),
+        c AS (SELECT x, min(y) AS low FROM r GROUP BY x)
+        SELECT doc_id, len(sh) AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept
+        FROM s LEFT JOIN c ON s.doc_id = c.x""",
     "op9_line_dedup": f"""
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
              l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM d),
