@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +10,19 @@ from quarry.llm.common import LOWER, UPPER
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.near_dedup import near_dedup
+from quarry.llm.packing import pack_documents
+from quarry.llm.records import read_records, write_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -30,7 +38,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op8_near_dedup, op9_line_dedup)}
+def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_records(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_records(spark, index).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
