@@ -12,6 +12,7 @@ from quarry.llm.line_dedup import line_dedup
 from quarry.llm.near_dedup import near_dedup
 from quarry.llm.packing import pack_documents
 from quarry.llm.records import read_records, write_records
+from quarry.llm.warc import locate, read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(_table(spark, sf_dir, "pages"), min_bytes=0)
+    return read_archives(locate(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -43,7 +49,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, index).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_warc, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
