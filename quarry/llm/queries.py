@@ -12,6 +12,7 @@ from quarry.llm.line_dedup import line_dedup
 from quarry.llm.near_dedup import near_dedup
 from quarry.llm.packing import pack_documents
 from quarry.llm.records import read_records, write_records
+from quarry.llm.topk import top_inner_products
 from quarry.llm.warc import locate, read_archives, write_archives
 
 
@@ -24,6 +25,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(_table(spark, sf_dir, "pages"), min_bytes=0)
     return read_archives(locate(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,9 +54,18 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, index).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_warc, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
 
 ORACLE_SQL = {
+    "op2_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS q FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS query_id, b.vec_id,
+                          list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+                   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5""",
     "op7_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
