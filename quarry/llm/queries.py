@@ -11,6 +11,7 @@ from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.near_dedup import near_dedup
 from quarry.llm.packing import pack_documents
+from quarry.llm.passages import repeated_passages
 from quarry.llm.quality import score_documents
 from quarry.llm.records import read_records, write_records
 from quarry.llm.topk import top_inner_products
@@ -35,6 +36,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(locate(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeated_passages(_table(spark, sf_dir, "documents"), min_words=50)
+    return out.select(F.col("id").alias("doc_id"), "start_word", "n_words", F.col("other_id").alias("other_doc_id"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -59,7 +65,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, index).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op6_quality, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op4_repeated_passages, op6_quality, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
 
 ORACLE_SQL = {
     "op2_top_k": """
