@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import LOWER, UPPER
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.line_dedup import line_dedup
+from quarry.llm.mixing import schedule
 from quarry.llm.near_dedup import near_dedup
 from quarry.llm.packing import pack_documents
 from quarry.llm.passages import repeated_passages
@@ -41,6 +42,11 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "start_word", "n_words", F.col("other_id").alias("other_doc_id"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = schedule(_table(spark, sf_dir, "documents"))
+    return out.select("doc.doc_id", "source", "block", "release", "deadline", "slot")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -65,7 +71,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, index).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op4_repeated_passages, op6_quality, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op4_repeated_passages, op5_mixing, op6_quality, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
 
 ORACLE_SQL = {
     "op2_top_k": """
