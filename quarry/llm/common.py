@@ -31,6 +31,11 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, so that no name of theirs can clash."""
+    return F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])
+
+
 def delete_spaces(text: Column) -> Column:
     for c in SPACES:
         text = F.replace(text, F.lit(c), F.lit(""))

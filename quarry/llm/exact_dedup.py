@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import delete_spaces, hash128, materialise, ranks
+from quarry.llm.common import delete_spaces, hash128, materialise, ranks, whole_row
 
 _NONE = -(1 << 63)  # no right neighbour
 _INFO = ("id", "d1", "d2", "chars", "sha")
@@ -96,6 +96,6 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     kept = exact_dedup(docs, id_col, text_col).filter("kept").select("d1", "d2")
     d1, d2 = hash128(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), d1.alias("d1"), d2.alias("d2"))
+    held = docs.select(whole_row(docs).alias("doc"), d1.alias("d1"), d2.alias("d2"))
     w = Window.partitionBy("d1", "d2").orderBy(F.lit(0))
     return held.join(kept, ["d1", "d2"], "left_semi").withColumn("nth", F.row_number().over(w)).filter("nth = 1").select("doc.*")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from quarry.llm.common import hash128
+from quarry.llm.common import hash128, whole_row
 
 CYCLE = 4096  # slots after which the schedule repeats
 MOST_SOURCES = 100_000  # a weight for each is kept in the driver
@@ -81,7 +81,7 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, al
     """
     d1, d2 = hash128(F.col(id_col), F.col(text_col))
     bucket = F.call_function("shiftrightunsigned", d1, F.lit(64 - _BUCKETS)).cast("int")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), _source_key(F.col(source_col)).alias("source"),
+    rows = docs.select(whole_row(docs).alias("doc"), _source_key(F.col(source_col)).alias("source"),
                        (F.coalesce(F.char_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
                        bucket.alias("bucket"), d1.alias("d1"), d2.alias("d2"))
     slim = rows.select("source", "bucket", "size")
