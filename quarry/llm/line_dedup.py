@@ -82,9 +82,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = F.map_from_entries("bits")
     dense = F.transform(F.sequence(F.lit(0), F.floor(F.size(lines) / 64).cast("int")),
                         lambda w: F.coalesce(F.try_element_at(found, w), F.lit(0).cast("long")))
-    opened = joined.select("id", "text", F.size(lines).cast("long").alias("n_lines"), "bits", F.when(F.col("bits").isNotNull(), dense).alias("dense"))
-    stays = F.filter(lines, lambda _, i: F.call_function(
-        "shiftrightunsigned", F.get(F.col("dense"), F.floor(i / 64).cast("int")), (i % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 0)
+    gone = F.flatten(F.transform(dense, lambda word: F.transform(
+        F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", word, i).bitwiseAND(F.lit(1).cast("long")) == 1)))
+    marked = F.arrays_zip(lines.alias("line"), F.slice(gone, F.lit(1), F.size(lines)).alias("gone"))
+    stays = F.transform(F.filter(marked, lambda x: ~x["gone"]), lambda x: x["line"])
     dropped = F.aggregate("bits", F.lit(0).cast("long"), lambda n, b: n + F.bit_count(b["bits"]))
-    return opened.select("id", "n_lines", F.coalesce(dropped, F.lit(0).cast("long")).alias("n_dropped"),
+    return joined.select("id", F.size(lines).cast("long").alias("n_lines"), F.coalesce(dropped, F.lit(0).cast("long")).alias("n_dropped"),
                          F.when(F.col("bits").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n")).alias("text"))

@@ -26,7 +26,7 @@ def exact_truth(texts, ids):
 def test_exact_dedup_awkward_rows(spark):
     texts = awkward() + [PROSE, PROSE, None]
     ids = [*range(len(texts) - 2), 9, None]  # an id and text that repeat, and a null id
-    got = exact_dedup(frame(spark, texts, ids), block=64).collect()
+    got = exact_dedup(frame(spark, texts, ids), block=1024).collect()
     assert sorted(((r.id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == exact_truth(texts, ids)
     groups = {}
     for r in got:
@@ -76,10 +76,10 @@ def line_truth(texts, min_docs, keep_first=False, min_chars=1):
 
 def test_line_dedup_awkward_rows(spark):
     texts = awkward() + ["Same É\nown 1\n same É\t", "sAME É\n\nsame É", "\x0bsame É", "same é"]
-    for min_docs, keep_first in ((2, False), (2, True), (3, False), (1, True)):
-        for most in (1, 10_000):  # almost all keys by ranges, or all by counts
-            got = line_dedup(frame(spark, texts), min_docs=min_docs, keep_first=keep_first, most=most).collect()
-            assert sorted((r.id, r.n_lines, r.n_dropped, r.text) for r in got) == line_truth(texts, min_docs, keep_first)
+    # almost all keys by ranges, or all by counts
+    for min_docs, keep_first, most in ((2, False, 1), (2, True, 1), (2, True, 10_000), (3, False, 10_000), (1, True, 1)):
+        got = line_dedup(frame(spark, texts), min_docs=min_docs, keep_first=keep_first, most=most).collect()
+        assert sorted((r.id, r.n_lines, r.n_dropped, r.text) for r in got) == line_truth(texts, min_docs, keep_first)
 
 
 def test_line_dedup_counts_a_repeated_row_once_and_allows_null_ids(spark):
@@ -93,7 +93,7 @@ def test_line_dedup_counts_a_repeated_row_once_and_allows_null_ids(spark):
 def test_keep_bitmaps_are_sparse(spark):
     docs = frame(spark, ["\n".join(f"l{i}" for i in range(200)), "l3\nl70\nz", "q"])
     bits = dropped_lines(docs, min_docs=2).collect()
-    assert sorted([(w.word, w.bits) for w in r.bits] for r in bits) == [[(0, 1 << 3), (1, 1 << 6)], [(0, 3)]]
+    assert sorted([(w.word, w.bits) for w in r.bits] for r in bits) == [[(0, 3)], [(0, 1 << 3), (1, 1 << 6)]]
 
 
 def variants(rng, base, n, most):
