@@ -23,7 +23,7 @@ def sample_positions(words: np.ndarray, first: np.ndarray, min_words: int, windo
     Every run of ``min_words`` words holds ``window`` positions whose next
     ``min_words - window + 1`` words are inside it, and the one whose gram has
     the lowest hash is retained, so equal runs retain equal positions.  Where
-    periodic text ties, one position in ``window`` is enough.
+    periodic text ties, one position in ``window`` and the last are enough.
     """
     none = np.empty(0, np.int64)
     score = grams(words, ORDER)
@@ -43,7 +43,7 @@ def sample_positions(words: np.ndarray, first: np.ndarray, min_words: int, windo
     tied = np.append(False, (score[chosen][1:] == score[chosen][:-1]) & (np.diff(chosen) < window) & (owner[1:] == owner[:-1]))
     head = np.maximum.accumulate(np.where(tied, 0, np.arange(len(chosen))))
     lap = (chosen - chosen[head]) // window
-    keep = ~tied | np.append(True, lap[1:] != lap[:-1])
+    keep = ~tied | np.append(True, lap[1:] != lap[:-1]) | np.append(~tied[1:], True)
     return chosen[keep], owner[keep]
 
 
