@@ -8,7 +8,6 @@ them and whole-stage codegen runs them.  Layout:
 - ``quarry.functions``  small column helpers (money, weekdays, date ranges)
 - ``quarry.operators``  the operators, grouped by family
 - ``quarry.plans``      the query catalog and its DuckDB oracle SQL
-- ``quarry.streaming``  (no streaming operator: the questions are batch ones)
 """
 
 from quarry.session import ensure_checkpoint_dir, make_session

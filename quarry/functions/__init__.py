@@ -1,10 +1,10 @@
 """Column helpers shared by the operators."""
 
 from quarry.functions.columns import (
+    amount,
     before_year,
-    cents,
     day_of,
-    from_cents,
+    from_units,
     in_month,
     in_year,
     is_false,
@@ -17,6 +17,6 @@ from quarry.functions.columns import (
 )
 
 __all__ = [
-    "before_year", "cents", "day_of", "from_cents", "in_month", "in_year", "is_false", "is_true",
+    "amount", "before_year", "day_of", "from_units", "in_month", "in_year", "is_false", "is_true",
     "iso_weekday", "money", "on_days", "pg_weekday", "to_double",
 ]

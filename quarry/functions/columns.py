@@ -5,9 +5,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, IntegralType
 
 MONEY = DecimalType(18, 2)
 
@@ -22,20 +22,33 @@ def money(col) -> Column:
     return _c(col).cast(MONEY)
 
 
-def cents(col) -> Column:
-    """Exact integer hundredths of a 2-decimal amount stored as a double.
+def amount(df: DataFrame, value, scale: int = 6) -> tuple[Column, int]:
+    """(units, decimals): an exact form of ``value`` whose sums are exact.
 
-    Sums of cents are exact, independent of summation order, and run on
-    plain longs (a decimal(28,2) sum allocates a BigDecimal per update).
-    Per-key sums stay far below 2**63; ANSI mode raises, not wraps, if a
-    sum ever overflows.  Products of amounts use decimals instead.
+    A decimal stays as it is and an integer becomes one (0 decimals to shift).
+    A double or float becomes whole units of ``10 ** -scale``; a value that has
+    more decimals, or does not fit a long, raises an error: nothing is
+    rounded.  Units are decimals, so sums and products neither wrap nor
+    depend on the order of summation.
     """
-    return F.round(_c(col) * 100).cast("long")
-
-
-def from_cents(col) -> Column:
-    """Cents back to the amount, as a double (correctly rounded)."""
-    return _c(col).cast("double") / F.lit(100.0)
+    c = _c(value)
+    kind = df.select(c.alias("v")).schema["v"].dataType
+    if isinstance(kind, DecimalType):
+        return c, 0
+    if isinstance(kind, IntegralType):
+        return c.cast(DecimalType(20, 0)), 0
+    d = c.cast("double")
+    units = F.round(d * float(10 ** scale)).try_cast("long")
+    back = (units.cast("double") / float(10 ** scale)).cast(kind)
+    said = F.concat(F.lit(f"an amount with more than {scale} decimals, or too large: "), c.cast("string"))
+    checked = F.when(c.isNull(), F.lit(None).cast("long")).when(F.coalesce(back == c, F.lit(False)), units).otherwise(
+        F.raise_error(said).cast("long"))
+    return checked.cast(DecimalType(20, 0)), scale
+
+
+def from_units(total, scale: int) -> Column:
+    """A sum of units back to the amount, as a double."""
+    return _c(total).cast("double") / F.lit(float(10 ** scale))
 
 
 def to_double(col) -> Column:

@@ -7,54 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
-
 
 def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame], *,
           k: int = 4, mode: str = "exact", src: str = "src", dst: str = "dst",
-          node: str = "node", limit: int | None = None, checkpoint_every: int = 4,
-          materialize_edges: bool = True, split_hot: bool = True, max_hot: int = 10000,
-          min_hot_degree: int = 10000, out: str = "follower_id") -> DataFrame:
+          node: str = "node", limit: int | None = None, checkpoint_every: int | None = None,
+          split_hot: bool = True, max_hot: int = 10000, out: str = "follower_id") -> DataFrame:
     """Distinct nodes that reach a start node along ``src -> dst`` edges in
     exactly ``k`` steps (``mode='exact'``: walks, nodes may repeat, cycles are
     allowed) or in 1..k steps (``mode='within'``).
 
     ``start`` is a frame with a ``node`` column, or a function that derives
-    it from the (materialised) edges.
+    it from the edges.  ``limit`` keeps the first nodes by id.
 
     Frontier iteration: the set of nodes at step s depends only on the set at
     step s - 1, so each level is a semi-join of the edges with the previous
     frontier followed by ``distinct``: no per-path rows, which a recursive
     UNION ALL grows exponentially.  ``within`` is the distinct union of the
-    frontiers.
-
-    The edges are read once per level, so they are checkpointed first (into
-    the cluster's checkpoint folder, ``spark.checkpoint.dir``): every level
-    then scans the materialised edges instead of re-deriving them, and the
-    lineage survives lost executors.  The driver loop only builds the plan;
-    every ``checkpoint_every`` levels the frontier (and the union so far) is
-    checkpointed as well, which keeps the plan linear in ``k``, and the walk
-    stops early once the frontier is empty.
+    frontiers.  Building the result starts no job; all levels read the same
+    edge subplan, whose exchange adaptive execution computes once.
 
     Hot targets (a node followed by a third of all edges) would put all their
-    edges into one join task.  With ``split_hot`` the edges are split once by
-    in-degree: a target is hot when it has more than
-    ``max(|E| / max_hot, min_hot_degree)`` edges, so at most ``max_hot``
-    targets are hot (a proven bound for the broadcasts).  Hot edges are
-    matched map-side against a broadcast of the frontier's hot nodes; the
-    rest go through an ordinary, balanced semi-join.
+    edges into one join task.  With ``split_hot`` the edges are split by
+    in-degree: a target is hot when it has more than 1 / ``max_hot`` of all
+    edges, so fewer than ``max_hot`` targets are hot (a proven bound for the
+    broadcasts).  Hot edges are matched map-side against a broadcast of the
+    frontier's hot nodes; the rest go through an ordinary, balanced semi-join.
+
+    For a large ``k`` the caller may ask for a reliable checkpoint of the
+    frontier every ``checkpoint_every`` levels, into the folder that the
+    session names (``spark.checkpoint.dir``; without one Spark raises).  That
+    runs the levels so far, keeps the plan short, and stops once nothing is
+    reached any more.
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
     if k < 1:
         raise ValueError("k must be at least 1")
     e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"))
-    if materialize_edges and (k > 1 or split_hot):
-        ensure_checkpoint_dir(e.sparkSession)
-        e = e.checkpoint(eager=True)
     if callable(start):
         start = start(e.select(F.col("_s").alias(src), F.col("_d").alias(dst)))
-    step_edges = _split_hot_targets(e, max_hot, min_hot_degree) if split_hot else None
+    step_edges = _split_hot_targets(e, max_hot) if split_hot else None
     frontier = start.select(F.col(node).alias("_n")).distinct()
     reached = None
     for step in range(1, k + 1):
@@ -72,7 +64,6 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
         if mode == "within":
             reached = frontier if reached is None else reached.unionByName(frontier)
         if checkpoint_every and step % checkpoint_every == 0 and step < k:
-            ensure_checkpoint_dir(frontier.sparkSession)
             frontier = frontier.checkpoint(eager=True)
             if reached is not None:
                 reached = reached.distinct().checkpoint(eager=True)
@@ -83,20 +74,17 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     return res.limit(limit) if limit is not None else res
 
 
-def _split_hot_targets(e: DataFrame, max_hot: int, min_hot_degree: int = 10000):
-    """(hot target keys, hot edges, cold edges) of materialised edges.
+def _split_hot_targets(e: DataFrame, max_hot: int):
+    """(hot target keys, hot edges, cold edges).
 
-    A target is hot when its in-degree exceeds ``max(|E| / max_hot,
-    min_hot_degree)``; at most ``max_hot`` targets can, so the key list has a
-    proven size bound.  The count is one job over the checkpointed edges;
-    the degree aggregate is part of the plan, identical at every level, so
-    adaptive execution computes it once.
+    A target is hot when its in-degree times ``max_hot`` exceeds the number of
+    edges, so fewer than ``max_hot`` targets are, whatever the data.  Degrees
+    and their sum are part of the plan (the sum a one-row subquery).
     """
-    n = e.count()
-    threshold = max(n // max_hot, min_hot_degree)
-    hot_keys = (e.groupBy("_d").agg(F.count(F.lit(1)).alias("_deg"))
-                 .where(F.col("_deg") > threshold)
-                 .select(F.col("_d").alias("_h")))  # at most max_hot rows
+    degree = e.groupBy("_d").agg(F.count(F.lit(1)).alias("_deg"))
+    edges = degree.agg(F.struct(F.sum("_deg").alias("n"), F.max("_d").alias("d"))).scalar()
+    hot_keys = (degree.where(F.col("_deg") * max_hot > edges.getField("n"))
+                .select(F.col("_d").alias("_h")))  # fewer than max_hot rows
     hot = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_semi")
     cold = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_anti")
     return hot_keys, hot, cold

@@ -1,9 +1,8 @@
 """Ranking operators: top-k with ties, per-group maxima, global comparisons.
 
 Global maxima are 1-row scalar subqueries (``DataFrame.scalar()``), never a
-window without ``PARTITION BY`` over the data.  Per-group ranks filtered by
-``rank <= k`` are planned with ``WindowGroupLimit``, which keeps only each
-task's local top ranks before the shuffle.
+window without ``PARTITION BY`` over the data.  Per-group maxima are map-side
+combined and joined back to the rows, so ties never meet in one task.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import cents, from_cents, to_double
+from quarry.functions import amount, to_double
 
 
 def _col(c) -> Column:
@@ -32,54 +31,55 @@ def top_with_ties(facts: DataFrame, key: str, entities: DataFrame, entity_key: s
     # so column pruning leaves both branches identical and the subquery
     # reuses the main branch's exchanges instead of re-reading the inputs.
     top = counts.agg(F.struct(F.max("_n").alias("n"), F.max(out).alias("l"))).scalar()
-    return counts.where(F.col("_n") == top.getField("n")).select(out).orderBy(out)
+    return counts.where(F.col("_n") == top.getField("n")).select(out)
 
 
 def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
-                       limit: int | None = None, group_out: str = "order_id",
+                       limit: int | None = None, sort: bool = True, group_out: str = "order_id",
                        item_out: str = "part_id") -> DataFrame:
     """All rows holding their group's maximum ``value`` (ties kept, duplicate
-    rows kept); ``limit`` keeps the first rows by (group, item)."""
-    w = Window.partitionBy(group).orderBy(F.col(value).desc())
-    res = (df.withColumn("_r", F.dense_rank().over(w))
-             .where(F.col("_r") == 1)
+    rows kept); ``limit`` keeps the first rows by (group, item); without a limit
+    ``sort=False`` saves the sort of the whole result.
+
+    The maxima are one map-side combined aggregate and are joined back, so
+    that a group of ties has no task of its own: its join partition can be
+    split, and few groups are broadcast.
+    """
+    best = df.groupBy(F.col(group).alias("_g")).agg(F.max(value).alias("_best"))
+    res = (df.join(best, (F.col(group) == F.col("_g")) & (F.col(value) == F.col("_best")))
              .select(F.col(group).alias(group_out), F.col(item).alias(item_out)))
-    res = res.orderBy(group_out, item_out)
-    return res.limit(limit) if limit is not None else res
+    if limit is not None:
+        return res.orderBy(group_out, item_out).limit(limit)
+    return res.orderBy(group_out, item_out) if sort else res
 
 
 def daily_max_ties(df: DataFrame, day, value, id_col: str, out: str = "event_id") -> DataFrame:
     """Rows holding the maximum ``value`` of their day (NULL values excluded),
-    all ties kept."""
-    v = _col(value)
-    w = Window.partitionBy("_day").orderBy(F.col("_v").desc())
-    return (df.where(v.isNotNull())
-              .select(F.col(id_col).alias(out), _col(day).alias("_day"), v.alias("_v"))
-              .withColumn("_r", F.dense_rank().over(w))
-              .where(F.col("_r") == 1)
-              .select(out)
-              .orderBy(out))
+    all ties kept, in no order.  One maximum per day is joined back."""
+    rows = (df.where(_col(value).isNotNull())
+              .select(F.col(id_col).alias(out), _col(day).alias("_day"), _col(value).alias("_v")))
+    best = rows.groupBy(F.col("_day").alias("_d")).agg(F.max("_v").alias("_best"))
+    return rows.join(best, F.col("_day").eqNullSafe(F.col("_d")) & (F.col("_v") == F.col("_best"))).select(out)
 
 
-def max_above_max_avg(df: DataFrame, key: str, trip: str, value: str,
-                      min_trips: int = 2, out: str = "user_id") -> DataFrame:
+def max_above_max_avg(df: DataFrame, key: str, trip: str, value,
+                      min_trips: int = 2, scale: int = 6, out: str = "user_id") -> DataFrame:
     """Keys with at least ``min_trips`` distinct trips whose maximum value is
     strictly greater than the largest per-key average (over the same keys).
 
     Two combinable aggregates, (key, trip) then key, stand in for a
     count-distinct next to avg/max; the largest average is a scalar subquery.
-    ``value`` is an amount with at most two decimals; averages are exact
-    sums (integer cents) divided by counts as doubles.
+    ``value`` is an amount with at most ``scale`` decimals; averages are exact
+    sums divided as decimals with six more decimals at least.
     """
-    v = cents(value)
+    v, _ = amount(df, value, scale)
     per_trip = (df.groupBy(F.col(key).alias("_k"), F.col(trip).alias("_t"))
                   .agg(F.sum(v).alias("_s"), F.count(v).alias("_c"), F.max(v).alias("_m")))
     per_key = (per_trip.groupBy("_k")
                        .agg(F.count("_t").alias("_trips"), F.sum("_s").alias("_s"),
                             F.sum("_c").alias("_c"), F.max("_m").alias("_m"))
                        .where(F.col("_trips") >= min_trips)
-                       .select("_k", (from_cents(F.col("_s")) / F.col("_c")).alias("_avg"),
-                               from_cents(F.col("_m")).alias("_max")))
+                       .select("_k", (F.col("_s") / F.col("_c")).alias("_avg"), F.col("_m").alias("_max")))
     # Both branches must read the same columns of ``per_key`` for column
     # pruning to leave their aggregates identical, so that the subquery
     # reuses the main branch's exchange instead of re-reading the input: the
@@ -87,8 +87,7 @@ def max_above_max_avg(df: DataFrame, key: str, trip: str, value: str,
     # NOT NULL`` is implied anyway (a NULL average comes with a NULL max).
     best = per_key.agg(F.struct(F.max("_avg").alias("a"), F.max("_max").alias("m"))).scalar()
     return (per_key.where((F.col("_max") > best.getField("a")) & F.col("_avg").isNotNull())
-                   .select(F.col("_k").alias(out))
-                   .orderBy(out))
+                   .select(F.col("_k").alias(out)))
 
 
 def two_sided_totals(flows: DataFrame, origin: str, dest: str, amount: str,
@@ -124,7 +123,7 @@ def _rounded_percent(rank_minus_one: Column, n_minus_one: Column) -> Column:
 
 
 def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buckets",
-                    resolution: int = 64) -> DataFrame:
+                    buckets: int = 256) -> DataFrame:
     """Adds ``_rm1`` (rank - 1, ascending, ties share the lowest rank, NULLs
     last) and ``_nm1`` (rows - 1) to ``totals``.
 
@@ -133,13 +132,13 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     ``method='buckets'`` is the scale form.  The rank of a value is one plus
     the number of rows with a smaller value, so it only depends on the
     histogram of distinct values (a value shared by a third of all rows is
-    one histogram row).  Values fall into log-spaced buckets,
-    ``floor(asinh(v) * resolution)``: monotone in the value, and at most
-    ~2 * 710 * resolution buckets exist for any double, so the per-bucket
-    counts, their running offsets (one small window) and the broadcast of
-    those offsets are bounded whatever the data size.  The rank inside a
-    bucket is a running count in a window partitioned by bucket; the ranks of
-    the distinct values are then joined to the rows by value.
+    one histogram row).  The values fall into ``buckets`` ranges cut at
+    approximate quantiles of the histogram itself (one row with an array of
+    edges), so ranges hold alike many values however the totals concentrate,
+    and any edges give exact ranks.  Per-range counts, their running offsets
+    and the broadcast of those have ``buckets`` rows.  The rank inside a range
+    is a running count in a window partitioned by range; the ranks of the
+    distinct values are then joined to the rows by value.
     """
     if method == "window":
         w = Window.orderBy(F.col(value).asc_nulls_last())
@@ -148,11 +147,11 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     if method != "buckets":
         raise ValueError(f"unknown method {method!r}")
     hist = totals.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    last = 1 << 30  # NULL totals rank after every value, NaN just before them
     vd = to_double(F.col("_v"))
-    bucket = (F.when(F.col("_v").isNull(), F.lit(last))
-               .when(F.isnan(vd), F.lit(last - 1))
-               .otherwise(F.floor(F.asinh(vd) * resolution).cast("int")))
+    steps = [i / buckets for i in range(1, buckets)]
+    edges = hist.agg(F.percentile_approx(vd, steps, 100 * buckets)).scalar()
+    bucket = F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(  # NULL totals rank after every value
+        F.coalesce(F.array_position(F.sort_array(F.array_append(edges, vd)), vd), F.lit(1)) - 1)
     hist = hist.withColumn("_b", bucket)
     per_bucket = hist.groupBy("_b").agg(F.sum("_c").alias("_bc"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -169,11 +168,11 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     return totals.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
-def percent_rank_totals(totals: DataFrame, method: str = "buckets", resolution: int = 64,
+def percent_rank_totals(totals: DataFrame, method: str = "buckets", buckets: int = 256,
                         out: str = "airport", rank_out: str = "percent_rank") -> DataFrame:
     """Percent rank of each (node, total) row, ``(rank - 1) * 100 / (n - 1)``
     rounded to one decimal; ascending; ties share a rank."""
-    ranked = percent_rank_of(totals, "total", method=method, resolution=resolution)
+    ranked = percent_rank_of(totals, "total", method=method, buckets=buckets)
     pr = _rounded_percent(F.col("_rm1"), F.col("_nm1"))
     return (ranked.select(F.col("node").alias(out), pr.alias(rank_out))
                   .orderBy(rank_out, out))
@@ -189,12 +188,12 @@ def two_sided_traffic_top1(flows: DataFrame, origin: str, dest: str, amount: str
 
 def traffic_percent_rank(flows: DataFrame, origin: str, dest: str, amount: str,
                          round_trip: str | None = None, method: str = "buckets",
-                         resolution: int = 64, out: str = "airport",
+                         buckets: int = 256, out: str = "airport",
                          rank_out: str = "percent_rank") -> DataFrame:
     """Percent rank of every node's two-sided traffic (``two_sided_totals``
     then ``percent_rank_totals``)."""
     totals = two_sided_totals(flows, origin, dest, amount, round_trip)
-    return percent_rank_totals(totals, method=method, resolution=resolution, out=out,
+    return percent_rank_totals(totals, method=method, buckets=buckets, out=out,
                                rank_out=rank_out)
 
 
@@ -207,10 +206,16 @@ def day_counts(df: DataFrame, day, key: str, count_col: str,
 
 def top_n_per_day(counts: DataFrame, day: str, key: str, value: str, n: int = 2) -> DataFrame:
     """Per day, the rows whose value is among the ``n`` largest distinct
-    values of that day (dense rank <= n, all ties)."""
-    w = Window.partitionBy(day).orderBy(F.col(value).desc())
-    return (counts.withColumn("_r", F.dense_rank().over(w))
-                  .where(F.col("_r") <= n)
+    values of that day (all ties), in order of day and key.
+
+    The distinct values of each day are ranked (the counts' few values, not
+    their rows) and the lowest that qualifies is joined back.
+    """
+    w = Window.partitionBy("_day").orderBy(F.col("_v").desc())
+    floor = (counts.select(F.col(day).alias("_day"), F.col(value).alias("_v")).distinct()
+             .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+             .groupBy("_day").agg(F.min("_v").alias("_floor")))
+    return (counts.join(floor, (F.col(day) == F.col("_day")) & (F.col(value) >= F.col("_floor")))
                   .select(day, key, value)
                   .orderBy(day, key))
 

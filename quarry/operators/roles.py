@@ -87,5 +87,4 @@ def union_distinct_roles(entities: DataFrame, matches: DataFrame, *, key: str, n
     ids = _role_ids(matches, roles)
     return (ids.join(entities.select(F.col(key).alias("_id"), F.col(name).alias(out)), "_id")
                .select(out)
-               .distinct()
-               .orderBy(out))
+               .distinct())

@@ -14,20 +14,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import cents, day_of, to_double
+from quarry.functions import amount, day_of, to_double
+
+
+_STEP = 4096
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strictly_increasing(df: DataFrame, key: str, period, value: str,
+def strictly_increasing(df: DataFrame, key: str, period, value, scale: int = 6,
                         out: str = "customer_id") -> DataFrame:
     """Keys whose per-period total rises strictly from each period present to
     the next.  Equal totals fail; a key with one period qualifies.
-    ``value`` is an amount with at most two decimals (summed exactly, in cents)."""
+    ``value`` is an amount with at most ``scale`` decimals (summed exactly)."""
+    units, _ = amount(df, value, scale)
     totals = (df.groupBy(F.col(key).alias("_k"), _col(period).alias("_p"))
-                .agg(F.sum(cents(value)).alias("_t")))
+                .agg(F.sum(units).alias("_t")))
     w = Window.partitionBy("_k").orderBy("_p")
     prev = F.lag("_t").over(w)
     flagged = totals.select("_k", (prev.isNull() | (F.col("_t") > prev)).alias("_up"))
@@ -102,35 +106,42 @@ def largest_gap(df: DataFrame, key: str, ts, min_count: int = 10,
 
     Gaps are taken between the distinct days of a key, with the number of
     events per day kept alongside: consecutive events on the same day give a
-    gap of 0, which is the answer only when all events share one day.
+    gap of 0, which is the answer only when all dated events share one day.
+    Events without a date count towards ``min_count`` but have no gap.
     ``repeats=True`` reproduces the rank-based answer that repeats a key once
     per occurrence of its largest gap.
     """
     counted = F.count(F.col(count_col)) if count_col else F.count(F.lit(1))
     per_day = (df.groupBy(F.col(key).alias("_k"), day_of(_col(ts)).alias("_d"))
                  .agg(counted.alias("_c"), F.count(F.lit(1)).alias("_r")))
-    w = Window.partitionBy("_k").orderBy("_d")
-    gaps = (per_day.withColumn("_gap", F.datediff(F.lead("_d").over(w), F.col("_d")))
-                   .withColumn("_mx", F.max("_gap").over(Window.partitionBy("_k"))))
-    per_key = (gaps.groupBy("_k")
-                   .agg(F.sum("_c").alias("_n"), F.sum("_r").alias("_rows"),
-                        F.max("_mx").alias("_max"),
-                        F.count_if(F.col("_gap") == F.col("_mx")).alias("_ties"))
-                   .where((F.col("_n") > min_count) & (F.col("_rows") >= 2)))
-    res = per_key.select(F.col("_k").alias(key),
-                         F.coalesce(F.col("_max"), F.lit(0)).cast("bigint").alias(out),
-                         F.when(F.col("_max").isNull(), F.col("_rows") - 1)
-                          .otherwise(F.col("_ties")).alias("_times"))
-    if repeats:
-        res = res.withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
-    return res.select(key, out).orderBy(key)
+    order = Window.partitionBy("_k").orderBy(F.col("_d").asc_nulls_last())
+    whole = Window.partitionBy("_k")
+    dated = F.when(F.col("_d").isNotNull(), F.col("_r"))
+    days = (per_day.withColumn("_gap", F.datediff(F.lead("_d").over(order), F.col("_d")))
+                   .select("_k", "_d", "_r", "_gap", F.max("_gap").over(whole).alias("_mx"),
+                           F.sum("_c").over(whole).alias("_n"), F.sum(dated).over(whole).alias("_rows"))
+                   .where((F.col("_n") > min_count) & (F.col("_rows") >= 2) & F.col("_d").isNotNull()))
+    # the days that end a largest gap, or the one day of a key without gaps
+    days = days.where(F.col("_mx").isNull() | (F.col("_gap") == F.col("_mx")))
+    gap = F.coalesce(F.col("_mx"), F.lit(0)).cast("bigint").alias(out)
+    if not repeats:
+        return days.groupBy(F.col("_k").alias(key), gap).agg(F.lit(1).alias("_one")).select(key, out)
+    # a one-day key repeats once less than its events: in steps, so that no array grows with them
+    times = F.when(F.col("_mx").isNull(), F.col("_r") - 1).otherwise(F.lit(1))
+    steps = days.select("_k", gap, times.alias("_times")).select(
+        "_k", out, "_times", F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / _STEP))).alias("_s"))
+    size = F.least(F.lit(_STEP).cast("long"), F.col("_times") - F.col("_s") * _STEP).cast("int")
+    return (steps.withColumn("_one", F.explode(F.sequence(F.lit(1), size)))
+                 .select(F.col("_k").alias(key), out))
 
 
 def first_last_same(trips: DataFrame, owners: DataFrame, *, owner: str, trip: str,
-                    order: list, dest: str, min_trips: int = 2,
+                    order: list, dest: str, min_trips: int = 2, qualifies: Column | None = None,
                     owner_key: str | None = None, out: str = "user_id") -> DataFrame:
-    """Owners with at least ``min_trips`` distinct trips whose first and last
-    trip (by ``order``, ties broken by trip id) have the same destination.
+    """Owners with at least ``min_trips`` distinct qualifying trips whose first
+    and last trip (by ``order``, ties broken by trip id) have the same
+    destination.  ``qualifies`` only bears on the number of trips; first and
+    last are taken over all trips of the owner.
 
     Two combinable aggregates instead of a count-distinct plus two full-frame
     windows: per (owner, trip) the trip's first/last destination, then per
@@ -138,15 +149,15 @@ def first_last_same(trips: DataFrame, owners: DataFrame, *, owner: str, trip: st
     Owners are restricted by a semi-join with ``owners`` after aggregation.
     """
     ordkey = F.struct(*[F.col(c) for c in order], F.col(trip))
+    counts = F.lit(True) if qualifies is None else F.coalesce(qualifies, F.lit(False))
     per_trip = (trips.groupBy(F.col(owner).alias("_o"), F.col(trip).alias("_t"))
-                     .agg(F.min_by(dest, ordkey).alias("_fd"), F.min(ordkey).alias("_fo"),
+                     .agg(F.bool_or(counts).alias("_q"), F.min_by(dest, ordkey).alias("_fd"), F.min(ordkey).alias("_fo"),
                           F.max_by(dest, ordkey).alias("_ld"), F.max(ordkey).alias("_lo")))
     per_owner = (per_trip.groupBy("_o")
-                         .agg(F.count("_t").alias("_k"),
+                         .agg(F.count(F.when(F.col("_q"), F.col("_t"))).alias("_k"),
                               F.min_by("_fd", "_fo").alias("_first"),
                               F.max_by("_ld", "_lo").alias("_last")))
     keys = owners.select(F.col(owner_key or owner).alias("_ok"))
     return (per_owner.join(keys, F.col("_o") == F.col("_ok"), "left_semi")
                      .where((F.col("_k") >= min_trips) & (F.col("_first") == F.col("_last")))
-                     .select(F.col("_o").alias(out))
-                     .orderBy(out))
+                     .select(F.col("_o").alias(out)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import cents, from_cents
+from quarry.functions import amount, from_units
 
 
 def basket_intersect_except(rows: DataFrame, key: str, attr: str, have_all, have_none) -> DataFrame:
@@ -31,28 +31,38 @@ def basket_intersect_except_sets(rows: DataFrame, cols: list, attr: str, have_al
                                  have_none) -> DataFrame:
     """The same question with the set operators themselves: distinct ``cols``
     rows of the first value, ``intersect`` each further value, ``subtract``
-    (EXCEPT DISTINCT) each excluded value."""
-    def picked(v):
-        return rows.where(F.col(attr) == v).select(*cols)
+    (EXCEPT DISTINCT) each excluded value.  One aggregate marks the values of
+    each ``cols`` row in a bit mask, and all sets are taken from it."""
     vals = list(have_all)
+    bits = {v: 1 << n for n, v in enumerate(dict.fromkeys([*vals, *have_none]))}
+    bit = F.lit(0)
+    for v, b in bits.items():
+        bit = F.when(F.col(attr) == v, b).otherwise(bit)
+    once = rows.where(F.col(attr).isin(*bits)).groupBy(*cols).agg(F.bit_or(bit).alias("_m"))
+
+    def picked(v):
+        # a condition on the aggregate is not pushed below it, so the sets share its exchange
+        return once.where(F.col("_m").bitwiseAND(bits[v]) != 0).select(*cols)
+
     res = picked(vals[0]).distinct()
     for v in vals[1:]:
         res = res.intersect(picked(v))
     for v in have_none:
         res = res.subtract(picked(v))
-    return res.orderBy(*cols)
+    return res
 
 
-def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int = 3,
+def rolling_dense_sum(df: DataFrame, key: str, period, value, *, width: int = 3,
                       drop_latest: bool = True, limit: int | None = None,
-                      period_bound: int | None = None,
+                      scale: int = 6, sort: bool = True,
                       key_out: str = "part_id", period_out: str = "month",
                       out: str = "part_summary") -> DataFrame:
     """Rolling sum over the current and ``width - 1`` preceding periods of a
     zero-filled key x period grid, reported only for periods in which the key
     was active (total <> 0), without each key's latest active period; ordered
-    by key and period descending, first ``limit`` rows.  ``value`` is an
-    amount with at most two decimals (summed exactly, in cents).
+    by key and period descending (or not, with ``sort=False``), first
+    ``limit`` rows.  ``value`` is a name or an expression such as price x
+    quantity, an amount with at most ``scale`` decimals (summed exactly).
 
     The grid is never built.  Its periods are the distinct periods of the
     data, so "the 2 preceding grid rows" means the 2 preceding distinct
@@ -62,18 +72,18 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     by the number of periods.
 
     The index is derived from the (key, period) totals themselves, so the
-    fact table is scanned and joined once.  ``period_bound`` states an upper
-    bound on the number of distinct periods (12 for month of year); with it
-    the index is broadcast, without it AQE decides from the runtime size.
+    fact table is scanned and joined once; AQE broadcasts it only if it
+    measures it small.
     """
     if width < 1:
         raise ValueError("width must be at least 1")
     # Rows without a period have no place on the grid.  Filtering them here,
     # once, also keeps the two branches below identical (the optimizer would
     # otherwise infer the filter for one of them only).
+    units, places = amount(df, value, scale)
     totals = (df.where(period.isNotNull())
                 .groupBy(F.col(key).alias(key_out), period.alias(period_out))
-                .agg(F.sum(cents(value)).alias("_t")))
+                .agg(F.sum(units).alias("_t")))
     # The periods are read off the totals.  A bare distinct (or an unused
     # aggregate) lets the optimizer drop the per-(key, period) aggregate and
     # re-read the fact rows; consuming count(_t) (always >= 0) keeps the
@@ -81,14 +91,13 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value: str, *, width: int
     periods = (totals.groupBy(period_out).agg(F.count("_t").alias("_keys"))
                      .where(F.col("_keys") >= 0))
     index = periods.select(period_out, F.dense_rank().over(Window.orderBy(period_out)).alias("_i"))
-    if period_bound is not None:
-        index = F.broadcast(index)
     active = totals.where(F.col("_t") != 0).join(index, period_out)
     frame = Window.partitionBy(key_out).orderBy("_i").rangeBetween(-(width - 1), 0)
     res = active.withColumn("_s", F.sum("_t").over(frame))
     if drop_latest:
-        latest = Window.partitionBy(key_out).orderBy(F.col("_i").desc())
-        res = res.withColumn("_rn", F.row_number().over(latest)).where(F.col("_rn") > 1)
-    res = (res.select(key_out, period_out, from_cents(F.col("_s")).alias(out))
-              .orderBy(F.col(key_out).asc(), F.col(period_out).desc()))
+        ahead = Window.partitionBy(key_out).orderBy("_i")  # the frame's own sort
+        res = res.withColumn("_next", F.lead("_i").over(ahead)).where(F.col("_next").isNotNull())
+    res = res.select(key_out, period_out, from_units("_s", places).alias(out))
+    if sort or limit is not None:
+        res = res.orderBy(F.col(key_out).asc(), F.col(period_out).desc())
     return res.limit(limit) if limit is not None else res

@@ -13,52 +13,38 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import cents, day_of, from_cents, in_month, pg_weekday
+from quarry.functions import amount as exact
+from quarry.functions import day_of, from_units, in_month, pg_weekday
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def revenue_units(price: str, qty_cents: str) -> Column:
-    """Exact ``sum(price * quantity)`` as a decimal amount, for a price column
-    and a column of summed quantity cents: each product fits a long and the
-    sum runs in decimal(38,0) units of 1/10000 (low volume: one row per
-    dimension key)."""
-    units = (cents(price) * F.col(qty_cents)).cast("decimal(38,0)")
-    return F.sum(units) / F.lit(10000)
-
-
-def revenue(price: str, qty_cents: str) -> Column:
-    """``revenue_units`` as a double (correctly rounded)."""
-    return revenue_units(price, qty_cents).cast("double")
-
-
 def star_revenue_filtered(fact: DataFrame, dim: DataFrame, header: DataFrame, *,
                           fact_dim_key: str, dim_key: str,
                           fact_header_key: str, header_key: str,
                           dim_pred: Column, header_pred: Column,
-                          group: str, price: str, quantity: str,
+                          group: str, price, quantity, scale: int = 6,
                           out: str = "total_revenue") -> DataFrame:
     """``SUM(price * quantity)`` per dimension group over fact rows whose
     dimension satisfies ``dim_pred`` and whose header satisfies ``header_pred``.
 
-    ``price`` is a dimension column and ``quantity`` a fact column, both
-    amounts with at most two decimals (summed exactly); header and
-    dimension keys are unique (primary keys), so the header join is a semi-join.
+    ``price`` is a dimension column and ``quantity`` a fact column, amounts
+    with at most ``scale`` decimals (``amount``); header and dimension keys are
+    unique (primary keys), so the header join is a semi-join.
     Plan: fact semi-join filtered headers -> sum(quantity) per dimension key
-    (partial aggregation, exact integer cents) -> join filtered dimension ->
-    sum of price x quantity per group (decimal, one row per dimension key).
+    (partial aggregation) -> join filtered dimension -> sum of price x
+    quantity per group, in decimals throughout.
     """
     hdr = header.where(header_pred).select(F.col(header_key).alias("_hk"))
+    units, places = exact(fact, quantity, scale)
+    prices, price_places = exact(dim, price, scale)
     kept = fact.join(hdr, F.col(fact_header_key) == F.col("_hk"), "left_semi")
-    qty = (kept.groupBy(F.col(fact_dim_key).alias("_dk"))
-               .agg(F.sum(cents(quantity)).alias("_q")))
-    d = dim.where(dim_pred).select(F.col(dim_key).alias("_dk2"), group, price)
+    qty = kept.groupBy(F.col(fact_dim_key).alias("_dk")).agg(F.sum(units).alias("_q"))
+    d = dim.where(dim_pred).select(F.col(dim_key).alias("_dk2"), group, prices.alias("_price"))
     joined = qty.join(d, F.col("_dk") == F.col("_dk2"))
-    return (joined.groupBy(group)
-                  .agg(revenue(price, "_q").alias(out))
-                  .orderBy(group))
+    return joined.groupBy(group).agg(from_units(F.sum(F.col("_price") * F.col("_q")), places + price_places).alias(out))
 
 
 def distinct_count_and_list(df: DataFrame, key: str, item_id: str, item_name: str,
@@ -94,7 +80,7 @@ def percentage_bonus(values: DataFrame, name: str, value: str, rate,
 
 
 def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
-                   month: int | None = None, year: int | None = None,
+                   month: int | None = None, year: int | None = None, scale: int = 6,
                    spine: str = "observed", day_out: str = "day",
                    total_out: str = "total") -> DataFrame:
     """Total of ``value`` per date that falls on ``weekday`` (0 = Sunday) in a
@@ -103,8 +89,8 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
     ``spine='observed'``: dates present in ``facts`` (as the question was
     answered).  ``spine='calendar'``: every such date of ``year``/``month``,
     0 where nothing happened (as the question was asked); the calendar is at
-    most 5 rows.  ``value`` is an amount with at most two decimals (summed
-    exactly, in cents).
+    most 5 rows.  ``month`` without ``year`` takes that month of any year.
+    ``value`` is an amount with at most ``scale`` decimals (summed exactly).
     """
     if year is not None and month is not None:
         when = in_month(ts, year, month)
@@ -112,9 +98,10 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
         when = F.month(ts) == month
     else:
         when = F.lit(True)
+    units, places = exact(facts, value, scale)
     totals = (facts.where(when & (pg_weekday(ts) == weekday))
                    .groupBy(day_of(ts).alias(day_out))
-                   .agg(F.sum(cents(value)).alias("_t")))
+                   .agg(F.sum(units).alias("_t")))
     if spine == "observed":
         res = totals
     elif spine == "calendar":
@@ -128,13 +115,13 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
         res = cal.join(totals, day_out, "left")
     else:
         raise ValueError(f"unknown spine {spine!r}")
-    return (res.select(day_out, from_cents(F.coalesce(F.col("_t"), F.lit(0))).alias(total_out))
+    return (res.select(day_out, from_units(F.coalesce(F.col("_t"), F.lit(0)), places).alias(total_out))
                .orderBy(day_out))
 
 
 def anti_join_spend(tx: DataFrame, excluded: DataFrame, entities: DataFrame, *,
                     tx_key: str, excluded_key: str, tx_entity: str,
-                    entity_key: str, name: str, amount: str, min_total,
+                    entity_key: str, name: str, amount, min_total, scale: int = 6,
                     id_out: str = "customer_id", name_out: str = "name") -> DataFrame:
     """Entities whose spend on transactions absent from ``excluded`` reaches
     ``min_total``.
@@ -142,13 +129,15 @@ def anti_join_spend(tx: DataFrame, excluded: DataFrame, entities: DataFrame, *,
     ``NOT EXISTS`` as a left-anti join (the excluded keys are de-duplicated
     map-side first, which also leaves them partitioned for the join); spend is
     aggregated per entity before the entity table is joined for the name.
-    ``amount`` has at most two decimals (summed exactly, in cents).
+    ``amount`` has at most ``scale`` decimals; sum and threshold are
+    compared as decimals, without rounding either.
     """
     ex = excluded.select(F.col(excluded_key).alias("_x")).distinct()
     kept = tx.join(ex, F.col(tx_key) == F.col("_x"), "left_anti")
+    units, places = exact(tx, amount, scale)
     spend = (kept.groupBy(F.col(tx_entity).alias("_e"))
-                 .agg(F.sum(cents(amount)).alias("_s"))
-                 .where(F.col("_s") >= F.lit(int(Decimal(str(min_total)) * 100))))
+                 .agg(F.sum(units).alias("_s"))
+                 .where(F.col("_s") >= F.lit(Decimal(str(min_total)) * 10 ** places)))
     ent = entities.select(F.col(entity_key).alias(id_out), F.col(name).alias(name_out))
     return (spend.join(ent, F.col("_e") == F.col(id_out))
                  .select(id_out, name_out)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import operators as op
-from quarry.functions import before_year, cents, day_of, from_cents, in_month, in_year, on_days
+from quarry.functions import amount, before_year, day_of, from_units, in_month, in_year, on_days
 from quarry.sources import Tables, edges, matches, roster, services
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,7 +71,7 @@ def star_revenue_filtered(spark, root):
         fact_header_key="l_orderkey", header_key="o_orderkey",
         dim_pred=F.col("p_type").like("%M%"),
         header_pred=in_year("o_orderdate", 1997),
-        group="p_type", price="p_retailprice", quantity="l_quantity")
+        group="p_type", price="p_retailprice", quantity="l_quantity", scale=2)
 
 
 @query
@@ -81,21 +81,18 @@ def distinct_count_and_list(spark, root):
             .join(t.nation, F.col("r_regionkey") == F.col("n_regionkey"))
             .join(t.supplier.select("s_suppkey", "s_nationkey"),
                   F.col("n_nationkey") == F.col("s_nationkey"))
-            .select("s_suppkey", F.struct("n_nationkey", "n_name").alias("_item")))
-    # The (nation) items are gathered per order, then per customer, each step
-    # grouped on the key of the next join so that join reuses the exchange.
-    # The sets are bounded: lines of one order, nations of one customer.
+            .select("s_suppkey", "n_nationkey", "n_name"))
+    # Distinct (order, nation) and then (customer, nation) rows: plain hash
+    # aggregates, combined map-side, with nothing collected per key.
     per_order = (t.lineitem.select("l_orderkey", "l_suppkey")
                  .join(asia, F.col("l_suppkey") == F.col("s_suppkey"))
-                 .groupBy("l_orderkey").agg(F.collect_set("_item").alias("_items")))
+                 .select("l_orderkey", "n_nationkey", "n_name").distinct())
     per_customer = (per_order.join(t.orders.select("o_orderkey", "o_custkey"),
                                    F.col("l_orderkey") == F.col("o_orderkey"))
-                    .groupBy("o_custkey")
-                    .agg(F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items")))
+                    .select("o_custkey", "n_nationkey", "n_name").distinct())
     rows = (per_customer.join(t.customer.select("c_custkey", F.col("c_name").alias("customer_name")),
                               F.col("o_custkey") == F.col("c_custkey"))
-            .select("customer_name", F.explode("_items").alias("_item"))
-            .select("customer_name", "_item.n_nationkey", "_item.n_name"))
+            .select("customer_name", "n_nationkey", "n_name"))
     return op.distinct_count_and_list(rows, "customer_name", "n_nationkey", "n_name",
                                       "distinct_nations", "list_of_nations")
 
@@ -105,16 +102,15 @@ def percentage_bonus(spark, root):
     t = Tables(spark, root)
     li = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")),
                          "l_orderkey", "left_semi")
-    # Each line's value is an exact product of cents (it fits a long); the
-    # sum per supplier is combined map-side, so after the part join only one
-    # row per supplier and task is shuffled.  (Summing per (supplier, part)
-    # first would shuffle again for the part join: such pairs rarely repeat
-    # within a task at scale.)
-    units = cents("l_quantity") * cents("p_retailprice")
+    # Each line's value is an exact decimal product; the sum per supplier is
+    # combined map-side, so after the part join only one row per supplier and
+    # task is shuffled.  (Summing per (supplier, part) first would shuffle
+    # again for the part join: such pairs rarely repeat within a task at scale.)
+    (quantity, q), (price, p) = amount(t.lineitem, "l_quantity", 2), amount(t.part, "p_retailprice", 2)
     per_supp = (li.join(t.part.select("p_partkey", "p_retailprice"),
                         F.col("l_partkey") == F.col("p_partkey"))
                 .groupBy("l_suppkey")
-                .agg((F.sum(units).cast("decimal(38,0)") / F.lit(10000)).alias("value")))
+                .agg((F.sum(quantity * price) / F.lit(10 ** (q + p))).alias("value")))
     values = per_supp.join(t.supplier.select("s_suppkey", F.col("s_name").alias("name")),
                            F.col("l_suppkey") == F.col("s_suppkey"))
     return op.percentage_bonus(values, "name", "value", "0.1")
@@ -124,15 +120,20 @@ def percentage_bonus(spark, root):
 def weekday_totals(spark, root):
     ev = Tables(spark, root).events.where(F.col("event_type") == "purchase")
     return op.weekday_totals(ev, "ts", "value", weekday=5, month=1, year=2024,
-                             spine="observed", day_out="day", total_out="total")
+                             spine="observed", day_out="day", total_out="total", scale=2)
+
+
+@query
+def weekday_totals_any_year(spark, root):
+    ev = Tables(spark, root).events.where(F.col("event_type") == "purchase")
+    return op.weekday_totals(ev, "ts", "value", weekday=5, month=1, scale=2)
 
 
 @query
 def weekday_totals_calendar(spark, root):
-    ev = Tables(spark, root).events.where((F.col("event_type") == "purchase")
-                                          & (F.col("user_id") == 0))
+    ev = Tables(spark, root).events.where(F.col("event_type") == "purchase")
     return op.weekday_totals(ev, "ts", "value", weekday=5, month=1, year=2024,
-                             spine="calendar", day_out="day", total_out="total")
+                             spine="calendar", day_out="day", total_out="total", scale=2)
 
 
 @query
@@ -142,7 +143,7 @@ def anti_join_spend(spark, root):
     return op.anti_join_spend(t.orders, installed, t.customer,
                               tx_key="o_orderkey", excluded_key="l_orderkey",
                               tx_entity="o_custkey", entity_key="c_custkey",
-                              name="c_name", amount="o_totalprice", min_total=1000000)
+                              name="c_name", amount="o_totalprice", min_total=1000000, scale=2)
 
 
 # -- partitioned windows -------------------------------------------------------
@@ -150,14 +151,14 @@ def anti_join_spend(spark, root):
 @query
 def strictly_increasing(spark, root):
     o = Tables(spark, root).orders.where(before_year("o_orderdate", 2001))
-    return op.strictly_increasing(o, "o_custkey", F.year("o_orderdate"), "o_totalprice")
+    return op.strictly_increasing(o, "o_custkey", F.year("o_orderdate"), "o_totalprice", scale=2)
 
 
 @query
 def nth_exceeds_prior(spark, root):
     t = Tables(spark, root)
-    spend = (t.lineitem.groupBy("l_orderkey")
-             .agg(from_cents(F.sum(cents("l_extendedprice"))).alias("spend")))
+    price, places = amount(t.lineitem, "l_extendedprice", 2)
+    spend = t.lineitem.groupBy("l_orderkey").agg(from_units(F.sum(price), places).alias("spend"))
     tx = (spend.join(t.orders.select("o_orderkey", "o_custkey",
                                      day_of("o_orderdate").alias("tx_date")),
                      F.col("l_orderkey") == F.col("o_orderkey")))
@@ -170,7 +171,7 @@ def _max_per_group(spark, root, limit):
     rows = (t.lineitem.select("l_orderkey", "l_partkey")
             .join(t.part.select("p_partkey", "p_retailprice"),
                   F.col("l_partkey") == F.col("p_partkey")))
-    return op.max_per_group_ties(rows, "l_orderkey", "p_partkey", "p_retailprice", limit=limit)
+    return op.max_per_group_ties(rows, "l_orderkey", "p_partkey", "p_retailprice", limit=limit, sort=limit is not None)
 
 
 @query
@@ -185,8 +186,7 @@ def max_per_group_ties_all(spark, root):
 
 @query
 def consecutive_days(spark, root):
-    ev = Tables(spark, root).events.where(F.col("event_type") == "purchase")
-    return op.consecutive_days(ev, "user_id", "ts", n=4, mode="windows")
+    return op.consecutive_days(Tables(spark, root).events, "user_id", "ts", n=4, mode="windows")
 
 
 @query
@@ -212,6 +212,7 @@ def first_last_same(spark, root):
     building = t.customer.where(F.col("c_mktsegment") == "BUILDING")
     return op.first_last_same(t.orders, building, owner="o_custkey", trip="o_orderkey",
                               order=["o_orderdate"], dest="o_orderpriority", min_trips=2,
+                              qualifies=F.col("o_orderstatus") == "F",
                               owner_key="c_custkey", out="user_id")
 
 
@@ -283,7 +284,15 @@ def daily_max_ties(spark, root):
 def max_above_max_avg(spark, root):
     ev = Tables(spark, root).events.where((F.col("event_type") == "purchase")
                                           & F.col("event_id").isNotNull())
-    return op.max_above_max_avg(ev, "user_id", "event_id", "value", min_trips=2)
+    return op.max_above_max_avg(ev, "user_id", "event_id", "value", min_trips=2, scale=2)
+
+
+@query
+def max_above_max_avg_ratio(spark, root):
+    # a value with more than two decimals: the product of two rates
+    li = Tables(spark, root).lineitem
+    rate = F.col("l_discount").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(18,2)")
+    return op.max_above_max_avg(li, "l_suppkey", "l_orderkey", rate, min_trips=2, out="supplier_id")
 
 
 TOP_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 6))
@@ -308,15 +317,17 @@ def top_two_values_global(spark, root):
 
 def _basket_rows(t):
     types = ["PROMO", "ECONOMY", "LARGE"]
-    # The types of each order (at most three) are gathered on the order key,
-    # so the orders join reuses that exchange.
+    # One flag per type and order on the order key (plain hash aggregate), so
+    # the orders join reuses that exchange; rows again only after it.
+    flags = [F.bool_or(F.col("p_type") == x).alias(f"_{x}") for x in types]
     per_order = (t.lineitem.select("l_orderkey", "l_partkey")
                  .join(t.part.where(F.col("p_type").isin(*types)).select("p_partkey", "p_type"),
                        F.col("l_partkey") == F.col("p_partkey"))
-                 .groupBy("l_orderkey").agg(F.collect_set("p_type").alias("_types")))
+                 .groupBy("l_orderkey").agg(*flags))
+    has = F.array_compact(F.array(*[F.when(F.col(f"_{x}"), F.lit(x)) for x in types]))
     return (per_order.join(t.orders.select("o_orderkey", "o_custkey"),
                            F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(F.col("o_custkey").alias("customer_id"), F.explode("_types").alias("p_type")))
+            .select(F.col("o_custkey").alias("customer_id"), F.explode(has).alias("p_type")))
 
 
 @query
@@ -347,7 +358,7 @@ def _rolling(spark, root, limit):
             .join(t.orders.select("o_orderkey", F.month("o_orderdate").alias("_month")),
                   F.col("l_orderkey") == F.col("o_orderkey")))
     return op.rolling_dense_sum(rows, "l_partkey", F.col("_month"), "l_quantity",
-                                width=3, drop_latest=True, limit=limit, period_bound=12)
+                                width=3, drop_latest=True, limit=limit, sort=limit is not None, scale=2)
 
 
 @query
@@ -360,11 +371,24 @@ def rolling_dense_sum_all(spark, root):
     return _rolling(spark, root, None)
 
 
+@query
+def rolling_dense_sum_revenue(spark, root):
+    """Price x quantity per part and year-month, all rows."""
+    t = Tables(spark, root)
+    two = "decimal(18,2)"
+    rows = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+            .join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("_month")),
+                  F.col("l_orderkey") == F.col("o_orderkey")))
+    value = F.col("l_quantity").cast(two) * F.col("p_retailprice").cast(two)
+    return op.rolling_dense_sum(rows, "l_partkey", F.col("_month"), value, width=3, drop_latest=True, sort=False)
+
+
 # -- graph ---------------------------------------------------------------------
 
-def _k_hop(spark, root, mode):
+def _k_hop(spark, root, mode, limit=None):
     g = edges(Tables(spark, root).events)
-    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode)
+    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode, limit=limit)
 
 
 @query
@@ -375,3 +399,8 @@ def k_hop(spark, root):
 @query
 def k_hop_within(spark, root):
     return _k_hop(spark, root, "within")
+
+
+@query
+def k_hop_first_10(spark, root):
+    return _k_hop(spark, root, "exact", limit=10)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every quarry job relies on.  AQE re-plans joins from runtime
@@ -34,13 +31,7 @@ def make_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, creating a local one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; a cluster without it is an error.  Only in local mode with
-    nothing configured (tests, benches) a fresh folder under the system temp
-    dir is made.
-    """
+    """The session's checkpoint folder (``spark.checkpoint.dir``); an error if none is named."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's configuration applies
@@ -52,10 +43,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: point it at a folder every executor "
-            "shares (checkpointed data must outlive any one machine)")
-    path = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(os.path.join(path, "ckpt"))
-    return sc.getCheckpointDir()
+    raise RuntimeError(
+        "spark.checkpoint.dir is not set: point it at a folder every executor "
+        "shares (checkpointed data must outlive any one machine)")

@@ -3,15 +3,14 @@
 Reads are lazy: a ``Tables`` object only resolves paths, and Catalyst prunes
 the columns each query uses and pushes its filters into the parquet scan.
 
-A table's schema is resolved once per session and path: later reads pass it
+A ``Tables`` object resolves each table's schema once: its later reads pass it
 to the reader, which then plans without the footer-reading job that schema
-inference starts on every ``spark.read.parquet`` call.
+inference starts.  A new object sees changed files anew.
 """
 
 from __future__ import annotations
 
 import os
-import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -22,18 +21,6 @@ TABLES = (
 ).split()
 
 
-_SCHEMAS: dict[tuple, StructType] = {}
-_LOCK = threading.Lock()
-
-
-def _stamp(path: str):
-    try:
-        st = os.stat(path)
-        return (st.st_mtime_ns, st.st_size)
-    except OSError:  # not a local path (object store): the path is the key
-        return None
-
-
 class Tables:
     """``Tables(spark, "/data/sf0.1").orders`` -> DataFrame of orders.parquet.
 
@@ -46,6 +33,7 @@ class Tables:
         self.spark = spark
         self.root = root
         self.pattern = pattern
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, self.pattern.format(name=name))
@@ -53,16 +41,11 @@ class Tables:
     def load(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(f"unknown table {name!r}")
-        path = self.path(name)
-        key = (id(self.spark), path, _stamp(path))
-        with _LOCK:
-            schema = _SCHEMAS.get(key)
-        if schema is None:
-            df = self.spark.read.parquet(path)
-            with _LOCK:
-                _SCHEMAS[key] = df.schema
+        if name not in self._schemas:
+            df = self.spark.read.parquet(self.path(name))
+            self._schemas[name] = df.schema
             return df
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
