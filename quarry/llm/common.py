@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +18,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 def shared_path(spark: SparkSession, what: str) -> str:
     """A new folder name under the cluster's shared folder (``spark.checkpoint.dir``)."""
+    if spark.sparkContext.getCheckpointDir() is None and spark.sparkContext.master.startswith("local["):
+        # tests and trials on one machine, with no folder named
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-"))
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
