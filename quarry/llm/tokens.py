@@ -7,7 +7,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-_LIMIT = 300_000  # words remembered by a worker; the memory is emptied beyond it
+_LIMIT = 500_000  # words of each of the two generations that a worker remembers
 
 
 class WordTokenizer:
@@ -28,6 +28,7 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint32) of all documents in a row, and where each document's ids begin."""
@@ -47,10 +48,16 @@ class WordTokenizer:
         words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
         coded = words.dictionary_encode()
         distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        known = self._known
-        if len(known) > _LIMIT:
-            known.clear()
-        new = [w for w in distinct if w not in known]
+        if len(self._known) > _LIMIT:  # words not met since the last turn are forgotten
+            self._known, self._before = {}, self._known
+        known, older = self._known, self._before
+        missing = [w for w in distinct if w not in known]
+        new = []
+        for w in missing:
+            if w in older:
+                known[w] = older[w]
+            else:
+                new.append(w)
         for at in range(0, len(new), 20_000):
             part = new[at:at + 20_000]
             for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
