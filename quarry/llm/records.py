@@ -110,7 +110,8 @@ def _decode(payload: bytes) -> tuple[int | None, bytes]:
 def read_records(spark: SparkSession, index: DataFrame, buffer: int = 8 << 20) -> DataFrame:
     """Read whole record files back in their order, one task per file.
 
-    Every frame's two checksums are verified.  The number of ids before each
+    The file names are few bytes, so the number of tasks is given and not left
+    to the sizes of partitions.  Every frame's two checksums are verified.  The number of ids before each
     file is summed from the index over its files, one row per file.
 
     Returns id, start (ids of all records before it), n_tokens, ids
@@ -142,7 +143,8 @@ def read_records(spark: SparkSession, index: DataFrame, buffer: int = 8 << 20) -
                     if rest:
                         raise OSError(f"{file}: it ends inside a record")
 
-    return files.repartition("file").mapInArrow(read, "id long, start long, n_tokens long, ids binary")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(tasks, "file").mapInArrow(read, "id long, start long, n_tokens long, ids binary")
 
 
 def read_shuffled(index: DataFrame, seed: int = 0) -> DataFrame:

@@ -172,7 +172,8 @@ def locate(archives: DataFrame) -> DataFrame:
                             [pa.array([archive] * len(spots)), pa.array([base + s["offset"] for s in spots], pa.int64()),
                              pa.array([s["length"] for s in spots], pa.int64())], names=["archive", "position", "bytes"])
 
-    return archives.repartition("archive").mapInArrow(find, "archive string, position long, bytes long")
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # paths are few bytes: not left to partition sizes
+    return archives.repartition(tasks, "archive").mapInArrow(find, "archive string, position long, bytes long")
 
 
 def _ranges(spots: list[tuple[str, int, int]], most: int) -> Iterator[list[tuple[str, int, int]]]:
