@@ -16,7 +16,7 @@ from quarry.llm.words import shingle_sets, text_runs
 
 K = 64  # values kept of each set
 SHARE = 0.5  # of a sketch must be shared by candidates; 0.8 +- 6 standard errors at K
-GROUP, GROUP_MB = 512, 32  # members and MB of sets compared at once
+GROUP, GROUP_MB = 128, 32  # members and MB of sets compared at once
 
 
 def _binary(sets: list[np.ndarray]) -> pa.Array:
