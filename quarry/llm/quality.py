@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.llm.words import mix, text_runs, word_hashes, word_spans
 
 SAMPLE = 6000  # labelled documents fitted on, at most
-SAMPLE_LINES = 256  # lines of each that are fitted on, at most
+SAMPLE_LINES = 64  # lines of each that are fitted on, at most
 _PLAIN = b".,;:'\"()?-"
 
 
