@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame], *,
           k: int = 4, mode: str = "exact", src: str = "src", dst: str = "dst",
           node: str = "node", limit: int | None = None, checkpoint_every: int | None = None,
-          split_hot: bool = True, max_hot: int = 10000, out: str = "follower_id") -> DataFrame:
+          split_hot: bool = True, salts: int | None = None, max_hot: int = 10000, out: str = "follower_id") -> DataFrame:
     """Distinct nodes that reach a start node along ``src -> dst`` edges in
     exactly ``k`` steps (``mode='exact'``: walks, nodes may repeat, cycles are
     allowed) or in 1..k steps (``mode='within'``).
@@ -33,6 +33,11 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     broadcasts).  Hot edges are matched map-side against a broadcast of the
     frontier's hot nodes; the rest go through an ordinary, balanced semi-join.
 
+    That refers to each frontier twice, so the plan doubles with every level:
+    it suits a small ``k``.  With ``salts`` the edges of hot targets are dealt
+    into that many parts instead and the frontier's hot nodes stand once in
+    each, so one join per level does and the plan grows linearly.
+
     For a large ``k`` the caller may ask for a reliable checkpoint of the
     frontier every ``checkpoint_every`` levels, into the folder that the
     session names (``spark.checkpoint.dir``; without one Spark raises).  That
@@ -46,14 +51,24 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"))
     if callable(start):
         start = start(e.select(F.col("_s").alias(src), F.col("_d").alias(dst)))
-    step_edges = _split_hot_targets(e, max_hot) if split_hot else None
+    hot_keys = _hot_targets(e, max_hot) if split_hot or salts else None
+    if salts:
+        part = F.when(F.col("_h").isNotNull(), F.pmod(F.xxhash64("_s"), F.lit(salts))).otherwise(0).cast("int")
+        dealt = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left").select("_s", "_d", part.alias("_part"))
+        parts = F.when(F.col("_h").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    elif split_hot:
+        hot = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_semi")
+        cold = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_anti")
     frontier = start.select(F.col(node).alias("_n")).distinct()
     reached = None
     for step in range(1, k + 1):
-        if step_edges is None:
+        if salts:
+            each = (frontier.join(F.broadcast(hot_keys), F.col("_n") == F.col("_h"), "left")
+                            .select("_n", F.explode(parts).alias("_at")))
+            nxt = dealt.join(each, (F.col("_d") == F.col("_n")) & (F.col("_part") == F.col("_at")), "left_semi")
+        elif not split_hot:
             nxt = e.join(frontier, F.col("_d") == F.col("_n"), "left_semi")
         else:
-            hot_keys, hot, cold = step_edges
             # Hot targets: the frontier's hot nodes (at most ``max_hot``) are
             # broadcast to the hot edges, which never shuffle.  Cold targets:
             # an ordinary sort-merge semi-join, balanced by construction.
@@ -74,8 +89,8 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     return res.limit(limit) if limit is not None else res
 
 
-def _split_hot_targets(e: DataFrame, max_hot: int):
-    """(hot target keys, hot edges, cold edges).
+def _hot_targets(e: DataFrame, max_hot: int) -> DataFrame:
+    """Keys (``_h``) of the hot targets.
 
     A target is hot when its in-degree times ``max_hot`` exceeds the number of
     edges, so fewer than ``max_hot`` targets are, whatever the data.  Degrees
@@ -83,8 +98,4 @@ def _split_hot_targets(e: DataFrame, max_hot: int):
     """
     degree = e.groupBy("_d").agg(F.count(F.lit(1)).alias("_deg"))
     edges = degree.agg(F.struct(F.sum("_deg").alias("n"), F.max("_d").alias("d"))).scalar()
-    hot_keys = (degree.where(F.col("_deg") * max_hot > edges.getField("n"))
-                .select(F.col("_d").alias("_h")))  # fewer than max_hot rows
-    hot = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_semi")
-    cold = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_anti")
-    return hot_keys, hot, cold
+    return degree.where(F.col("_deg") * max_hot > edges.getField("n")).select(F.col("_d").alias("_h"))

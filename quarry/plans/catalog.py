@@ -388,7 +388,7 @@ def rolling_dense_sum_revenue(spark, root):
 
 def _k_hop(spark, root, mode, limit=None):
     g = edges(Tables(spark, root).events)
-    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode, limit=limit)
+    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode, limit=limit, salts=16)
 
 
 @query

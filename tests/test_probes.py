@@ -148,3 +148,13 @@ def test_any_year_weekdays(spark):
     df = spark.createDataFrame([(dt.datetime(y, 1, d), 1.005) for y in (2023, 2024) for d in range(1, 32)], "ts timestamp_ntz, v double")
     got = rows(op.weekday_totals(df, "ts", "v", month=1))
     assert len(got) == 8 and {r[1] for r in got} == {1.005}
+
+
+def test_salted_k_hop_deals_hot_edges_and_reaches_the_same_nodes(spark):
+    edges = spark.range(3000).select(F.col("id").alias("src"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("dst"))
+    start = spark.createDataFrame([(0,)], "node long")
+    for mode in ("exact", "within"):
+        for k in (1, 3):
+            plain = rows(op.k_hop(edges, start, k=k, mode=mode, split_hot=False))
+            assert rows(op.k_hop(edges, start, k=k, mode=mode, salts=8)) == plain
+            assert rows(op.k_hop(edges, start, k=k, mode=mode, salts=8, max_hot=5)) == plain
