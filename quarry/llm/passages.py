@@ -1,4 +1,4 @@
-"""Passages that repeat across documents, by sparse suffix arrays."""
+"""Passages that repeat across documents, by minimiser keys and the windows around them."""
 
 from __future__ import annotations
 
@@ -11,107 +11,75 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import hash128, materialise
-from quarry.llm.words import grams, text_runs, word_hashes, word_spans
+from quarry.llm.words import grams, mix, text_runs, word_hashes, word_spans
 
 ORDER = 8  # words of the grams whose hashes choose positions
 _STEP = 1 << 18
 
 
-def sample_positions(words: np.ndarray, first: np.ndarray, min_words: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Minimiser positions (indexes of words) of documents in a row, and their documents.
+def _windows(words: np.ndarray, first: np.ndarray, min_words: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every run of ``min_words`` words inside a document: its first word, its minimiser, and whether that is tied.
 
-    Every run of ``min_words`` words holds ``window`` positions whose next
-    ``min_words - window + 1`` words are inside it, and the one whose gram has
-    the lowest hash is retained, so equal runs retain equal positions.  Where
-    periodic text ties, one position in ``window`` and the last are enough.
+    A run holds ``window`` positions whose next ``min_words - window + 1``
+    words are inside it; its minimiser is the one whose gram has the lowest
+    hash, so equal runs have equal minimisers.
     """
-    none = np.empty(0, np.int64)
-    score = grams(words, ORDER)
     if len(words) < min_words:
-        return none, none
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
     begin = np.arange(len(words) - min_words + 1)
     doc = np.searchsorted(first, begin, "right") - 1
     inside = begin + min_words <= first[doc + 1]
-    low = np.empty(len(begin), np.int64)
-    view = sliding_window_view(score, window)
+    low, tied = np.empty(len(begin), np.int64), np.empty(len(begin), bool)
+    view = sliding_window_view(grams(words, ORDER), window)
     for at in range(0, len(begin), _STEP):
-        low[at:at + _STEP] = view[at:at + _STEP][:len(begin) - at].argmin(1)
-    chosen = np.unique((begin + low)[inside])
-    if len(chosen) == 0:
-        return none, none
-    owner = np.searchsorted(first, chosen, "right") - 1
-    tied = np.append(False, (score[chosen][1:] == score[chosen][:-1]) & (np.diff(chosen) < window) & (owner[1:] == owner[:-1]))
-    head = np.maximum.accumulate(np.where(tied, 0, np.arange(len(chosen))))
-    lap = (chosen - chosen[head]) // window
-    keep = ~tied | np.append(True, lap[1:] != lap[:-1]) | np.append(~tied[1:], True)
-    return chosen[keep], owner[keep]
-
-
-def _contexts(short: np.ndarray, first: np.ndarray, at: np.ndarray, owner: np.ndarray, key: int, reach: int) -> tuple[list[bytes], list[bytes]]:
-    """16-bit word hashes behind the key, and before it (nearest first), up to the document's ends."""
-    right, left = [], []
-    for p, d in zip(at.tolist(), owner.tolist()):
-        right.append(short[p + key:min(p + key + reach, first[d + 1])].tobytes())
-        left.append(short[max(p - reach, first[d]):p][::-1].tobytes())
-    return right, left
-
-
-def _common(a: bytes, b: bytes) -> int:
-    """Words two contexts share from their start."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n // 2
-    x, y = np.frombuffer(a, ">u2", n // 2), np.frombuffer(b, ">u2", n // 2)
-    return int(np.argmax(x != y))
-
-
-def _near(docs: list, order: list[int]) -> Iterator[tuple[int, int]]:
-    """In this order, each row with the nearest row before it that has another document, and the reverse."""
-    run = 0
-    for n in range(1, len(order)):
-        if docs[order[n]] != docs[order[n - 1]]:
-            run = n
-        if run:
-            yield order[n], order[run - 1]
-    run = len(order) - 1
-    for n in range(len(order) - 2, -1, -1):
-        if docs[order[n]] != docs[order[n + 1]]:
-            run = n
-        if run < len(order) - 1:
-            yield order[n], order[run + 1]
-
-
-def _matches(rows: list[tuple], key: int, min_words: int) -> list[tuple]:
-    """Spans (d1, d2, id, start, end, other) of rows of one key, in suffix order: (right, left, d1, d2, id, pos)."""
-    docs = [r[2:4] for r in rows]
-    orders = [list(range(len(rows)))]
-    if len(rows) > 2:
-        orders.append(sorted(orders[0], key=lambda n: (rows[n][1], rows[n][0], docs[n])))
-    best: dict[int, list] = {}
-    for order in orders:
-        for n, m in _near(docs, order):
-            r, s = rows[n], rows[m]
-            ahead, back = _common(r[0], s[0]), _common(r[1], s[1])
-            if back + key + ahead >= min_words:
-                span = [r[5] - back, r[5] + key + ahead, s[4]]
-                have = best.setdefault(n, span)
-                have[0], have[1] = min(have[0], span[0]), max(have[1], span[1])
-    return [(*rows[n][2:5], *span) for n, span in best.items()]
+        part = view[at:at + _STEP][:len(begin) - at]
+        low[at:at + _STEP] = part.argmin(1)
+        tied[at:at + _STEP] = low[at:at + _STEP] != window - 1 - part[:, ::-1].argmin(1)
+    return begin[inside], (begin + low)[inside], tied[inside]
+
+
+def sample_positions(words: np.ndarray, first: np.ndarray, min_words: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimisers (indexes of words) of the untied windows, and one of each document's equal tied windows.
+
+    Tied windows stand in periodic text, so few of them differ.
+    """
+    begin, low, tied = _windows(words, first, min_words, window)
+    begin = begin[tied]
+    whole, doc = grams(words, min_words)[begin], np.searchsorted(first, begin, "right") - 1
+    order = np.lexsort((whole, doc))
+    new = np.append(True, (np.diff(doc[order]) != 0) | (whole[order][1:] != whole[order][:-1]))[:len(order)]
+    return np.unique(low[~tied]), begin[order[new]]
+
+
+def _runs(words: np.ndarray, first: np.ndarray, min_words: int, window: int, shared: np.ndarray, periodic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of one shared minimiser, and tied windows equal to a ``periodic`` one: (position or -1, first window, windows)."""
+    begin, low, tied = _windows(words, first, min_words, window)
+    mark = np.zeros(len(words) + 1, bool)
+    mark[shared] = True
+    whole = grams(words, min_words)
+    among = np.zeros(len(begin), bool)
+    among[tied] = np.isin(whole[begin[tied]], whole[periodic])
+    wanted = among | (~tied & mark[low])
+    begin, own = begin[wanted], np.where(tied, -1, low)[wanted]
+    heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (own[1:] < 0) | (np.diff(begin) != 1))[:len(begin)])
+    return own[heads], begin[heads], np.diff(np.append(heads, len(begin)))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, window: int = 30) -> DataFrame:
     """Maximal spans of at least ``min_words`` words that also occur in another document.
 
-    Retained suffixes begin at minimiser positions.  Only those whose first
-    ``min_words - window + 1`` words occur in two documents or more are
-    sorted, by those words, then the words behind and before them; the sort
-    is a range partitioning over all of these, so a passage in a great many
-    documents spreads over tasks, and the rows at the ends of the ranges are
-    compared once more.  Neighbours of different documents are extended right
-    and left.  Overlapping spans of a document are merged, so a copied
+    Windows of ``min_words`` words belong to minimiser positions (tied ones
+    of periodic text to themselves), and only positions whose first
+    ``min_words - window + 1`` words (their key) occur in two documents or
+    more count.  Positions of one key with equal windows
+    are a class, grouped by a hash; a class of two documents or more repeats
+    as a whole.  Where a key has several classes and one of them is in one
+    document only, the windows of one row of each class are grouped by their
+    hashes, so every window meets all documents, whatever stands around it.
+    Groups are combined map-side, so a passage in a great many documents is
+    no hot task.  Overlapping windows of a document are merged, so a copied
     document is one span.  Words are runs without white space, A-Z lowered,
-    compared by hashes (64 bits for the first words, 16 for each word that
-    extends them).
+    compared by 64-bit hashes.
 
     Defined results: null, empty and short texts have no spans; rows that
     repeat both id and text count as one document; null ids are allowed; an
@@ -122,7 +90,6 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     key = min_words - window + 1
     if key < ORDER:
         raise ValueError(f"min_words - window must be {ORDER - 1} or more")
-    reach = min_words - key
     text = F.coalesce(F.col(text_col), F.lit(""))
     d1, d2 = hash128(F.col(id_col), text)
     rows = docs.select(d1.alias("d1"), d2.alias("d2"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
@@ -132,71 +99,79 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             for lo, _, data, offsets in text_runs(batch.column("text")):
                 starts, ends, first = word_spans(data, offsets)
                 words = word_hashes(data, starts, ends)
-                at, owner = sample_positions(words, first, min_words, window)
+                lowest, periodic = sample_positions(words, first, min_words, window)
+                at = np.concatenate([lowest, periodic])
+                owner = np.searchsorted(first, at, "right") - 1
                 which = pa.array(lo + owner)
+                h = np.concatenate([grams(words, key)[lowest], grams(words, min_words)[periodic]])
+                pos = np.where(np.arange(len(at)) < len(lowest), at - first[owner], first[owner] - at - 1)  # below 0: a tied window
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams(words, key)[at].view(np.int64)), batch.column("d1").take(which), batch.column("d2").take(which),
-                     pa.array((at - first[owner]).astype(np.int32))], names=["h", "d1", "d2", "pos"])
+                    [pa.array(h.view(np.int64)), batch.column("d1").take(which), batch.column("d2").take(which), pa.array(pos.astype(np.int32))],
+                    names=["h", "d1", "d2", "pos"])
 
-    samples = materialise(rows.select("d1", "d2", "text").mapInArrow(sample, "h long, d1 long, d2 long, pos int"), "suffixes")
+    samples = materialise(rows.select("d1", "d2", "text").mapInArrow(sample, "h long, d1 long, d2 long, pos int"), "samples")
     often = samples.groupBy("h").agg((F.min("d1") != F.max("d1")).alias("shared")).filter("shared").select("h")
-    often = materialise(often, "shared-suffixes")
+    often = materialise(often, "shared-keys")
     shared = samples.join(often, "h").groupBy("d1", "d2").agg(F.collect_set("pos").alias("at"))
     wanted = rows.join(shared, ["d1", "d2"]).select("d1", "d2", "id", "text", "at")
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_runs(batch.column("text")):
                 starts, ends, first = word_spans(data, offsets)
                 words = word_hashes(data, starts, ends)
-                short = (words >> np.uint64(48)).astype(">u2")
                 lists = batch.column("at").slice(lo, hi - lo)
-                n = lists.value_lengths().to_numpy(zero_copy_only=False)
-                owner = np.repeat(np.arange(hi - lo), n)
-                at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + first[owner]
-                right, left = _contexts(short, first, at, owner, key, reach)
+                head = np.repeat(first[:-1], lists.value_lengths().to_numpy(zero_copy_only=False))
+                pos = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                at, a, n = _runs(words, first, min_words, window, (head + pos)[pos >= 0], (head - pos - 1)[pos < 0])
+                whole = grams(words, min_words)
+                h = np.where(at < 0, whole[a], grams(words, key)[at])
+                with np.errstate(over="ignore"):  # the first and the last window hold all words between them
+                    same = mix(mix(whole[a] + (at - a).astype(np.uint64)) ^ (whole[a + n - 1] + n.astype(np.uint64)))
+                owner = np.searchsorted(first, a, "right") - 1
                 which = pa.array(lo + owner)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams(words, key)[at].view(np.int64)), pa.array(right, pa.binary()), pa.array(left, pa.binary()),
-                     *[batch.column(c).take(which) for c in ("d1", "d2", "id")], pa.array((at - first[owner]).astype(np.int64))],
-                    names=["h", "right", "left", "d1", "d2", "id", "pos"])
-
-    suffix = "h long, right binary, left binary, d1 long, d2 long, id long, pos long"
-    order = ["h", "right", "left", "d1", "d2", "pos"]
-    suffixes = materialise(wanted.mapInArrow(extend, suffix), "sorted-suffixes")
-    names = ["h", "right", "left", "d1", "d2", "id", "pos", "start", "end", "other"]
-    types = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 7]
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        held, first_row = None, None
-
-        def spans(found: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
-            made = [(None, None, None, a, b, i, None, s, e, o) for a, b, i, s, e, o in found] + [(*x, None, None, None) for x in edges]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 10, types)], names=names)
-
+                    [pa.array(h.view(np.int64)), pa.array(same.view(np.int64)),
+                     *[batch.column(c).take(which) for c in ("d1", "d2", "id")], pa.array(a - first[owner]), pa.array(n.astype(np.int32)),
+                     pa.array([whole[x:x + m].tobytes() for x, m in zip(a.tolist(), n.tolist())], pa.binary())],
+                    names=["h", "class", "d1", "d2", "id", "start", "n", "windows"])
+
+    runs = materialise(wanted.mapInArrow(cut, "h long, class long, d1 long, d2 long, id long, start long, n int, windows binary"), "window-runs")
+    classes = runs.groupBy("h", "class").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi"))
+    classes = materialise(classes, "window-classes")
+    mixed = classes.groupBy("h").agg(((F.min("class") != F.max("class")) & F.max(F.col("lo") == F.col("hi"))).alias("mixed")).filter("mixed")
+    mixed = materialise(mixed, "mixed-keys")  # a join with the aggregate itself could not be split at a hot key
+    known = runs.join(classes.join(mixed, "h", "left"), ["h", "class"]).filter("lo != hi OR mixed")
+    columns = ["d1", "d2", "id", "start", "end", "lo", "hi", "w"]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for h, *row in zip(*(batch.column(c).to_pylist() for c in names[:7])):
-                if first_row is None:
-                    first_row = (h, *row)
-                if h != held or len(group) >= 20_000:  # a longer group goes on from its last row
-                    found += _matches(group, key, min_words)
-                    group, held = (group[-1:] if h == held else []), h
-                group.append(tuple(row))
-            yield spans(found, [])
-        if first_row is not None:
-            yield spans(_matches(group, key, min_words), [first_row, (held, *group[-1])])
-
-    schema = suffix + ", start long, `end` long, other long"
-    passed = materialise(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, schema), "passages")
-    # two rows of each range at most: the ends of neighbouring ranges
-    ends_ = passed.filter("start IS NULL").select(names[:7]).distinct().repartition(1).sortWithinPartitions(*order)
-    across = ends_.mapInArrow(compare, schema)
-    found = passed.unionByName(across).filter("start IS NOT NULL").select("d1", "d2", "id", "start", "end", "other")
+            d1, lo, hi, start = (batch.column(c).to_numpy() for c in ("d1", "lo", "hi", "start"))
+            n = batch.column("n").to_numpy().astype(np.int64)
+            repeats = pa.array(lo != hi)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).filter(repeats) for c in ("d1", "d2", "id", "start")], pa.array(start + n - 1 + min_words).filter(repeats),
+                 batch.column("lo").filter(repeats), batch.column("hi").filter(repeats), pa.nulls(int((lo != hi).sum()), pa.int64())], names=columns)
+            asked = np.flatnonzero(batch.column("mixed").fill_null(False).to_numpy(zero_copy_only=False) & (d1 == lo))
+            which = pa.array(np.repeat(asked, n[asked]))
+            nth = np.arange(n[asked].sum()) - np.repeat(np.cumsum(n[asked]) - n[asked], n[asked])
+            w = np.frombuffer(b"".join(batch.column("windows").take(pa.array(asked)).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(which) for c in ("d1", "d2", "id")], pa.array(np.repeat(start[asked], n[asked]) + nth), pa.nulls(len(w), pa.int64()),
+                 batch.column("lo").take(which), batch.column("hi").take(which), pa.array(w)], names=columns)
+
+    found = materialise(known.select("d1", "d2", "id", "start", "n", "lo", "hi", "mixed", "windows").mapInArrow(
+        spread, "d1 long, d2 long, id long, start long, `end` long, lo long, hi long, w long"), "passages")
+    single = found.filter("w IS NOT NULL")
+    twice = single.groupBy("w").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo != hi")
+    more = (single.filter("lo = hi").select("d1", "d2", "id", "start", (F.col("start") + min_words).alias("end"), "w")
+            .join(twice, "w").select("d1", "d2", "id", "start", "end", "lo", "hi"))
+    found = found.filter("w IS NULL").drop("w").unionByName(more)
+    found = found.select("d1", "d2", "id", "start", "end", F.when(F.col("lo") == F.col("d1"), F.col("hi")).otherwise(F.col("lo")).alias("other"))
 
     w = Window.partitionBy("d1", "d2").orderBy("start", "end")
     new = F.coalesce((F.col("start") > F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
     island = found.withColumn("new", new).withColumn("island", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return (island.groupBy("d1", "d2", "id", "island").agg(F.min("start").alias("start_word"), F.max("end").alias("last"), F.max_by("other", F.col("end") - F.col("start")).alias("other_id"))
-            .select("id", "start_word", (F.col("last") - F.col("start_word")).alias("n_words"), "other_id"))
+    spans = island.groupBy("d1", "d2", "id", "island").agg(F.min("start").alias("start_word"), F.max("end").alias("last"), F.max_by("other", F.col("end") - F.col("start")).alias("other"))
+    named = runs.select(F.col("d1").alias("other"), F.col("id").alias("other_id")).distinct()
+    return spans.join(named, "other").select("id", "start_word", (F.col("last") - F.col("start_word")).alias("n_words"), "other_id")

@@ -15,6 +15,7 @@ from helpers import SCHEMA, awkward, frame, words
 from quarry.llm import warc
 from quarry.llm.passages import repeated_passages
 from quarry.llm.topk import segment_features, top_inner_products
+from quarry.llm.words import grams, word_hashes, word_spans
 
 VECTORS = "vec_id long, embedding array<float>, label int, v string, id long, score int"
 
@@ -135,3 +136,33 @@ def test_passages_repeated_rows_and_null_ids(spark):
     alone = repeated_passages(frame(spark, [text, text], [1, 1])).count()
     both = repeated_passages(frame(spark, [text, text + " x"], [1, None])).collect()
     assert alone == 0 and sorted((str(r.id), r.n_words) for r in both) == [("1", 90), ("None", 90)]
+
+
+def low_gram(fresh):
+    """Eight words whose gram has a low hash, so that their position is retained."""
+    text = " ".join(" ".join(fresh(8)) for _ in range(500)).encode()
+    starts, ends, _ = word_spans(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    at = 8 * int(grams(word_hashes(np.frombuffer(text, np.uint8), starts, ends), 8)[::8].argmin())
+    return text.decode().split()[at:at + 8]
+
+
+def check_passages(spark, texts, n=50):
+    texts, got = [" ".join(t) for t in texts], {}
+    for r in repeated_passages(frame(spark, texts), min_words=n).collect():
+        assert r.n_words >= n and r.other_id != r.id
+        got.setdefault(r.id, set()).update(range(r.start_word, r.start_word + r.n_words))
+    assert got == passage_truth(texts, range(len(texts)), n)
+    return got
+
+
+def test_passages_through_a_hot_key(spark):
+    """Pairs share 12 words before a boilerplate that stands in 30,000 documents with other text behind it."""
+    rng = random.Random(1)
+    fresh = lambda n: [f"q{rng.randrange(10 ** 9)}" for _ in range(n)]
+    common = fresh(10) + low_gram(fresh) + fresh(22)
+    texts = [fresh(2) + common + fresh(10) for _ in range(30_000)]
+    for _ in range(12):
+        before = fresh(12)
+        texts += [fresh(4) + before + common + fresh(12) for _ in range(2)]
+    got = check_passages(spark, texts)
+    assert sorted(got) == list(range(30_000, 30_024)) and all(len(x) == 52 for x in got.values())
