@@ -166,3 +166,28 @@ def test_passages_through_a_hot_key(spark):
         texts += [fresh(4) + before + common + fresh(12) for _ in range(2)]
     got = check_passages(spark, texts)
     assert sorted(got) == list(range(30_000, 30_024)) and all(len(x) == 52 for x in got.values())
+
+
+def test_passages_behind_decoys(spark):
+    """Other documents share more on one side of a passage, and too little on the other."""
+    rng = random.Random(2)
+    fresh = lambda n: [f"q{rng.randrange(10 ** 9)}" for _ in range(n)]
+    texts = []
+    for _ in range(20):
+        p, x, y = fresh(15) + low_gram(fresh) + fresh(27), fresh(5), fresh(5)
+        texts += [fresh(20) + x + p + y + fresh(20), fresh(20) + p + fresh(20)]
+        texts += [t for _ in range(4) for t in (fresh(20) + p[10:] + y + fresh(20), fresh(20) + x + p[:40] + fresh(20))]
+    got = check_passages(spark, texts)
+    assert all(len(got[10 * n]) == len(got[10 * n + 1]) == 50 for n in range(20))
+
+
+def test_passages_of_periodic_text(spark):
+    """A repeated gram of the lowest hash, with other words between, entered at different laps."""
+    rng = random.Random(3)
+    fresh = lambda n: [f"q{rng.randrange(10 ** 9)}" for _ in range(n)]
+    texts = []
+    for _ in range(20):
+        gram = low_gram(fresh)
+        whole = [w for _ in range(8) for w in gram + fresh(12)]
+        texts += [fresh(9) + whole + fresh(9), fresh(9) + whole[20:75] + fresh(9), fresh(9) + whole[40:92] + fresh(9)]
+    check_passages(spark, texts)
