@@ -3,52 +3,75 @@
 from __future__ import annotations
 
 import heapq
+from array import array
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quarry.llm.common import hash128, whole_row
 
-CYCLE = 4096  # slots after which the schedule repeats
+CYCLE = 1 << 40  # slots that weights are rounded to
+MOST_BLOCKS = 1 << 22  # each is scheduled in the driver; a schedule of more repeats after as many slots
 MOST_SOURCES = 100_000  # a weight for each is kept in the driver
 _BUCKETS = 14  # bits
+_PART = 256  # slots of a source in a row of the schedule
 
 
 def shares(weights: list[float], cycle: int) -> list[int]:
-    """Slots of each source in a cycle: proportional to the weights, one at least, exactly ``cycle`` in all."""
-    total = sum(weights)
-    free = cycle - len(weights)
-    exact = [w / total * free for w in weights]
-    got = [int(x) for x in exact]
-    rest = sorted(range(len(weights)), key=lambda i: (got[i] - exact[i], i))[:free - sum(got)]
-    more = set(rest)
-    return [1 + g + (i in more) for i, g in enumerate(got)]
+    """Slots of each source in a cycle: proportional to the weights by largest remainders, exactly ``cycle`` in all.
 
-
-def pfair(slots: list[int]) -> list[tuple[int, int]]:
-    """(source, block) of each slot of a cycle.
+    Sources whose share is less than a slot get one.
+    """
+    top = max(weights)
+    exact = [int(w / top * (1 << 60)) for w in weights]
+    more, total, free = list(range(len(weights))), sum(exact), cycle
+    while low := [i for i in more if exact[i] * free < total]:
+        free -= len(low)
+        total -= sum(exact[i] for i in low)
+        gone = set(low)
+        more = [i for i in more if i not in gone]
+    got = [1] * len(weights)
+    for i in more:
+        got[i] = exact[i] * free // total
+    left = free - sum(got[i] for i in more)
+    for i in sorted(more, key=lambda i: (-(exact[i] * free % total), i))[:left]:
+        got[i] += 1
+    return got
+
+
+def timed(slots: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(slot, source, block) of the first ``blocks`` of each source, in the order of slots.
 
     Block j of a source with n of the cycle's N slots is released at
     floor(j N / n) and due at ceil((j + 1) N / n).  Each slot goes to the
     released block that is due first, which meets every deadline, so at any
-    time each source is less than one block from its share.
+    time each source is less than one block from its share.  Slots of sources
+    without further blocks stay empty.
     """
     total = sum(slots)
-    release: list[list[tuple[int, int, int]]] = [[] for _ in range(total)]
-    for source, n in enumerate(slots):
-        for j in range(n):
-            release[j * total // n].append((-(-(j + 1) * total // n), source, j))
+    later = [(0, source, 0) for source, n in enumerate(blocks) if n]  # a source's next block: released then
     ready: list[tuple[int, int, int]] = []
-    out = []
-    for t in range(total):
-        for job in release[t]:
-            heapq.heappush(ready, job)
+    t = 0
+    while later or ready:
+        if not ready:
+            t = max(t, later[0][0])
+        while later and later[0][0] <= t:
+            _, source, j = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(j + 1) * total // slots[source]), source, j))
         due, source, j = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a deadline is missed")
-        out.append((source, j))
-    return out
+        yield t, source, j
+        if j + 1 < blocks[source]:
+            heapq.heappush(later, ((j + 1) * total // slots[source], source, j + 1))
+        t += 1
+
+
+def pfair(slots: list[int]) -> list[tuple[int, int]]:
+    """(source, block) of each slot of a cycle."""
+    return [(source, j) for _, source, j in timed(slots, slots)]
 
 
 def _source_key(source: Column) -> Column:
@@ -57,18 +80,20 @@ def _source_key(source: Column) -> Column:
 
 
 def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, alpha: float = 0.7, block_chars: int = 1 << 16,
-             cycle: int = CYCLE, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+             cycle: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Every document with the block of its source and the block's slot.
 
     Target weights are given by source, or the sources' sizes to the power
     ``alpha``; a source without a weight gets the least share, one slot of a
-    cycle.  Each source's documents are put in the order of a hash and cut
+    cycle (``CYCLE`` slots, unless ``cycle`` is given).  Each source's documents are put in the order of a hash and cut
     into blocks of ``block_chars`` characters (a document belongs to the
     block in which it begins).  The weights become whole numbers of slots of a
-    cycle, the cycle's schedule is made once, and block j takes the place
-    that the schedule gives to j modulo its source's slots: a closed form, so
-    the documents themselves are only counted by (source, range of hashes),
-    summed, and dealt by the same keys.  A source that is exhausted leaves its
+    cycle, so long that rounding is no block off before the schedule ends,
+    and all blocks are scheduled once in the driver, by source and number;
+    more than ``MOST_BLOCKS`` follow a cycle of as many slots that repeats
+    (rounding then is up to one block off a cycle).  The documents themselves
+    are only counted by (source, range of hashes), summed, and dealt by the
+    same keys.  A source that is exhausted leaves its
     later slots empty and the others keep their proportions; nothing is dropped.
 
     Defined results: a null source is a source of its own; null and empty
@@ -95,13 +120,17 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, al
         given = {"n" if s is None else f"s{s}": w for s, w in weights.items()}
         wanted = [max(0.0, given.get(s, 0.0)) for s in names]
         wanted = wanted if sum(wanted) else [1.0] * len(names)
-    cycle = max(cycle, len(names))
+    blocks = [(sizes[s] - 1) // block_chars + 1 for s in names]
+    cycle = max(cycle or (CYCLE if sum(blocks) <= MOST_BLOCKS else MOST_BLOCKS), len(names))
     slots = shares(wanted, cycle) if names else []
+    turns = [array("q") for _ in names]
+    for t, s, _ in timed(slots, [min(b, n) for b, n in zip(blocks, slots)]):
+        turns[s].append(t)
+    parts = [(s, at // _PART, turn[at:at + _PART].tolist()) for s, turn in zip(names, turns) for at in range(0, len(turn), _PART)]
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.int64())]
     spark = docs.sparkSession
-    template = [(names[s], j, t, slots[s]) for t, (s, j) in enumerate(pfair(slots))]
-    kind = StructType([StructField("source", StringType()), *[StructField(c, LongType()) for c in ("nth", "turn", "slots")]])
-    places = spark.createDataFrame(template, kind)
-    share = spark.createDataFrame([(s, n) for s, n in zip(names, slots)], "source string, slots long")
+    places = spark.createDataFrame(pa.table([pa.array([r[n] for r in parts], k) for n, k in enumerate(kinds)], ["source", "part", "turns"]))
+    share = spark.createDataFrame(list(zip(names, slots)), "source string, slots long")
 
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = slim.groupBy("source", "bucket").agg(F.sum("size").alias("size")).select(
@@ -109,13 +138,14 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, al
     inside = Window.partitionBy("source", "bucket").orderBy("d1", "d2").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(starts, ["source", "bucket"]).withColumn("at", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     block = F.floor(F.col("at") / block_chars)
-    cut = placed.withColumn("block", block).join(F.broadcast(share), "source").withColumn("nth", F.col("block") % F.col("slots"))
-    n = F.lit(cycle).cast("long")
-    timed = cut.join(F.broadcast(places.drop("slots")), ["source", "nth"])
-    return timed.select(
+    cut = placed.withColumn("block", block).join(F.broadcast(share), "source").withColumns(
+        {"nth": F.col("block") % F.col("slots"), "part": F.floor(F.col("block") % F.col("slots") / _PART)})
+    placed = cut.join(F.broadcast(places), ["source", "part"])
+    n = f"{cycle}L"  # whole numbers all the way: products pass the range of exact doubles
+    return placed.select(
         "doc", F.when(F.col("source") != "n", F.substring("source", 2, 1 << 30)).alias("source"), "block",
-        F.floor(F.col("block") * n / F.col("slots")).alias("release"), F.ceil((F.col("block") + 1) * n / F.col("slots")).alias("deadline"),
-        (F.floor(F.col("block") / F.col("slots")) * n + F.col("turn")).alias("slot"), "at", "d1", "d2")
+        F.expr(f"block * {n} div slots").alias("release"), F.expr(f"((block + 1) * {n} + slots - 1) div slots").alias("deadline"),
+        (F.expr(f"block div slots * {n}") + F.element_at("turns", (F.col("nth") % _PART + 1).cast("int"))).alias("slot"), "at", "d1", "d2")
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:

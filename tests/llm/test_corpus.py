@@ -107,6 +107,30 @@ def test_mixing_follows_target_weights(spark):
         assert own == sorted(own)
 
 
+def test_shares_follow_the_weights():
+    for n in (3, 20, 1000, 4096, 20_000):
+        weights = [n / 2] + [1.0] * n
+        got = shares(weights, 1 << 40)
+        assert sum(got) == 1 << 40 and abs(got[0] - 2 ** 40 / 3) < 1 and max(abs(g - 2 ** 41 / 3 / n) for g in got[1:]) < 1
+
+
+@pytest.mark.parametrize("sources", [20, 5000])
+def test_mixing_deviates_by_less_than_one_block_from_the_weights(spark, sources):
+    """A source of weight 1/3 among few sources and many blocks, and among thousands of sources."""
+    n = 12_000
+    docs = frame(spark, ["x" * 9] * n, sources=["hot" if i % 2 else f"s{i // 2 % sources}" for i in range(n)])
+    weights = {"hot": sources / 2.0} | {f"s{i}": 1.0 for i in range(sources)}
+    got = schedule(docs, weights, block_chars=10).select("source", "slot").collect()
+    share = {s: w / (1.5 * sources) for s, w in weights.items()}
+    by = {}
+    for r in got:
+        by.setdefault(r.source, []).append(r.slot)
+    assert len({r.slot for r in got}) == n
+    for s, own in by.items():  # block j is less than one block from its share before and after its slot
+        for j, t in enumerate(sorted(own)):
+            assert abs(j - share[s] * t) < 1 + 1e-6 and abs(j + 1 - share[s] * (t + 1)) < 1 + 1e-6
+
+
 def test_mixing_awkward_rows(spark):
     texts = awkward() + ["r", "r"]
     docs = frame(spark, texts, [*range(len(texts) - 2), 50, 50], [None, "n", "", "s"] * 4 + ["n", "n"])
