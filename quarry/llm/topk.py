@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,31 +148,31 @@ def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, scale: i
     asked = rows.filter("asked").select("id", "v")
     pool = materialise(_blocks(rows.select("id", "v"), scale, block), "vector-blocks")
     wanted = asked.count()
-    q = materialise(_blocks(asked.repartition(max(1, -(-wanted // query_block))), scale, query_block), "query-blocks")
+    q = _blocks(asked.repartition(max(1, -(-wanted // query_block))), scale, query_block)
+    q = materialise(q.withColumn("block", F.monotonically_increasing_id()), "query-blocks")  # blocks of repeated queries may be equal
     across, down = max(1, q.count()), max(1, pool.count())
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = q.select("dim", F.pmod(F.xxhash64("ids"), F.lit(across)).cast("int").alias("gq"), each(down).alias("gc"),
+    left = q.select("block", "dim", F.pmod(F.xxhash64("ids"), F.lit(across)).cast("int").alias("gq"), each(down).alias("gc"),
                     F.col("wide").alias("q_wide"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     right = pool.select("dim", each(across).alias("gq"), F.pmod(F.xxhash64("ids"), F.lit(down)).cast("int").alias("gc"), "wide", "ids", "values")
-    cells = left.join(right, ["dim", "gq", "gc"]).select("dim", "q_wide", "q_ids", "q_values", "wide", "ids", "values")
+    cells = left.join(right, ["dim", "gq", "gc"]).select("block", "dim", "q_wide", "q_ids", "q_values", "wide", "ids", "values")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[bytes, _Best] = {}
+        open_: dict[int, _Best] = {}
 
         def found() -> Iterator[pa.RecordBatch]:
             for key, best in open_.items():
                 n = [len(s) for s in best.score]
                 slot = np.repeat(np.arange(len(n)), n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int.from_bytes(key, "little", signed=True)] * len(slot), pa.int64()), pa.array(slot, pa.int32()), pa.array(best.ids[slot], pa.int64()),
+                    [pa.array([key] * len(slot), pa.int64()), pa.array(slot, pa.int32()), pa.array(best.ids[slot], pa.int64()),
                      pa.array(np.concatenate(best.vec), pa.int64()), pa.array(np.concatenate(best.score), pa.int64())],
                     names=["block", "slot", "query_id", "vec_id", "score"])
             open_.clear()
 
         for batch in batches:
             for r in range(batch.num_rows):
-                dim, q_wide, q_ids, q_values, wide, ids, values = (batch.column(c)[r].as_py() for c in range(7))
-                key = hashlib.blake2b(q_ids + q_values, digest_size=8).digest()
+                key, dim, q_wide, q_ids, q_values, wide, ids, values = (batch.column(c)[r].as_py() for c in range(8))
                 if key not in open_:
                     if len(open_) >= 16:
                         yield from found()

@@ -138,6 +138,17 @@ def test_passages_repeated_rows_and_null_ids(spark):
     assert alone == 0 and sorted((str(r.id), r.n_words) for r in both) == [("1", 90), ("None", 90)]
 
 
+def test_top_k_answers_each_of_equal_query_blocks(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(1, 30)]
+    rows += [(0, [0.5, 0.25, -0.5, 1.0])] * 3
+    got = top_inner_products(vectors(spark, rows), F.col("vec_id") == 0, k=5, query_block=1).collect()
+    assert sorted(map(tuple, got)) == sorted([
+        (0, n + 1, v, s) for n, (s, v) in enumerate(sorted(
+            ((sum(math.floor(256 * float(np.float32(a))) * math.floor(256 * b) for a, b in zip(x, rows[-1][1])), v) for v, x in rows[:-3]),
+            key=lambda h: (-h[0], h[1]))[:5])] * 3)
+
+
 def low_gram(fresh):
     """Eight words whose gram has a low hash, so that their position is retained."""
     text = " ".join(" ".join(fresh(8)) for _ in range(500)).encode()
