@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import LOWER, UPPER
+from quarry.llm.clustering import cluster_vectors
+from quarry.llm.decontamination import decontaminate
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.mixing import schedule
@@ -15,6 +17,7 @@ from quarry.llm.packing import pack_documents
 from quarry.llm.passages import repeated_passages
 from quarry.llm.quality import score_documents
 from quarry.llm.records import read_records, write_records
+from quarry.llm.resampling import importance_resample
 from quarry.llm.topk import top_inner_products
 from quarry.llm.warc import locate, read_archives, write_archives
 
@@ -71,7 +74,49 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, index).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op4_repeated_passages, op5_mixing, op6_quality, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records)}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, min_words=20, seed=2024)
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed=3)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_top_k, op3_warc, op4_repeated_passages, op5_mixing, op6_quality, op7_exact_dedup, op8_near_dedup, op9_line_dedup, op10_token_records,
+                                  op11_importance_resampling, op12_decontamination, op13_clustering)}
+
+#: Words of letters, digits and characters outside ASCII, A-Z lowered.
+_LETTER_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10, dim: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Lloyd's rounds as one chain of tables: (c, d, m) centroids, (vec_id, c, distance) assignments."""
+    assign = """a{0} AS MATERIALIZED (SELECT vec_id, arg_min(c, (distance, c)) AS c, min(distance) AS distance
+                    FROM (SELECT vec_id, c, sum((x - m) * (x - m)) AS distance FROM v JOIN c{0} USING (d) GROUP BY vec_id, c) GROUP BY vec_id)"""
+    move = """c{1} AS MATERIALIZED (SELECT o.c, o.d, coalesce(n.m, o.m) AS m FROM c{0} o LEFT JOIN (
+                    SELECT c, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS m
+                    FROM v JOIN a{0} USING (vec_id) GROUP BY c, d) n USING (c, d))"""
+    chain = ",\n             ".join(assign.format(r) + ",\n             " + move.format(r, r + 1) for r in range(rounds))
+    return f"""
+        WITH e AS MATERIALIZED (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = {dim}
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             v AS MATERIALIZED (SELECT vec_id, generate_subscripts(embedding, 1) AS d, floor({scale} * unnest(embedding)::DOUBLE)::HUGEINT AS x FROM e),
+             s AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM e QUALIFY c < {k}),
+             c0 AS MATERIALIZED (SELECT c, d, x AS m FROM s JOIN v USING (vec_id)),
+             {chain},
+             {assign.format(rounds)},
+             h AS (SELECT c, sha256(string_agg(m::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+        SELECT vec_id, c::INTEGER AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM a{rounds} JOIN h USING (c)"""
+
 
 ORACLE_SQL = {
     "op2_top_k": """
@@ -114,4 +159,44 @@ ORACLE_SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op11_importance_resampling": rf"""
+        WITH nib AS (SELECT list_transform(range(16), lambda i: list_reduce(range(4), lambda x, j: xor(x >> 1, (x & 1) * 3988292384), i)) AS tab),
+             w AS (SELECT doc_id, {_LETTER_WORDS} AS ws FROM documents),
+             d AS MATERIALIZED (SELECT doc_id, unnest(ws) AS f FROM w),
+             b AS MATERIALIZED (SELECT unnest({_LETTER_WORDS}) AS f FROM benchmark),
+             names AS MATERIALIZED (SELECT DISTINCT f FROM (SELECT f FROM d UNION ALL SELECT f FROM b)),
+             bytes AS (SELECT f, hex(encode(f)) AS hx FROM names),
+             bucket AS MATERIALIZED (
+                 SELECT f, xor(list_reduce(list_transform(range(len(hx)), lambda i: instr('0123456789ABCDEF', hx[i + 2 - 2 * (i % 2)]) - 1),
+                                           lambda c, n: xor(c >> 4, tab[xor(c & 15, n) + 1]), 4294967295), 4294967295) % 10000 AS k
+                 FROM bytes, nib),
+             s AS (SELECT k, count(*) AS n FROM d JOIN bucket USING (f) GROUP BY k),
+             t AS (SELECT k, count(*) AS n FROM b JOIN bucket USING (f) GROUP BY k),
+             total AS (SELECT (SELECT count(*) FROM d) AS s, (SELECT count(*) FROM b) AS t),
+             gain AS (SELECT k, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (total.s + 10000)::DOUBLE
+                                                / ((coalesce(s.n, 0) + 1)::DOUBLE * (total.t + 10000)::DOUBLE)))::BIGINT AS g
+                      FROM s FULL JOIN t USING (k), total),
+             mean AS (SELECT doc_id, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM d JOIN bucket USING (f) JOIN gain USING (k) GROUP BY doc_id),
+             h AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                          ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::UBIGINT::DOUBLE AS h
+                   FROM w LEFT JOIN mean USING (doc_id)),
+             score AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM h),
+             r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM score WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+        FROM score LEFT JOIN r USING (doc_id)""",
+    "op12_decontamination": rf"""
+        WITH w AS MATERIALIZED (SELECT doc_id, {_LETTER_WORDS} AS ws FROM documents),
+             i AS (SELECT item_id::VARCHAR AS item, {_LETTER_WORDS} AS ws FROM benchmark),
+             win AS MATERIALIZED (SELECT DISTINCT item, least(len(ws), 10) AS n, array_to_string(ws[p:p + 9], ' ') AS words
+                                  FROM i, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS u(p) WHERE len(ws) > 0),
+             place AS (SELECT doc_id, p, n, array_to_string(ws[p:p + n - 1], ' ') AS words
+                       FROM w, (SELECT DISTINCT n FROM win) AS l, unnest(range(1, len(ws) - n + 2)) AS u(p)),
+             hit AS MATERIALIZED (SELECT doc_id, p, n, item FROM place JOIN win USING (n, words)),
+             c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM hit, unnest(range(p, p + n)) AS v(q) GROUP BY doc_id),
+             o AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                   FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM w LEFT JOIN c USING (doc_id) LEFT JOIN o USING (doc_id)""",
+    "op13_clustering": _clustering_sql(),
 }
