@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import materialise
-from quarry.llm.letters import Words, word_runs
+from quarry.llm.letters import PIECE, Words, word_runs
 from quarry.llm.words import grams, mix, word_hashes
 
 _MOST_SLOTS = 1 << 27  # bits of the filter that every task gets: 16 MB at most
@@ -65,7 +65,7 @@ def _batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def item_windows(items: DataFrame, window: int, id_col: str, text_col: str, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
     """Written tables (wid, window, n) of distinct windows and (wid, item) of the items that hold them.
 
     ``window`` is the words, each with a blank before and after; ``n`` how many.
@@ -74,7 +74,7 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> t
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in word_runs(batch.column("text"), window):
+            for run in word_runs(batch.column("text"), window, piece):
                 text, at, row = b" " + run.text.tobytes(), run.at, run.rows()
                 ends = np.minimum(np.arange(len(run)) + window, np.repeat(run.first[1:], np.diff(run.first)))
                 full = ends - np.arange(len(run)) == window
@@ -111,14 +111,14 @@ def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return windows.select("wid", "window").mapInArrow(cut, "wid long, width int, p int, h long, lead int")
 
 
-def _frequencies(docs: DataFrame, shingles: DataFrame, widths: list[int]) -> DataFrame:
+def _frequencies(docs: DataFrame, shingles: DataFrame, widths: list[int], piece: int) -> DataFrame:
     """(h, n): how often each of ``shingles`` stands in all documents; one pass over the texts, counted in tasks first."""
     wanted = SlotFilter.of(shingles.select("h"))
     most = max(widths, default=1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in word_runs(batch.column(0), most - 1):
+            for run in word_runs(batch.column(0), most - 1, piece):
                 for width in widths:
                     _, h = shingle_hashes(run, width)
                     h, n = np.unique(h[wanted.may_have(h)], return_counts=True)
@@ -129,7 +129,7 @@ def _frequencies(docs: DataFrame, shingles: DataFrame, widths: list[int]) -> Dat
     return found.join(shingles.select("h").distinct(), "h", "left_semi")
 
 
-def _hits(docs: DataFrame, prefixes: DataFrame, widths: list[int], window: int) -> DataFrame:
+def _hits(docs: DataFrame, prefixes: DataFrame, widths: list[int], window: int, piece: int) -> DataFrame:
     """One row (``h`` null) per document with its row number, id and number of words, and one per place where a prefix shingle may stand.
 
     ``near`` holds the up to ``window`` - 1 words before the place and those after it, ``lead`` says how many bytes
@@ -142,7 +142,7 @@ def _hits(docs: DataFrame, prefixes: DataFrame, widths: list[int], window: int)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, total = batch.column("id"), np.zeros(batch.num_rows, np.int64)
-            for run in word_runs(batch.column("text"), 2 * window):
+            for run in word_runs(batch.column("text"), 2 * window, piece):
                 size = np.diff(run.first)
                 np.add.at(total, np.arange(run.start_row, run.start_row + len(size)), size)
                 total[run.start_row] -= run.fresh
@@ -173,7 +173,7 @@ def _hits(docs: DataFrame, prefixes: DataFrame, widths: list[int], window: int)
 
 
 def window_occurrences(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+                       item_col: str = "item_id", item_text: str = "text", piece: int = PIECE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables (row, id, n_words), (row, start, n, wid) and (wid, item): documents, where windows of items stand in them, and whose they are.
 
     Every distinct window is a set of shingles.  All shingles are ordered by
@@ -184,17 +184,17 @@ def window_occurrences(docs: DataFrame, items: DataFrame, window: int = 10, shin
     words before) and length (enough after) and verified word by word.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    windows, owners = item_windows(items, window, item_col, item_text)
+    windows, owners = item_windows(items, window, item_col, item_text, piece)
     shingles = materialise(_window_shingles(windows, shingle), "window-shingles")
     widths = sorted(r["width"] for r in shingles.select("width").distinct().collect())  # ``shingle`` of them at most
-    often = materialise(_frequencies(rows, shingles, widths), "shingle-counts")
+    often = materialise(_frequencies(rows, shingles, widths, piece), "shingle-counts")
     # a window with a shingle that no document has occurs nowhere
     known = shingles.join(often, "h", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rarest = known.groupBy("wid").agg(F.min(F.struct("n", "h", "p", "lead", "width")).alias("s")).filter("s.n > 0")
     prefixes = rarest.join(windows, "wid").select("wid", "s.h", "s.width", "s.p", F.col("s.lead").alias("skip"), "window", F.col("n").alias("size"))
     prefixes = materialise(prefixes, "window-prefixes")
     widths = sorted(r["width"] for r in prefixes.select("width").distinct().collect())
-    found = materialise(_hits(rows, prefixes, widths, window), "prefix-hits")
+    found = materialise(_hits(rows, prefixes, widths, window, piece), "prefix-hits")
     places = found.filter(F.col("h").isNotNull()).select("row", "h", "pos", "after", "lead", "near")
     enough = (F.col("pos") >= F.col("p")) & (F.col("size") - F.col("p") <= F.col("after")) & (F.col("lead") >= F.col("skip"))
     same = F.substr("near", F.col("lead") - F.col("skip") + 1, F.octet_length("window")) == F.col("window")
@@ -219,7 +219,7 @@ def covered_words(spans: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text: str = "text", piece: int = PIECE) -> DataFrame:
     """How much of each document stands in a benchmark, and in which items.
 
     A window is ``window`` consecutive words of an item, or all words of a
@@ -231,11 +231,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     windows that several items share count for each; documents are rows, so
     repeated ids and null ids keep a row each; an empty benchmark gives every
     document 0 hits and an empty list, an empty table no rows; other columns
-    are not looked at.
+    are not looked at.  Longer texts than ``piece`` bytes are read in pieces.
 
     Returns one row per document: id, n_words, n_hit, items (strings, sorted).
     """
-    rows, spans, owners = window_occurrences(docs, items, window, shingle, id_col, text_col, item_col, item_text)
+    rows, spans, owners = window_occurrences(docs, items, window, shingle, id_col, text_col, item_col, item_text, piece)
     found = spans.join(owners, "wid").select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
     out = rows.join(covered_words(spans), "row", "left").join(found, "row", "left")
     return out.select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from quarry.llm.words import text_runs
 
-_LIMIT = 4 << 20  # bytes looked at together, unless one word is longer
+PIECE = 4 << 20  # bytes looked at together, unless one word is longer
 
 
 @dataclass
@@ -69,7 +69,7 @@ def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(starts, offsets), text, at, starts
 
 
-def word_runs(texts: pa.Array, overlap: int = 0, limit: int = _LIMIT) -> Iterator[Words]:
+def word_runs(texts: pa.Array, overlap: int = 0, limit: int = PIECE) -> Iterator[Words]:
     """All words of a batch of texts (null: none), at most about ``limit`` bytes at a time.
 
     A longer row comes in pieces, cut between words; each but the first

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import materialise
-from quarry.llm.letters import Words, distinct_words, word_runs
+from quarry.llm.letters import PIECE, Words, distinct_words, word_runs
 from quarry.llm.quickselect import smallest_ranked
 
 
@@ -36,13 +36,13 @@ def feature_buckets(run: Words, longest: int, buckets: int) -> Iterator[tuple[np
         yield row[:len(code)][mine], bucket[code[mine]]
 
 
-def bucket_counts(texts: DataFrame, text_col: str, longest: int, buckets: int) -> np.ndarray:
+def bucket_counts(texts: DataFrame, text_col: str, longest: int, buckets: int, piece: int = PIECE) -> np.ndarray:
     """How many features of all texts are in each bucket; each task counts in one array."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for run in word_runs(batch.column(0), longest - 1):
+            for run in word_runs(batch.column(0), longest - 1, piece):
                 for _, bucket in feature_buckets(run, longest, buckets):
                     total += np.bincount(bucket, minlength=buckets)
         some = np.flatnonzero(total)
@@ -62,16 +62,16 @@ def bucket_gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def target_weights(docs: DataFrame, target: DataFrame, longest: int = 1, buckets: int = 10000, id_col: str = "doc_id",
-                   text_col: str = "text", target_col: str = "text") -> DataFrame:
+                   text_col: str = "text", target_col: str = "text", piece: int = PIECE) -> DataFrame:
     """(id, n_words, n_features, weight) of every row: the floored mean of its features' gains, 0 without features."""
-    gains = bucket_gains(bucket_counts(docs, text_col, longest, buckets), bucket_counts(target, target_col, longest, buckets))
+    gains = bucket_gains(bucket_counts(docs, text_col, longest, buckets, piece), bucket_counts(target, target_col, longest, buckets, piece))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, features, total = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-            for run in word_runs(batch.column("text"), longest - 1):
+            for run in word_runs(batch.column("text"), longest - 1, piece):
                 np.add.at(words, np.arange(run.start_row, run.start_row + len(run.first) - 1), np.diff(run.first))
                 words[run.start_row] -= run.fresh
                 for row, bucket in feature_buckets(run, longest, buckets):
@@ -85,7 +85,7 @@ def target_weights(docs: DataFrame, target: DataFrame, longest: int = 1, buckets
 
 
 def importance_resample(docs: DataFrame, target: DataFrame, percent: int = 10, min_words: int = 20, seed: int = 2024, longest: int = 1,
-                        buckets: int = 10000, id_col: str = "doc_id", text_col: str = "text", target_col: str = "text") -> DataFrame:
+                        buckets: int = 10000, id_col: str = "doc_id", text_col: str = "text", target_col: str = "text", piece: int = PIECE) -> DataFrame:
     """Draw ``percent`` of the documents of ``min_words`` words or more so that they resemble ``target``.
 
     Features (runs of 1 to ``longest`` words, repeats counted) fall into
@@ -104,7 +104,7 @@ def importance_resample(docs: DataFrame, target: DataFrame, percent: int = 10, m
     Returns one row per document: id, n_words, n_features, weight, score,
     rank (from 1; null where not drawn).
     """
-    rows = target_weights(docs, target, longest, buckets, id_col, text_col, target_col)
+    rows = target_weights(docs, target, longest, buckets, id_col, text_col, target_col, piece)
     text_id = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null")))
     h = F.conv(F.substring(F.sha2(text_id.cast("binary"), 256), 1, 8), 16, 10).cast("double")
     noise = F.floor(-1000.0 * F.log(-F.log((h + 0.5) / 4294967296.0))).cast("long")
