@@ -1,10 +1,9 @@
 """Column helpers shared by the operators."""
 
+from quarry.functions.exact import ExactSum, exact_product, exact_sum
 from quarry.functions.columns import (
-    amount,
     before_year,
     day_of,
-    from_units,
     in_month,
     in_year,
     is_false,
@@ -17,6 +16,6 @@ from quarry.functions.columns import (
 )
 
 __all__ = [
-    "amount", "before_year", "day_of", "from_units", "in_month", "in_year", "is_false", "is_true",
+    "ExactSum", "before_year", "day_of", "exact_product", "exact_sum", "in_month", "in_year", "is_false", "is_true",
     "iso_weekday", "money", "on_days", "pg_weekday", "to_double",
 ]

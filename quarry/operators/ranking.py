@@ -1,8 +1,8 @@
 """Ranking operators: top-k with ties, per-group maxima, global comparisons.
 
 Global maxima are 1-row scalar subqueries (``DataFrame.scalar()``), never a
-window without ``PARTITION BY`` over the data.  Per-group maxima are map-side
-combined and joined back to the rows, so ties never meet in one task.
+window without ``PARTITION BY`` over the data.  Maxima of groups are found in
+two salted stages, so ties never meet in one task.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import amount, to_double
+from quarry.functions import exact_sum
+from quarry.operators.prefix import prefix_sums, top_values
 
 
 def _col(c) -> Column:
@@ -36,30 +37,27 @@ def top_with_ties(facts: DataFrame, key: str, entities: DataFrame, entity_key: s
 
 def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
                        limit: int | None = None, sort: bool = True, group_out: str = "order_id",
-                       item_out: str = "part_id") -> DataFrame:
+                       item_out: str = "part_id", nulls_first: bool = False) -> DataFrame:
     """All rows holding their group's maximum ``value`` (ties kept, duplicate
     rows kept); ``limit`` keeps the first rows by (group, item); without a limit
     ``sort=False`` saves the sort of the whole result.
 
-    The maxima are one map-side combined aggregate and are joined back, so
-    that a group of ties has no task of its own: its join partition can be
-    split, and few groups are broadcast.
+    Rows without a group are one group.  A NULL value is below every other, so
+    a group of NULL values returns all its rows; with ``nulls_first`` it is
+    above every other, as ``ORDER BY value DESC`` has it where NULLs sort high.
     """
-    best = df.groupBy(F.col(group).alias("_g")).agg(F.max(value).alias("_best"))
-    res = (df.join(best, (F.col(group) == F.col("_g")) & (F.col(value) == F.col("_best")))
-             .select(F.col(group).alias(group_out), F.col(item).alias(item_out)))
+    rows = df.select(F.col(group).alias(group_out), F.col(item).alias(item_out), F.col(value).alias("_value"))
+    res = top_values(rows, F.col(group_out), F.col("_value"), F.col(item_out), nulls_first=nulls_first).select(group_out, item_out)
     if limit is not None:
         return res.orderBy(group_out, item_out).limit(limit)
     return res.orderBy(group_out, item_out) if sort else res
 
 
 def daily_max_ties(df: DataFrame, day, value, id_col: str, out: str = "event_id") -> DataFrame:
-    """Rows holding the maximum ``value`` of their day (NULL values excluded),
-    all ties kept, in no order.  One maximum per day is joined back."""
-    rows = (df.where(_col(value).isNotNull())
-              .select(F.col(id_col).alias(out), _col(day).alias("_day"), _col(value).alias("_v")))
-    best = rows.groupBy(F.col("_day").alias("_d")).agg(F.max("_v").alias("_best"))
-    return rows.join(best, F.col("_day").eqNullSafe(F.col("_d")) & (F.col("_v") == F.col("_best"))).select(out)
+    """Rows holding the maximum ``value`` of their day (NULL values excluded,
+    rows without a day are one group), all ties kept, in no order."""
+    rows = df.select(F.col(id_col).alias(out), _col(day).alias("_day"), _col(value).alias("_value")).where(F.col("_value").isNotNull())
+    return top_values(rows, F.col("_day"), F.col("_value"), F.col(out)).select(out)
 
 
 def max_above_max_avg(df: DataFrame, key: str, trip: str, value,
@@ -69,46 +67,55 @@ def max_above_max_avg(df: DataFrame, key: str, trip: str, value,
 
     Two combinable aggregates, (key, trip) then key, stand in for a
     count-distinct next to avg/max; the largest average is a scalar subquery.
-    ``value`` is an amount with at most ``scale`` decimals; averages are exact
-    sums divided as decimals with six more decimals at least.
+    Sums are exact (``exact_sum``), and a maximum is compared with an average
+    by multiplying it with the count, not by dividing.
     """
-    v, _ = amount(df, value, scale)
+    e = exact_sum(df, value, scale)
     per_trip = (df.groupBy(F.col(key).alias("_k"), F.col(trip).alias("_t"))
-                  .agg(F.sum(v).alias("_s"), F.count(v).alias("_c"), F.max(v).alias("_m")))
+                  .agg(*e.sums("_s"), F.count(_col(value)).alias("_c"), F.max(_col(value)).alias("_m")))
     per_key = (per_trip.groupBy("_k")
-                       .agg(F.count("_t").alias("_trips"), F.sum("_s").alias("_s"),
-                            F.sum("_c").alias("_c"), F.max("_m").alias("_m"))
-                       .where(F.col("_trips") >= min_trips)
-                       .select("_k", (F.col("_s") / F.col("_c")).alias("_avg"), F.col("_m").alias("_max")))
+                       .agg(F.count("_t").alias("_trips"), *e.resum("_s"), F.sum("_c").alias("_c"), F.max("_m").alias("_m"))
+                       .where((F.col("_trips") >= min_trips) & (F.col("_c") > 0))
+                       .select("_k", "_c", "_m", e.total("_s").alias("_sum")))
     # Both branches must read the same columns of ``per_key`` for column
     # pruning to leave their aggregates identical, so that the subquery
-    # reuses the main branch's exchange instead of re-reading the input: the
-    # subquery returns a struct over both, and the main branch's ``_avg IS
-    # NOT NULL`` is implied anyway (a NULL average comes with a NULL max).
-    best = per_key.agg(F.struct(F.max("_avg").alias("a"), F.max("_max").alias("m"))).scalar()
-    return (per_key.where((F.col("_max") > best.getField("a")) & F.col("_avg").isNotNull())
-                   .select(F.col("_k").alias(out)))
+    # reuses the main branch's exchange instead of re-reading the input.
+    if e.limbs:
+        average = F.struct((e.to_double(F.col("_sum")) / F.col("_c")).alias("avg"), "_sum", "_c", "_m")
+        best = per_key.agg(F.max(average)).scalar()
+        # both sides times the count of the best: whole limbs, no rounding
+        mine = exact_sum(per_key, "_m", scale).scaled(best.getField("_c")).one()
+        return per_key.where(mine > best.getField("_sum")).select(F.col("_k").alias(out))
+    best = per_key.agg(F.max(F.struct((F.col("_sum") / F.col("_c")).alias("avg"), "_m"))).scalar()
+    return per_key.where(F.col("_m") > best.getField("avg")).select(F.col("_k").alias(out))
 
 
 def two_sided_totals(flows: DataFrame, origin: str, dest: str, amount: str,
-                     round_trip: str | None = None) -> DataFrame:
+                     round_trip: str | None = None, scale: int = 6) -> DataFrame:
     """Total per node counted at both ends of each flow, doubled for round
-    trips: (node, total).  One scan; each flow becomes two rows that are
-    summed map-side."""
+    trips: (node, total, exact).  One scan; each flow becomes two rows that are
+    summed map-side.  ``exact`` orders as the totals do (``exact_sum``)."""
     weight = F.when(F.col(round_trip), 2).otherwise(1) if round_trip else F.lit(1)
-    amt = (F.col(amount) * weight).alias("_a")
-    ends = flows.select(F.explode(F.array(F.col(origin), F.col(dest))).alias("node"), amt)
-    return ends.groupBy("node").agg(F.sum("_a").alias("total"))
+    e = exact_sum(flows, amount, scale)
+    flows = flows.withColumn("_ends", F.array(F.col(origin), F.col(dest))).withColumn("_weight", weight.cast("long"))
+    ends = flows.select(F.explode("_ends").alias("node"), F.col(amount), "_weight")
+    totals = ends.groupBy("node").agg(*e.scaled(F.col("_weight")).sums("_a")).select("node", e.total("_a").alias("exact"))
+    return totals.select("node", e.to_number(F.col("exact")).alias("total"), "exact")
+
+
+def _order_of(totals: DataFrame) -> str:
+    return "exact" if "exact" in totals.columns else "total"
 
 
 def traffic_top(totals: DataFrame, ties: bool = False, out: str = "airport") -> DataFrame:
     """The node with the largest total (NULL totals dropped).  Ties go to the
     smallest node id unless ``ties=True``, which returns all of them."""
-    t = totals.where(F.col("total").isNotNull())
+    value = _order_of(totals)
+    t = totals.where(F.col(value).isNotNull())
     if ties:
-        best = t.agg(F.max("total")).scalar()
-        return t.where(F.col("total") == best).select(F.col("node").alias(out)).orderBy(out)
-    return (t.orderBy(F.col("total").desc(), F.col("node").asc())
+        best = t.agg(F.max(value)).scalar()
+        return t.where(F.col(value) == best).select(F.col("node").alias(out)).orderBy(out)
+    return (t.orderBy(F.col(value).desc(), F.col("node").asc())
              .limit(1)
              .select(F.col("node").alias(out)))
 
@@ -132,13 +139,8 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     ``method='buckets'`` is the scale form.  The rank of a value is one plus
     the number of rows with a smaller value, so it only depends on the
     histogram of distinct values (a value shared by a third of all rows is
-    one histogram row).  The values fall into ``buckets`` ranges cut at
-    approximate quantiles of the histogram itself (one row with an array of
-    edges), so ranges hold alike many values however the totals concentrate,
-    and any edges give exact ranks.  Per-range counts, their running offsets
-    and the broadcast of those have ``buckets`` rows.  The rank inside a range
-    is a running count in a window partitioned by range; the ranks of the
-    distinct values are then joined to the rows by value.
+    one histogram row): ``prefix_sums`` over ``buckets`` ranges of it, joined
+    to the rows by value.
     """
     if method == "window":
         w = Window.orderBy(F.col(value).asc_nulls_last())
@@ -147,24 +149,8 @@ def percent_rank_of(totals: DataFrame, value: str = "total", method: str = "buck
     if method != "buckets":
         raise ValueError(f"unknown method {method!r}")
     hist = totals.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    vd = to_double(F.col("_v"))
-    steps = [i / buckets for i in range(1, buckets)]
-    edges = hist.agg(F.percentile_approx(vd, steps, 100 * buckets)).scalar()
-    bucket = F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(  # NULL totals rank after every value
-        F.coalesce(F.array_position(F.sort_array(F.array_append(edges, vd)), vd), F.lit(1)) - 1)
-    hist = hist.withColumn("_b", bucket)
-    per_bucket = hist.groupBy("_b").agg(F.sum("_c").alias("_bc"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        "_b",
-        F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
-        (F.sum("_bc").over(Window.partitionBy()) - 1).alias("_nm1"))
-    inner = Window.partitionBy("_b").orderBy(F.col("_v").asc_nulls_last()) \
-                  .rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (hist.join(F.broadcast(offsets), "_b")
-                 .select("_v", "_nm1",
-                         (F.col("_off") + F.coalesce(F.sum("_c").over(inner), F.lit(0)))
-                         .cast("long").alias("_rm1")))
+    ranks = prefix_sums(hist, "_v", F.col("_c"), buckets)
+    ranks = ranks.select("_v", F.col("_before").alias("_rm1"), (F.col("_all") - 1).alias("_nm1"))
     return totals.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
@@ -172,27 +158,27 @@ def percent_rank_totals(totals: DataFrame, method: str = "buckets", buckets: int
                         out: str = "airport", rank_out: str = "percent_rank") -> DataFrame:
     """Percent rank of each (node, total) row, ``(rank - 1) * 100 / (n - 1)``
     rounded to one decimal; ascending; ties share a rank."""
-    ranked = percent_rank_of(totals, "total", method=method, buckets=buckets)
+    ranked = percent_rank_of(totals, _order_of(totals), method=method, buckets=buckets)
     pr = _rounded_percent(F.col("_rm1"), F.col("_nm1"))
     return (ranked.select(F.col("node").alias(out), pr.alias(rank_out))
                   .orderBy(rank_out, out))
 
 
 def two_sided_traffic_top1(flows: DataFrame, origin: str, dest: str, amount: str,
-                           round_trip: str | None = None, ties: bool = False,
+                           round_trip: str | None = None, ties: bool = False, scale: int = 6,
                            out: str = "airport") -> DataFrame:
     """The node with the most traffic, counting each flow at both ends and
     twice for round trips (``two_sided_totals`` then ``traffic_top``)."""
-    return traffic_top(two_sided_totals(flows, origin, dest, amount, round_trip), ties=ties, out=out)
+    return traffic_top(two_sided_totals(flows, origin, dest, amount, round_trip, scale), ties=ties, out=out)
 
 
 def traffic_percent_rank(flows: DataFrame, origin: str, dest: str, amount: str,
                          round_trip: str | None = None, method: str = "buckets",
-                         buckets: int = 256, out: str = "airport",
+                         buckets: int = 256, scale: int = 6, out: str = "airport",
                          rank_out: str = "percent_rank") -> DataFrame:
     """Percent rank of every node's two-sided traffic (``two_sided_totals``
     then ``percent_rank_totals``)."""
-    totals = two_sided_totals(flows, origin, dest, amount, round_trip)
+    totals = two_sided_totals(flows, origin, dest, amount, round_trip, scale)
     return percent_rank_totals(totals, method=method, buckets=buckets, out=out,
                                rank_out=rank_out)
 
@@ -208,16 +194,10 @@ def top_n_per_day(counts: DataFrame, day: str, key: str, value: str, n: int = 2)
     """Per day, the rows whose value is among the ``n`` largest distinct
     values of that day (all ties), in order of day and key.
 
-    The distinct values of each day are ranked (the counts' few values, not
-    their rows) and the lowest that qualifies is joined back.
+    Rows without a day are one group; a NULL value is the smallest value.
     """
-    w = Window.partitionBy("_day").orderBy(F.col("_v").desc())
-    floor = (counts.select(F.col(day).alias("_day"), F.col(value).alias("_v")).distinct()
-             .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-             .groupBy("_day").agg(F.min("_v").alias("_floor")))
-    return (counts.join(floor, (F.col(day) == F.col("_day")) & (F.col(value) >= F.col("_floor")))
-                  .select(day, key, value)
-                  .orderBy(day, key))
+    rows = counts.select(day, key, value)
+    return top_values(rows, F.col(day), F.col(value), F.col(key), n=n).orderBy(day, key)
 
 
 def top_two_values_global(counts: DataFrame, day: str, key: str, value: str) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import amount, day_of, to_double
+from quarry.functions import day_of, exact_sum, to_double
 
 
 _STEP = 4096
@@ -28,18 +28,22 @@ def strictly_increasing(df: DataFrame, key: str, period, value, scale: int = 6,
                         out: str = "customer_id") -> DataFrame:
     """Keys whose per-period total rises strictly from each period present to
     the next.  Equal totals fail; a key with one period qualifies.
-    ``value`` is an amount with at most ``scale`` decimals (summed exactly)."""
-    units, _ = amount(df, value, scale)
-    totals = (df.groupBy(F.col(key).alias("_k"), _col(period).alias("_p"))
-                .agg(F.sum(units).alias("_t")))
-    w = Window.partitionBy("_k").orderBy("_p")
-    prev = F.lag("_t").over(w)
-    flagged = totals.select("_k", (prev.isNull() | (F.col("_t") > prev)).alias("_up"))
-    return (flagged.groupBy("_k")
-                   .agg(F.bool_and("_up").alias("_all"))
-                   .where(F.col("_all"))
-                   .select(F.col("_k").alias(out))
-                   .orderBy(out))
+    ``value`` is summed exactly (``exact_sum``).
+
+    A NULL total (no value in the period) is neither above nor below another,
+    so a key with one and a second period fails; a NULL period comes last.
+    """
+    exact = exact_sum(df, value, scale)
+    totals = (df.groupBy(F.col(key).alias("_k"), _col(period).alias("_p")).agg(*exact.sums("_t"))
+                .select("_k", "_p", exact.total("_t").alias("_t")))
+    w = Window.partitionBy("_k").orderBy(F.col("_p").asc_nulls_last())
+    up = (F.row_number().over(w) == 1) | F.coalesce(F.col("_t") > F.lag("_t").over(w), F.lit(False))
+    return (totals.select("_k", up.alias("_up"))
+                  .groupBy("_k")
+                  .agg(F.bool_and("_up").alias("_all"))
+                  .where(F.col("_all"))
+                  .select(F.col("_k").alias(out))
+                  .orderBy(out))
 
 
 def nth_exceeds_prior(tx: DataFrame, key: str, order: list, value: str, n: int = 3,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions import amount, from_units
+from quarry.functions import exact_sum
+from quarry.operators.prefix import dense_index
 
 
 def basket_intersect_except(rows: DataFrame, key: str, attr: str, have_all, have_none) -> DataFrame:
@@ -62,14 +63,15 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value, *, width: int = 3,
     was active (total <> 0), without each key's latest active period; ordered
     by key and period descending (or not, with ``sort=False``), first
     ``limit`` rows.  ``value`` is a name or an expression such as price x
-    quantity, an amount with at most ``scale`` decimals (summed exactly).
+    quantity, summed exactly (``exact_sum``).  Rows without a period have no
+    place on the grid.
 
     The grid is never built.  Its periods are the distinct periods of the
     data, so "the 2 preceding grid rows" means the 2 preceding distinct
-    periods.  Each period gets its dense index (one window over the distinct
-    periods only), and the sum is a RANGE frame over that index on the active
-    rows: missing grid rows contributed 0 anyway.  Rows per key are bounded
-    by the number of periods.
+    periods.  Each period gets its dense index (``dense_index``: ranges of the
+    distinct periods, no task with all of them), and the sum is a RANGE frame
+    over that index on the active rows: missing grid rows contributed 0
+    anyway.  Rows per key are bounded by the number of periods.
 
     The index is derived from the (key, period) totals themselves, so the
     fact table is scanned and joined once; AQE broadcasts it only if it
@@ -77,27 +79,27 @@ def rolling_dense_sum(df: DataFrame, key: str, period, value, *, width: int = 3,
     """
     if width < 1:
         raise ValueError("width must be at least 1")
-    # Rows without a period have no place on the grid.  Filtering them here,
-    # once, also keeps the two branches below identical (the optimizer would
-    # otherwise infer the filter for one of them only).
-    units, places = amount(df, value, scale)
+    # Filtering rows without a period here, once, also keeps the two branches
+    # below identical (the optimizer would otherwise infer the filter for one).
+    e = exact_sum(df, value, scale)
     totals = (df.where(period.isNotNull())
-                .groupBy(F.col(key).alias(key_out), period.alias(period_out))
-                .agg(F.sum(units).alias("_t")))
+                .groupBy(F.col(key).alias(key_out), period.alias(period_out)).agg(*e.sums("_t")))
     # The periods are read off the totals.  A bare distinct (or an unused
     # aggregate) lets the optimizer drop the per-(key, period) aggregate and
-    # re-read the fact rows; consuming count(_t) (always >= 0) keeps the
-    # aggregate, sum included, so both branches share one exchange.
-    periods = (totals.groupBy(period_out).agg(F.count("_t").alias("_keys"))
-                     .where(F.col("_keys") >= 0))
-    index = periods.select(period_out, F.dense_rank().over(Window.orderBy(period_out)).alias("_i"))
-    active = totals.where(F.col("_t") != 0).join(index, period_out)
+    # re-read the fact rows; consuming every sum (counts are >= 0) keeps the
+    # aggregate whole, so both branches share one exchange.
+    kept = F.lit(0)
+    for c in e.names("_t"):
+        kept = kept + F.count(c)
+    periods = totals.groupBy(period_out).agg(kept.alias("_keys")).where(F.col("_keys") >= 0).select(period_out)
+    index = dense_index(periods, period_out, "_i")
+    active = totals.where(e.nonzero(e.total("_t"))).join(index, period_out)
     frame = Window.partitionBy(key_out).orderBy("_i").rangeBetween(-(width - 1), 0)
-    res = active.withColumn("_s", F.sum("_t").over(frame))
+    res = active.withColumns({c: F.sum(c).over(frame) for c in e.names("_t")}).withColumn("_s", e.total("_t"))
     if drop_latest:
         ahead = Window.partitionBy(key_out).orderBy("_i")  # the frame's own sort
         res = res.withColumn("_next", F.lead("_i").over(ahead)).where(F.col("_next").isNotNull())
-    res = res.select(key_out, period_out, from_units("_s", places).alias(out))
+    res = res.select(key_out, period_out, e.to_double(F.col("_s")).alias(out))
     if sort or limit is not None:
         res = res.orderBy(F.col(key_out).asc(), F.col(period_out).desc())
     return res.limit(limit) if limit is not None else res

@@ -13,8 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import amount as exact
-from quarry.functions import day_of, from_units, in_month, pg_weekday
+from quarry.functions import day_of, exact_sum, in_month, pg_weekday
 
 
 def _col(c) -> Column:
@@ -30,21 +29,29 @@ def star_revenue_filtered(fact: DataFrame, dim: DataFrame, header: DataFrame, *,
     """``SUM(price * quantity)`` per dimension group over fact rows whose
     dimension satisfies ``dim_pred`` and whose header satisfies ``header_pred``.
 
-    ``price`` is a dimension column and ``quantity`` a fact column, amounts
-    with at most ``scale`` decimals (``amount``); header and dimension keys are
-    unique (primary keys), so the header join is a semi-join.
+    ``price`` is a dimension column and ``quantity`` a fact column; header and
+    dimension keys are unique (primary keys), so the header join is a semi-join.
     Plan: fact semi-join filtered headers -> sum(quantity) per dimension key
     (partial aggregation) -> join filtered dimension -> sum of price x
-    quantity per group, in decimals throughout.
+    quantity per group.  Numbers that stand for decimals (``exact_sum``) are
+    multiplied and summed as such, a product with any other as a double; a
+    group's sum is exact over these products.
     """
     hdr = header.where(header_pred).select(F.col(header_key).alias("_hk"))
-    units, places = exact(fact, quantity, scale)
-    prices, price_places = exact(dim, price, scale)
+    q, p = exact_sum(fact, quantity, scale), exact_sum(dim, price, scale)
     kept = fact.join(hdr, F.col(fact_header_key) == F.col("_hk"), "left_semi")
-    qty = kept.groupBy(F.col(fact_dim_key).alias("_dk")).agg(F.sum(units).alias("_q"))
-    d = dim.where(dim_pred).select(F.col(dim_key).alias("_dk2"), group, prices.alias("_price"))
+    qty = (kept.groupBy(F.col(fact_dim_key).alias("_dk")).agg(*q.sums("_q"))
+               .select("_dk", q.total("_q").alias("_q")))
+    d = dim.where(dim_pred).select(F.col(dim_key).alias("_dk2"), group, p.one().alias("_price"))
     joined = qty.join(d, F.col("_dk") == F.col("_dk2"))
-    return joined.groupBy(group).agg(from_units(F.sum(F.col("_price") * F.col("_q")), places + price_places).alias(out))
+    whole = q.stands_for_decimal("_q") & p.stands_for_decimal("_price", 56)
+    product = q.to_decimal(F.col("_q")).cast(f"decimal(20,{q.scale})") * p.to_decimal(F.col("_price")).cast(f"decimal(17,{p.scale})")
+    other = joined.select(group, F.when(whole, product).alias("_whole"),
+                          F.when(~whole, q.to_double(F.col("_q")) * p.to_double(F.col("_price"))).alias("_other"))
+    rest = exact_sum(other, "_other", scale)
+    return (other.groupBy(group).agg(F.sum("_whole").alias("_w"), *rest.sums("_r"))
+                 .select(group, F.coalesce(F.col("_w").cast("double") + F.coalesce(rest.to_double(rest.total("_r")), F.lit(0.0)),
+                                           F.col("_w").cast("double"), rest.to_double(rest.total("_r"))).alias(out)))
 
 
 def distinct_count_and_list(df: DataFrame, key: str, item_id: str, item_name: str,
@@ -52,19 +59,18 @@ def distinct_count_and_list(df: DataFrame, key: str, item_id: str, item_name: st
     """Per key: number of distinct items and the sorted, ``sep``-joined list of
     their distinct names.  Rows with a NULL key are dropped.
 
-    Two combinable aggregates: per (key, item) the set of its names, then per
-    key the item count and the union of the name sets.  What is collected per
-    key is bounded by the distinct items of that key (it is the output
-    itself), never by the number of fact rows.
+    Distinct (key, item, name) rows first, combined map-side, then per key the
+    distinct items and Spark's sorted ``listagg`` of the distinct names: what a
+    key holds is bounded by its distinct items, never by the fact rows.  A key
+    without names has an empty list.
     """
-    per_item = (df.where(F.col(key).isNotNull())
-                  .groupBy(key, item_id)
-                  .agg(F.collect_set(item_name).alias("_names")))
-    names = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_names"))))
-    return (per_item.groupBy(key)
-                    .agg(F.count(item_id).alias(count_out),
-                         F.array_join(names, sep).alias(list_out))
-                    .orderBy(key))
+    once = (df.where(F.col(key).isNotNull())
+              .select(key, F.col(item_id).alias("_item"), F.col(item_name).cast("string").alias("_name")).distinct())
+    quoted = sep.replace("\\", "\\\\").replace("'", "\\'")
+    names = F.expr(f"listagg(DISTINCT _name, '{quoted}') WITHIN GROUP (ORDER BY _name)")
+    return (once.groupBy(key)
+                .agg(F.size(F.collect_set("_item")).cast("long").alias(count_out), F.coalesce(names, F.lit("")).alias(list_out))
+                .orderBy(key))
 
 
 def percentage_bonus(values: DataFrame, name: str, value: str, rate,
@@ -90,7 +96,7 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
     answered).  ``spine='calendar'``: every such date of ``year``/``month``,
     0 where nothing happened (as the question was asked); the calendar is at
     most 5 rows.  ``month`` without ``year`` takes that month of any year.
-    ``value`` is an amount with at most ``scale`` decimals (summed exactly).
+    ``value`` is summed exactly (``exact_sum``).
     """
     if year is not None and month is not None:
         when = in_month(ts, year, month)
@@ -98,10 +104,10 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
         when = F.month(ts) == month
     else:
         when = F.lit(True)
-    units, places = exact(facts, value, scale)
+    exact = exact_sum(facts, value, scale)
     totals = (facts.where(when & (pg_weekday(ts) == weekday))
-                   .groupBy(day_of(ts).alias(day_out))
-                   .agg(F.sum(units).alias("_t")))
+                   .groupBy(day_of(ts).alias(day_out)).agg(*exact.sums("_t"))
+                   .select(day_out, exact.to_double(exact.total("_t")).alias("_t")))
     if spine == "observed":
         res = totals
     elif spine == "calendar":
@@ -115,7 +121,7 @@ def weekday_totals(facts: DataFrame, ts: str, value: str, *, weekday: int = 5,
         res = cal.join(totals, day_out, "left")
     else:
         raise ValueError(f"unknown spine {spine!r}")
-    return (res.select(day_out, from_units(F.coalesce(F.col("_t"), F.lit(0)), places).alias(total_out))
+    return (res.select(day_out, F.coalesce(F.col("_t"), F.lit(0.0)).alias(total_out))
                .orderBy(day_out))
 
 
@@ -129,15 +135,14 @@ def anti_join_spend(tx: DataFrame, excluded: DataFrame, entities: DataFrame, *,
     ``NOT EXISTS`` as a left-anti join (the excluded keys are de-duplicated
     map-side first, which also leaves them partitioned for the join); spend is
     aggregated per entity before the entity table is joined for the name.
-    ``amount`` has at most ``scale`` decimals; sum and threshold are
-    compared as decimals, without rounding either.
+    ``amount`` is summed exactly (``exact_sum``) and compared with the
+    threshold without rounding either.
     """
     ex = excluded.select(F.col(excluded_key).alias("_x")).distinct()
     kept = tx.join(ex, F.col(tx_key) == F.col("_x"), "left_anti")
-    units, places = exact(tx, amount, scale)
-    spend = (kept.groupBy(F.col(tx_entity).alias("_e"))
-                 .agg(F.sum(units).alias("_s"))
-                 .where(F.col("_s") >= F.lit(Decimal(str(min_total)) * 10 ** places)))
+    exact = exact_sum(tx, amount, scale)
+    spend = (kept.groupBy(F.col(tx_entity).alias("_e")).agg(*exact.sums("_s"))
+                 .where(exact.total("_s") >= exact.literal(min_total)))
     ent = entities.select(F.col(entity_key).alias(id_out), F.col(name).alias(name_out))
     return (spend.join(ent, F.col("_e") == F.col(id_out))
                  .select(id_out, name_out)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import operators as op
-from quarry.functions import amount, before_year, day_of, from_units, in_month, in_year, on_days
+from quarry.functions import before_year, day_of, exact_product, exact_sum, in_month, in_year, on_days
 from quarry.sources import Tables, edges, matches, roster, services
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,15 +102,14 @@ def percentage_bonus(spark, root):
     t = Tables(spark, root)
     li = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")),
                          "l_orderkey", "left_semi")
-    # Each line's value is an exact decimal product; the sum per supplier is
-    # combined map-side, so after the part join only one row per supplier and
-    # task is shuffled.  (Summing per (supplier, part) first would shuffle
-    # again for the part join: such pairs rarely repeat within a task at scale.)
-    (quantity, q), (price, p) = amount(t.lineitem, "l_quantity", 2), amount(t.part, "p_retailprice", 2)
-    per_supp = (li.join(t.part.select("p_partkey", "p_retailprice"),
-                        F.col("l_partkey") == F.col("p_partkey"))
-                .groupBy("l_suppkey")
-                .agg((F.sum(quantity * price) / F.lit(10 ** (q + p))).alias("value")))
+    # Each line's value is an exact product; the sum per supplier is combined
+    # map-side, so after the part join only one row per supplier and task is
+    # shuffled.  (Summing per (supplier, part) first would shuffle again for
+    # the part join: such pairs rarely repeat within a task at scale.)
+    lines = li.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    line = exact_product(lines, "l_quantity", "p_retailprice", 2)
+    per_supp = lines.groupBy("l_suppkey").agg(*line.sums("_t")).select("l_suppkey", line.total("_t").alias("_t"))
+    per_supp = per_supp.select("l_suppkey", line.to_decimal(F.col("_t")).alias("value"))
     values = per_supp.join(t.supplier.select("s_suppkey", F.col("s_name").alias("name")),
                            F.col("l_suppkey") == F.col("s_suppkey"))
     return op.percentage_bonus(values, "name", "value", "0.1")
@@ -157,8 +156,9 @@ def strictly_increasing(spark, root):
 @query
 def nth_exceeds_prior(spark, root):
     t = Tables(spark, root)
-    price, places = amount(t.lineitem, "l_extendedprice", 2)
-    spend = t.lineitem.groupBy("l_orderkey").agg(from_units(F.sum(price), places).alias("spend"))
+    price = exact_sum(t.lineitem, "l_extendedprice", 2)
+    spend = t.lineitem.groupBy("l_orderkey").agg(*price.sums("_p")).select("l_orderkey", price.total("_p").alias("_p"))
+    spend = spend.select("l_orderkey", price.to_double(F.col("_p")).alias("spend"))
     tx = (spend.join(t.orders.select("o_orderkey", "o_custkey",
                                      day_of("o_orderdate").alias("tx_date")),
                      F.col("l_orderkey") == F.col("o_orderkey")))
@@ -249,20 +249,20 @@ def _services(spark, root):
 @query
 def two_sided_traffic_top1(spark, root):
     return op.two_sided_traffic_top1(_services(spark, root), "origin", "destination",
-                                     "seats", "round_trip")
+                                     "seats", "round_trip", scale=2)
 
 
 @query
 def traffic_percent_rank(spark, root):
     return op.traffic_percent_rank(_services(spark, root), "origin", "destination", "seats",
-                                   "round_trip", method="buckets")
+                                   "round_trip", method="buckets", scale=2)
 
 
 @query
 def traffic_percent_rank_window(spark, root):
     # The nodes are nations: at most 25 rows reach the single window task.
     return op.traffic_percent_rank(_services(spark, root), "origin", "destination", "seats",
-                                   "round_trip", method="window")
+                                   "round_trip", method="window", scale=2)
 
 
 # -- global comparisons --------------------------------------------------------

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions import amount
-
 
 def matches(events: DataFrame) -> DataFrame:
     """Two-role rows: event ``2m`` plays event ``2m + 1``.
@@ -68,8 +66,7 @@ def services(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     """Lineitems as trips between two nations.
 
     origin = the customer's nation (through orders), destination = the
-    supplier's nation, seats = l_quantity (exact hundredths), round_trip =
-    (l_returnflag = 'R').
+    supplier's nation, seats = l_quantity, round_trip = (l_returnflag = 'R').
     Orders are resolved to their origin nation before meeting lineitem, so
     lineitem joins one narrow (o_orderkey, origin) frame.
     """
@@ -78,10 +75,9 @@ def services(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                     F.col("o_custkey") == F.col("c_custkey"))
               .select("o_orderkey", "origin"))
     dest = supplier.select("s_suppkey", F.col("s_nationkey").alias("destination"))
-    units, _ = amount(lineitem, "l_quantity", 2)
     li = lineitem.select("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag")
     return (li.join(origin, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(dest, F.col("l_suppkey") == F.col("s_suppkey"))
               .select("origin", "destination",
-                      units.alias("seats"),
+                      F.col("l_quantity").alias("seats"),
                       (F.col("l_returnflag") == "R").alias("round_trip")))
