@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame], *,
           k: int = 4, mode: str = "exact", src: str = "src", dst: str = "dst",
           node: str = "node", limit: int | None = None, checkpoint_every: int | None = None,
-          split_hot: bool = True, salts: int | None = None, max_hot: int = 10000, out: str = "follower_id") -> DataFrame:
+          parts: int = 256, out: str = "follower_id") -> DataFrame:
     """Distinct nodes that reach a start node along ``src -> dst`` edges in
     exactly ``k`` steps (``mode='exact'``: walks, nodes may repeat, cycles are
     allowed) or in 1..k steps (``mode='within'``).
@@ -19,83 +19,78 @@ def k_hop(edges: DataFrame, start: DataFrame | Callable[[DataFrame], DataFrame],
     ``start`` is a frame with a ``node`` column, or a function that derives
     it from the edges.  ``limit`` keeps the first nodes by id.
 
-    Frontier iteration: the set of nodes at step s depends only on the set at
-    step s - 1, so each level is a semi-join of the edges with the previous
-    frontier followed by ``distinct``: no per-path rows, which a recursive
-    UNION ALL grows exponentially.  ``within`` is the distinct union of the
-    frontiers.  Building the result starts no job; all levels read the same
-    edge subplan, whose exchange adaptive execution computes once.
+    Exact: the nodes at step s depend only on those at step s - 1, so a level
+    is a semi-join of the edges with the frontier and a ``distinct``: no
+    per-path rows.  Within: semi-naive evaluation.  The state holds each node
+    with its first step; only nodes first reached in the last step are
+    expanded, and one aggregate keeps the least step.  Each level refers to
+    the one before once, so the plan grows linearly, with one exchange a level
+    beside that of the edges, which all levels share.  Building the result
+    starts no job.
 
     Hot targets (a node followed by a third of all edges) would put all their
-    edges into one join task.  With ``split_hot`` the edges are split by
-    in-degree: a target is hot when it has more than 1 / ``max_hot`` of all
-    edges, so fewer than ``max_hot`` targets are hot (a proven bound for the
-    broadcasts).  Hot edges are matched map-side against a broadcast of the
-    frontier's hot nodes; the rest go through an ordinary, balanced semi-join.
+    edges into one join task.  A target with more than 1 / ``parts`` of all
+    edges is dealt over parts in proportion to its degree (fewer than
+    ``parts`` targets, at most twice ``parts`` parts in all; both bounds hold
+    for any data, so their list may be broadcast), and such a node stands in
+    the frontier once for each of its parts.  ``parts=1`` deals nothing.
 
-    That refers to each frontier twice, so the plan doubles with every level:
-    it suits a small ``k``.  With ``salts`` the edges of hot targets are dealt
-    into that many parts instead and the frontier's hot nodes stand once in
-    each, so one join per level does and the plan grows linearly.
-
-    For a large ``k`` the caller may ask for a reliable checkpoint of the
-    frontier every ``checkpoint_every`` levels, into the folder that the
-    session names (``spark.checkpoint.dir``; without one Spark raises).  That
-    runs the levels so far, keeps the plan short, and stops once nothing is
-    reached any more.
+    For a large ``k`` the caller may ask for a reliable checkpoint every
+    ``checkpoint_every`` levels, into the folder that the session names
+    (``spark.checkpoint.dir``; without one Spark raises).  That runs the
+    levels so far, keeps the plan short, and stops once nothing new is reached.
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
-    if k < 1:
-        raise ValueError("k must be at least 1")
-    e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d"))
+    if k < 1 or parts < 1:
+        raise ValueError("k and parts must be at least 1")
+    e = edges.select(F.col(src).alias("_s"), F.col(dst).alias("_d")).where(F.col("_s").isNotNull() & F.col("_d").isNotNull())
     if callable(start):
         start = start(e.select(F.col("_s").alias(src), F.col("_d").alias(dst)))
-    hot_keys = _hot_targets(e, max_hot) if split_hot or salts else None
-    if salts:
-        part = F.when(F.col("_h").isNotNull(), F.pmod(F.xxhash64("_s"), F.lit(salts))).otherwise(0).cast("int")
-        dealt = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left").select("_s", "_d", part.alias("_part"))
-        parts = F.when(F.col("_h").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    elif split_hot:
-        hot = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_semi")
-        cold = e.join(F.broadcast(hot_keys), F.col("_d") == F.col("_h"), "left_anti")
-    frontier = start.select(F.col(node).alias("_n")).distinct()
-    reached = None
+    first = start.select(F.col(node).alias("_n")).where(F.col("_n").isNotNull())
+    if parts > 1:
+        hot = _hot_targets(e, parts)
+        mine, theirs = (hot.select(F.col("_h").alias(f"_h{c}"), F.col("_parts").alias(f"_p{c}")) for c in "ds")
+        of = F.coalesce(F.col("_pd"), F.lit(1))
+        dealt = (e.join(F.broadcast(mine), F.col("_d") == F.col("_hd"), "left")
+                  .join(F.broadcast(theirs), F.col("_s") == F.col("_hs"), "left")
+                  .select("_s", "_d", F.pmod(F.xxhash64("_s"), of).cast("int").alias("_part"), F.coalesce(F.col("_ps"), F.lit(1)).alias("_of")))
+        first = (first.join(F.broadcast(mine), F.col("_n") == F.col("_hd"), "left")
+                      .select("_n", F.explode(_numbers(of)).alias("_at")))
+    else:
+        dealt = e.select("_s", "_d", F.lit(0).alias("_part"), F.lit(1).alias("_of"))
+        first = first.select("_n", F.lit(0).alias("_at"))
+    meets = (F.col("_d") == F.col("_n")) & (F.col("_part") == F.col("_at"))
+    state = first.distinct()
     for step in range(1, k + 1):
-        if salts:
-            each = (frontier.join(F.broadcast(hot_keys), F.col("_n") == F.col("_h"), "left")
-                            .select("_n", F.explode(parts).alias("_at")))
-            nxt = dealt.join(each, (F.col("_d") == F.col("_n")) & (F.col("_part") == F.col("_at")), "left_semi")
-        elif not split_hot:
-            nxt = e.join(frontier, F.col("_d") == F.col("_n"), "left_semi")
+        if mode == "exact" or step == 1:
+            nxt = dealt.join(state, meets, "left_semi").select(F.col("_s").alias("_n"), F.explode(_numbers(F.col("_of"))).alias("_at"))
+            state = nxt.distinct() if mode == "exact" else nxt.groupBy("_n", "_at").agg(F.lit(1).alias("_step"))
         else:
-            # Hot targets: the frontier's hot nodes (at most ``max_hot``) are
-            # broadcast to the hot edges, which never shuffle.  Cold targets:
-            # an ordinary sort-merge semi-join, balanced by construction.
-            hot_frontier = frontier.join(F.broadcast(hot_keys), F.col("_n") == F.col("_h"), "left_semi")
-            nxt = (hot.join(F.broadcast(hot_frontier), F.col("_d") == F.col("_n"), "left_semi")
-                      .unionByName(cold.join(frontier, F.col("_d") == F.col("_n"), "left_semi")))
-        frontier = nxt.select(F.col("_s").alias("_n")).distinct()
-        if mode == "within":
-            reached = frontier if reached is None else reached.unionByName(frontier)
+            there = F.array(F.struct(F.col("_n").alias("_n"), F.col("_at").alias("_at"), F.col("_step").alias("_step")))
+            more = F.transform(_numbers(F.col("_of")), lambda p: F.struct(F.col("_s").alias("_n"), p.alias("_at"), F.lit(step).alias("_step")))
+            both = F.concat(there, F.when(F.col("_s").isNotNull(), more).otherwise(F.slice(there, 1, 0)))
+            state = (state.join(dealt, meets & (F.col("_step") == step - 1), "left").select(F.inline(both))
+                          .groupBy("_n", "_at").agg(F.min("_step").alias("_step")))
         if checkpoint_every and step % checkpoint_every == 0 and step < k:
-            frontier = frontier.checkpoint(eager=True)
-            if reached is not None:
-                reached = reached.distinct().checkpoint(eager=True)
-            if frontier.isEmpty():  # reads the checkpoint: every later level is empty too
+            state = state.checkpoint(eager=True)
+            last = state if mode == "exact" else state.where(F.col("_step") == step)
+            if last.isEmpty():  # reads the checkpoint: no later level adds anything
                 break
-    res = frontier if mode == "exact" else reached.distinct()
-    res = res.select(F.col("_n").alias(out)).orderBy(out)
+    res = state.where(F.col("_at") == 0).select(F.col("_n").alias(out)).orderBy(out)
     return res.limit(limit) if limit is not None else res
 
 
-def _hot_targets(e: DataFrame, max_hot: int) -> DataFrame:
-    """Keys (``_h``) of the hot targets.
+def _numbers(n: Column) -> Column:
+    return F.sequence(F.lit(0), n - 1)
+
+
+def _hot_targets(e: DataFrame, parts: int) -> DataFrame:
+    """(``_h``, ``_parts``): targets with more than 1 / ``parts`` of all edges, and how many parts share their edges.
 
-    A target is hot when its in-degree times ``max_hot`` exceeds the number of
-    edges, so fewer than ``max_hot`` targets are, whatever the data.  Degrees
-    and their sum are part of the plan (the sum a one-row subquery).
+    Degrees and their sum are part of the plan (the sum a one-row subquery).
     """
     degree = e.groupBy("_d").agg(F.count(F.lit(1)).alias("_deg"))
-    edges = degree.agg(F.struct(F.sum("_deg").alias("n"), F.max("_d").alias("d"))).scalar()
-    return degree.where(F.col("_deg") * max_hot > edges.getField("n")).select(F.col("_d").alias("_h"))
+    edges = degree.agg(F.struct(F.sum("_deg").alias("n"), F.max("_d").alias("d"))).scalar().getField("n")
+    share = F.col("_deg") * parts / edges
+    return degree.where(F.col("_deg") * parts > edges).select(F.col("_d").alias("_h"), F.ceil(share).cast("int").alias("_parts"))

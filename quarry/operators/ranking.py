@@ -37,7 +37,7 @@ def top_with_ties(facts: DataFrame, key: str, entities: DataFrame, entity_key: s
 
 def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
                        limit: int | None = None, sort: bool = True, group_out: str = "order_id",
-                       item_out: str = "part_id", nulls_first: bool = False) -> DataFrame:
+                       item_out: str = "part_id", nulls_first: bool = False, salts: int = 32) -> DataFrame:
     """All rows holding their group's maximum ``value`` (ties kept, duplicate
     rows kept); ``limit`` keeps the first rows by (group, item); without a limit
     ``sort=False`` saves the sort of the whole result.
@@ -45,9 +45,10 @@ def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
     Rows without a group are one group.  A NULL value is below every other, so
     a group of NULL values returns all its rows; with ``nulls_first`` it is
     above every other, as ``ORDER BY value DESC`` has it where NULLs sort high.
+    ``salts`` parts share a group of any size (``top_values``).
     """
-    rows = df.select(F.col(group).alias(group_out), F.col(item).alias(item_out), F.col(value).alias("_value"))
-    res = top_values(rows, F.col(group_out), F.col("_value"), F.col(item_out), nulls_first=nulls_first).select(group_out, item_out)
+    res = top_values(df, F.col(group), F.col(value), F.col(item), {group_out: F.col(group), item_out: F.col(item)},
+                     nulls_first=nulls_first, salts=salts)
     if limit is not None:
         return res.orderBy(group_out, item_out).limit(limit)
     return res.orderBy(group_out, item_out) if sort else res
@@ -56,8 +57,8 @@ def max_per_group_ties(df: DataFrame, group: str, item: str, value: str,
 def daily_max_ties(df: DataFrame, day, value, id_col: str, out: str = "event_id") -> DataFrame:
     """Rows holding the maximum ``value`` of their day (NULL values excluded,
     rows without a day are one group), all ties kept, in no order."""
-    rows = df.select(F.col(id_col).alias(out), _col(day).alias("_day"), _col(value).alias("_value")).where(F.col("_value").isNotNull())
-    return top_values(rows, F.col("_day"), F.col("_value"), F.col(out)).select(out)
+    rows = df.where(_col(value).isNotNull())
+    return top_values(rows, _col(day), _col(value), F.col(id_col), {out: F.col(id_col)})
 
 
 def max_above_max_avg(df: DataFrame, key: str, trip: str, value,
@@ -196,8 +197,8 @@ def top_n_per_day(counts: DataFrame, day: str, key: str, value: str, n: int = 2)
 
     Rows without a day are one group; a NULL value is the smallest value.
     """
-    rows = counts.select(day, key, value)
-    return top_values(rows, F.col(day), F.col(value), F.col(key), n=n).orderBy(day, key)
+    keep = {c: F.col(c) for c in (day, key, value)}
+    return top_values(counts, F.col(day), F.col(value), F.col(key), keep, n=n).orderBy(day, key)
 
 
 def top_two_values_global(counts: DataFrame, day: str, key: str, value: str) -> DataFrame:

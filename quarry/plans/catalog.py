@@ -171,7 +171,8 @@ def _max_per_group(spark, root, limit):
     rows = (t.lineitem.select("l_orderkey", "l_partkey")
             .join(t.part.select("p_partkey", "p_retailprice"),
                   F.col("l_partkey") == F.col("p_partkey")))
-    return op.max_per_group_ties(rows, "l_orderkey", "p_partkey", "p_retailprice", limit=limit, sort=limit is not None)
+    # an order has a handful of lines: one stage
+    return op.max_per_group_ties(rows, "l_orderkey", "p_partkey", "p_retailprice", limit=limit, sort=limit is not None, salts=1)
 
 
 @query
@@ -216,6 +217,15 @@ def first_last_same(spark, root):
                               owner_key="c_custkey", out="user_id")
 
 
+@query
+def sequence_scan(spark, root):
+    """Each user's previous event but one and running value, at raw timestamps."""
+    ev = Tables(spark, root).events.select("user_id", "ts", "event_id", "event_type", "value")
+    out = op.sequence_scan(ev, "user_id", ["ts", "event_id"], lags={"previous_type": ("event_type", 1), "second_last_id": ("event_id", 2)},
+                           running={"running_value": "value"}, scale=2)
+    return out.select("event_id", "user_id", "previous_type", "second_last_id", "running_value")
+
+
 # -- two-role rows -----------------------------------------------------------
 
 @query
@@ -388,7 +398,7 @@ def rolling_dense_sum_revenue(spark, root):
 
 def _k_hop(spark, root, mode, limit=None):
     g = edges(Tables(spark, root).events)
-    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode, limit=limit, salts=16)
+    return op.k_hop(g, lambda e: e.agg(F.min("dst").alias("node")), k=4, mode=mode, limit=limit)
 
 
 @query

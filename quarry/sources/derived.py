@@ -17,23 +17,19 @@ def matches(events: DataFrame) -> DataFrame:
     one_time, two_time (``floor(value)``, so equal times occur).
 
     Equivalent to joining events to itself on ``b.event_id = a.event_id + 1``
-    for even ``a.event_id``; since ``event_id`` is the key of events, both
-    members of a pair share ``event_id >> 1`` and one grouping (one shuffle,
-    combinable map-side) replaces the self-join's two shuffles.
+    for even ``a.event_id``: both members of a pair share ``event_id >> 1``, so
+    one grouping (one shuffle) replaces the self-join's two.  Where ids
+    repeat, every event of one plays every event of the other, as in the
+    join; the lists hold the events of two ids.
     """
     even = F.col("event_id").bitwiseAND(F.lit(1)) == 0
-    t = F.floor(F.col("value")).cast("bigint")
-    g = (events.select("event_id", "user_id", "value")
+    who = F.struct(F.col("event_id").alias("m"), F.col("user_id").alias("u"), F.floor(F.col("value")).cast("bigint").alias("t"))
+    g = (events.where(F.col("event_id").isNotNull())
          .groupBy(F.shiftright("event_id", 1).alias("_pair"))
-         .agg(F.count_if(even).alias("_n1"),
-              F.count_if(~even).alias("_n2"),
-              F.min(F.when(even, F.col("event_id"))).alias("match_id"),
-              F.max(F.when(even, F.col("user_id"))).alias("one_id"),
-              F.max(F.when(~even, F.col("user_id"))).alias("two_id"),
-              F.max(F.when(even, t)).alias("one_time"),
-              F.max(F.when(~even, t)).alias("two_time")))
-    return (g.where((F.col("_n1") > 0) & (F.col("_n2") > 0))
-             .select("match_id", "one_id", "two_id", "one_time", "two_time"))
+         .agg(F.collect_list(F.when(even, who)).alias("_one"), F.collect_list(F.when(~even, who)).alias("_two")))
+    pairs = g.select(F.explode("_one").alias("a"), "_two").select("a", F.explode("_two").alias("b"))
+    return pairs.select(F.col("a.m").alias("match_id"), F.col("a.u").alias("one_id"), F.col("b.u").alias("two_id"),
+                        F.col("a.t").alias("one_time"), F.col("b.t").alias("two_time"))
 
 
 def edges(events: DataFrame, event_type: str = "error") -> DataFrame:
@@ -41,17 +37,18 @@ def edges(events: DataFrame, event_type: str = "error") -> DataFrame:
     ids that are both of ``event_type``; src/dst are their user ids, distinct.
 
     Each event stands under its own id as the end of an edge and under the
-    next id as its beginning, so one grouping by that key (one scan, combined
-    map-side; ids are unique) replaces a self-join.
+    next id as its beginning, so one grouping by that key (one scan) replaces
+    a self-join.  Where ids repeat, the sets hold the users of one id, and
+    each of one is paired with each of the other.
     """
-    e = events.where(F.col("event_type") == event_type).select("event_id", "user_id")
+    e = events.where((F.col("event_type") == event_type) & F.col("event_id").isNotNull()).select("event_id", "user_id")
     none = F.lit(None).cast("bigint")
     user = F.col("user_id").cast("bigint")
     ends = e.select(F.inline(F.array(
         F.struct(F.col("event_id").alias("_k"), none.alias("_src"), user.alias("_dst")),
         F.struct((F.col("event_id") + 1).alias("_k"), user.alias("_src"), none.alias("_dst")))))
-    pairs = ends.groupBy("_k").agg(F.max("_src").alias("src"), F.max("_dst").alias("dst"))
-    return pairs.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst").distinct()
+    pairs = ends.groupBy("_k").agg(F.collect_set("_src").alias("_srcs"), F.collect_set("_dst").alias("_dsts"))
+    return pairs.select(F.explode("_srcs").alias("src"), "_dsts").select("src", F.explode("_dsts").alias("dst")).distinct()
 
 
 def roster(customer: DataFrame) -> DataFrame:

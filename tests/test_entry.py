@@ -25,7 +25,7 @@ def test_every_query_has_an_oracle_and_aliased_columns(spark):
 
     m = load_entry()
     q, sql = m.queries(), m.oracle_sql()
-    assert set(CATALOG) <= set(sql) <= set(q) and len(CATALOG) == 42
+    assert set(CATALOG) <= set(sql) <= set(q) and len(CATALOG) == 43
     for key in CATALOG:
         cols = q[key](spark, "/root/testdata/sf0.001").columns
         assert all(c.isidentifier() and not c.startswith("_") for c in cols), (key, cols)

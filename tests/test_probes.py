@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry import operators as op
-from quarry.functions import amount
+from quarry.functions import exact_product, exact_sum
 
-from test_skew import HOT, N, skewed
+from test_skew import HOT, N, rows_per_task, skewed
 
 
 def rows(df):
@@ -47,23 +47,90 @@ def test_large_products_and_sums_do_not_overflow(spark):
                                    dim_pred=F.lit(True), header_pred=F.lit(True), group="g", price="price", quantity="q", scale=2)
     assert rows(got) == [("g", 7.2e19)]
     df = spark.createDataFrame([(1, Decimal("90000000000000000.123"))] * 200, "k long, v decimal(28,3)")
-    total, places = amount(df, "v")
-    assert df.agg(F.sum(total)).first()[0] == Decimal("18000000000000000024.600") and places == 0
+    e = exact_sum(df, "v")
+    assert df.agg(*e.sums("t")).select(e.to_decimal(e.total("t"))).first()[0] == Decimal("18000000000000000024.600")
+
+
+def exact_total(df, value="v", scale=6):
+    e = exact_sum(df, value, scale)
+    return df.agg(*e.sums("t")).select(e.total("t").alias("t")).select(e.to_double(F.col("t")).alias("d"), "t").first()
 
 
-@pytest.mark.parametrize("value", [0.1234567, 1e300, float("nan")])
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_amounts_that_do_not_fit_raise(spark, value, ansi):
-    df = spark.createDataFrame([(value,)], "v double")
+def test_plain_doubles_are_summed_exactly_in_any_order(spark, ansi):
+    import math
+    import random
     old = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        with pytest.raises(Exception, match="decimals, or too large"):
-            df.select(amount(df, "v")[0].alias("u")).collect()
+        rng = random.Random(8)
+        odd = [rng.uniform(-1, 1) * 10 ** rng.randrange(-4, 14) for _ in range(3000)] + [1 / 3, 0.1 * 3, 2.0e13, -2.0e13, None] * 20
+        total = None
+        for parts in (1, 7):
+            rng.shuffle(odd)
+            got = exact_total(spark.createDataFrame([(v,) for v in odd], "v double").repartition(parts))
+            assert got["d"] == pytest.approx(math.fsum(v for v in odd if v is not None), rel=1e-15) and total in (None, got["t"])
+            total = got["t"]
+        for v in (1 / 3, 0.1 * 3, 2.0e13, -0.07, 1e18, 123456.789, 0.0):
+            assert exact_total(spark.createDataFrame([(v,), (v,), (None,)], "v double"))["d"] == 2 * v
+        assert exact_total(spark.createDataFrame([(0.1,), (0.2,)], "v double"))["t"] == exact_total(spark.createDataFrame([(0.3,)], "v double"))["t"]
+        assert exact_total(spark.createDataFrame([(1e300,), (1.0,)], "v double"))["d"] == 1e300
+        assert math.isnan(exact_total(spark.createDataFrame([(float("nan"),), (1.0,)], "v double"))["d"])
+        assert tuple(exact_total(spark.createDataFrame([(None,)], "v double"))) == (None, None)
+        for kind, v, total in (("long", -(1 << 62), -(1 << 63)), ("decimal(18,3)", Decimal("-0.007"), -0.014), ("int", 5, 10), ("float", 0.25, 0.5)):
+            assert exact_total(spark.createDataFrame([(v,), (v,), (None,)], f"v {kind}"))["d"] == total
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
 
 
+def test_products_of_doubles(spark):
+    df = spark.createDataFrame([(0.1, 3.0), (1 / 3, 3.0), (2.0e13, 0.01), (None, 1.0)], "a double, b double")
+    e = exact_product(df, "a", "b", 2)
+    got = df.agg(*e.sums("t")).select(e.to_double(e.total("t"))).first()[0]
+    assert got == pytest.approx(0.3 + 1.0 + 2.0e11, rel=1e-15)
+    e = exact_product(df.limit(1), "a", "b", 2)
+    assert df.limit(1).agg(*e.sums("t")).select(e.to_decimal(e.total("t"))).first()[0] == Decimal("0.3")
+
+
+def test_inexact_values_take_part_in_every_sum(spark):
+    third = spark.createDataFrame([(1, i, 1 / 3) for i in range(3)] + [(2, i, 0.2) for i in range(3)], "k long, t long, v double")
+    assert rows(op.max_above_max_avg(third, "k", "t", "v")) == []
+    up = spark.createDataFrame([(1, 1, 1 / 3), (1, 2, 0.1 * 3 + 1), (2, 1, 0.1 * 3), (2, 2, 0.3)], "k long, y int, v double")
+    assert rows(op.strictly_increasing(up, "k", "y", "v")) == [(1,)]  # 0.1 * 3 is a little above 0.3
+    busy = spark.createDataFrame([(dt.datetime(2024, 1, 5), 2.0e13), (dt.datetime(2024, 1, 5), 1 / 3)], "ts timestamp_ntz, v double")
+    assert rows(op.weekday_totals(busy, "ts", "v", month=1)) == [(dt.date(2024, 1, 5), 2.0e13 + 1 / 3)]
+    grid = spark.createDataFrame([(1, m, 0.1 * 3.0 * m) for m in range(1, 5)], "k long, m int, v double")
+    got = rows(op.rolling_dense_sum(grid, "k", F.col("m"), "v", drop_latest=False))
+    assert [r[2] for r in got] == pytest.approx([2.7, 1.8, 0.9, 0.3])
+
+
+def test_null_totals_do_not_rise(spark):
+    df = spark.createDataFrame([(1, 1, 5.0), (1, 2, None), (1, 3, 3.0), (2, 1, None), (3, 1, 1.0), (3, None, 2.0), (4, 1, 2.0), (4, None, 1.0),
+                                (5, 1, None), (5, 2, 1.0)], "k long, y int, v double")
+    assert rows(op.strictly_increasing(df, "k", "y", "v")) == [(2,), (3,)]
+
+
+@pytest.mark.parametrize("salts", [1, 32])
+def test_null_groups_and_values_are_ranked(spark, salts):
+    df = spark.createDataFrame([(1, 1, None), (1, 2, None), (None, 3, 2.0), (None, 4, 2.0), (None, 5, 1.0), (2, 6, 1.0), (2, 7, None)], "g long, i long, v double")
+    got = rows(op.max_per_group_ties(df, "g", "i", "v", sort=False, salts=salts))
+    assert sorted(got, key=str) == [(1, 1), (1, 2), (2, 6), (None, 3), (None, 4)]
+    high = rows(op.max_per_group_ties(df, "g", "i", "v", sort=False, nulls_first=True, salts=salts))
+    assert sorted(high, key=str) == [(1, 1), (1, 2), (2, 7), (None, 3), (None, 4)]
+    counts = spark.createDataFrame([(None, 1, 5), (None, 2, 5), (None, 3, 4), (None, 4, 3), (dt.date(2024, 1, 1), 5, None), (dt.date(2024, 1, 1), 6, 1)], "d date, u long, n long")
+    assert rows(op.top_n_per_day(counts, "d", "u", "n")) == [(None, 1, 5), (None, 2, 5), (None, 3, 4), (dt.date(2024, 1, 1), 5, None), (dt.date(2024, 1, 1), 6, 1)]
+    days = spark.createDataFrame([(1, None, 2.0), (2, None, 2.0), (3, dt.date(2024, 1, 1), 1.0), (4, dt.date(2024, 1, 1), None)], "i long, d date, v double")
+    assert sorted(rows(op.daily_max_ties(days, "d", "v", "i"))) == [(1,), (2,), (3,)]
+
+
+def test_repeated_event_ids_give_the_self_joins_rows(spark):
+    from quarry.sources import edges, matches
+    ev = spark.createDataFrame([(0, 5, 1.0, "error"), (0, 6, 2.0, "error"), (1, 7, 3.0, "error"), (1, 7, 4.0, "error"), (2, 8, 5.0, "error"), (None, 1, 1.0, "error")],
+                               "event_id long, user_id long, value double, event_type string")
+    assert sorted(rows(matches(ev))) == [(0, 5, 7, 1, 3), (0, 5, 7, 1, 4), (0, 6, 7, 2, 3), (0, 6, 7, 2, 4)]
+    assert sorted(rows(edges(ev))) == [(5, 7), (6, 7), (7, 8)]
+
+
 def test_undated_events_have_no_gap(spark):
     day = dt.datetime(2024, 1, 1, 5)
     one = [(1, day, 0)] + [(1, None, i) for i in range(1, 12)]
@@ -95,32 +162,21 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_ties_that_fill_a_group_are_read_where_they_are_when_maxima_are_few(spark):
+def test_ties_that_fill_a_group_are_dealt_and_moved_once(spark):
     df = skewed(spark, "g long, i long, v double", lambda i: (0, i, 9.0), lambda i: (1 + i % 7, i, float(i % 5)))
-    res = op.max_per_group_ties(df, "g", "i", "v", sort=False)
-    assert res.count() == HOT + sum(1 for i in range(HOT, N) if i % 5 == 4)
-    plan = final_plan(res)
-    assert "BroadcastHashJoin" in plan and "AQEShuffleRead local" in plan and "Window" not in plan
-    day = skewed(spark, "i long, d date, v double", lambda i: (i, dt.date(2024, 1, 1), 5.0), lambda i: (i, dt.date(2024, 1, 2 + i % 3), float(i % 9)))
-    res = op.daily_max_ties(day, "d", "v", "i")
-    assert res.count() >= HOT
-    plan = final_plan(res)
-    assert "BroadcastHashJoin" in plan and "AQEShuffleRead local" in plan and "Window" not in plan
-
-
-def test_skewed_maximum_join_is_split(spark):
-    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
-    old = {k: spark.conf.get(k) for k in names}
-    for k, v in names.items():
-        spark.conf.set(k, v)
+    conf = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
     try:
-        df = skewed(spark, "g long, i long, v double", lambda i: (0, i, 9.0), lambda i: (1 + i // 2, i, float(i % 5)))
         res = op.max_per_group_ties(df, "g", "i", "v", sort=False)
-        assert "skew=true" in final_plan(res) and len(res.collect()) > HOT
+        plan = final_plan(res)
+        assert len(res.collect()) == HOT + sum(1 for i in range(HOT, N) if i % 5 == 4)
+        assert plan.count("Scan ExistingRDD") == 1 and "ReusedExchange" in plan
+        assert rows_per_task(res)[-1] < HOT / 2  # no task has the hot group
     finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+        for c, v in old.items():
+            spark.conf.set(c, v)
 
 
 def test_concentrated_totals_spread_over_ranges(spark):
@@ -128,10 +184,23 @@ def test_concentrated_totals_spread_over_ranges(spark):
     ranked = op.ranking.percent_rank_of(totals, "total")
     got = ranked.agg(F.min("_rm1"), F.max("_rm1"), F.countDistinct("_rm1")).first()
     assert tuple(got) == (0, 199_999, 200_000)
-    hist = totals.groupBy(F.col("total").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    edges = hist.agg(F.percentile_approx("_v", [i / 256 for i in range(1, 256)], 25600)).first()[0]
-    widths = [b - a for a, b in zip(edges, edges[1:])]
-    assert max(widths) < 4 * 200_000 / 256  # values are consecutive: a range holds as many rows as it is wide
+    from quarry.operators.prefix import cut_into_ranges
+    sizes = [r["count"] for r in cut_into_ranges(totals, "total", 256).groupBy("_b").count().collect()]
+    assert len(sizes) == 256 and max(sizes) < 4 * 200_000 / 256
+
+
+def test_many_timestamps_as_periods(spark):
+    """Periods are numbered in ranges: no exchange brings all of them to one task."""
+    df = spark.range(60_000).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(F.col("id") * 7).alias("t"), F.lit(0.5).alias("v"))
+    res = op.rolling_dense_sum(df, "k", F.col("t"), "v", width=4, sort=False)
+    import re
+    one = re.findall(r"Exchange SinglePartition[^\n]*\n([^\n]*)", final_plan(res))
+    assert all("Aggregate(keys=[], functions=[partial_" in line for line in one)  # one row a task: edges and sums of ranges
+    got = res.groupBy("part_id", "part_summary").count().collect()
+    assert sum(r["count"] for r in got) == 60_000 - 3
+    assert {(r["part_id"], r["part_summary"]): r["count"] for r in got if r["part_summary"] == 0.5} == {(1, 0.5): 1, (2, 0.5): 1, (0, 0.5): 1}
+    words = spark.createDataFrame([("b",), ("a",), (None,), ("é",)], "p string")
+    assert sorted(rows(op.dense_index(words, "p", "n", ranges=2)), key=str) == [("a", 1), ("b", 2), ("é", 3), (None, 4)]
 
 
 def test_building_k_hop_starts_no_job(spark):
@@ -150,11 +219,11 @@ def test_any_year_weekdays(spark):
     assert len(got) == 8 and {r[1] for r in got} == {1.005}
 
 
-def test_salted_k_hop_deals_hot_edges_and_reaches_the_same_nodes(spark):
+def test_dealt_k_hop_reaches_the_same_nodes(spark):
     edges = spark.range(3000).select(F.col("id").alias("src"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("dst"))
     start = spark.createDataFrame([(0,)], "node long")
     for mode in ("exact", "within"):
         for k in (1, 3):
-            plain = rows(op.k_hop(edges, start, k=k, mode=mode, split_hot=False))
-            assert rows(op.k_hop(edges, start, k=k, mode=mode, salts=8)) == plain
-            assert rows(op.k_hop(edges, start, k=k, mode=mode, salts=8, max_hot=5)) == plain
+            plain = rows(op.k_hop(edges, start, k=k, mode=mode, parts=1))
+            for parts in (2, 8, 256):
+                assert rows(op.k_hop(edges, start, k=k, mode=mode, parts=parts)) == plain

@@ -83,26 +83,65 @@ def test_match_points_hot_player(spark):
     assert max(exchange_records(res)) <= SLICES * 501 + 1
 
 
-def test_hot_join_target_never_shuffles(spark):
-    """A node followed by a third of all edges: k-hop matches its edges
-    map-side against a broadcast of the (bounded) hot frontier, so no
-    exchange carries them; the other edges go through an ordinary join."""
+def rows_per_task(df):
+    """Rows of each task of ``df``'s last stage."""
+    return sorted(df.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect())
+
+
+def test_hot_target_is_dealt_over_many_parts(spark):
+    """A node followed by a third of all edges: k-hop deals its edges over parts in proportion to its degree."""
     from pyspark.sql import functions as F
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # sort-merge, as at scale
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
     try:
-        n = 200000
-        edges = spark.range(n).select(
-            F.col("id").alias("src"),
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("dst"))
+        n = 60000
+        edges = spark.range(n).select(F.col("id").alias("src"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("dst"))
         start = spark.createDataFrame([(0,)], "node long")
+        hot = sum(1 for i in range(n) if i % 3 == 0 or i % 5000 == 0)
         res = op.k_hop(edges, start, k=1)
-        hot = sum(1 for i in range(n) if i % 3 == 0 or i % 5000 == 0)  # edges into node 0
-        assert len(res.collect()) == hot  # also executes res's own plan
-        assert max(exchange_records(res)) <= n - hot
-        # without the split the edges' exchange would carry all n rows
-        plain = op.k_hop(edges, start, k=1, split_hot=False)
-        plain.collect()
-        assert max(exchange_records(plain)) == n
+        assert res.count() == hot
+        from quarry.operators.graph import _hot_targets
+        e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))
+        found = _hot_targets(e, 256).collect()
+        assert [tuple(r) for r in found] == [(0, -(-hot * 256 // n))]
+        dealt = e.select("_d", F.when(F.col("_d") == 0, F.pmod(F.xxhash64("_s"), F.lit(found[0]["_parts"]))).otherwise(0).alias("_part"))
+        sizes = rows_per_task(dealt.repartition(16, "_d", "_part"))
+        assert sizes[-1] < 2 * n / 16  # without parts the hot node's task alone would have a third
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_one_key_with_all_rows_is_scanned_in_ranges(spark):
+    """Lags and running sums of one key with all rows: no task sees much more than a range, and the window agrees."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(20000, numPartitions=8).select(
+        F.lit(7).alias("k"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("t"), "id", F.when(F.col("id") % 5 > 0, F.col("id") % 97 * 0.01).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        res = op.sequence_scan(df, "k", ["t", "id"], lags={"a": ("v", 1), "b": ("id", 5)}, running={"s": "v"}, ranges=64, scale=2)
+        w = Window.partitionBy("k").orderBy("t", "id")
+        total = F.sum(F.col("v").cast("decimal(18,2)")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("double")
+        want = df.withColumns({"a": F.lag("v").over(w), "b": F.lag("id", 5).over(w), "s": total})
+        assert sorted(map(tuple, res.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert rows_per_task(res)[-1] < 20000 / 2  # 64 ranges over 8 tasks
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_sequences_over_many_keys_equal_the_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(900, numPartitions=5).select(
+        F.when(F.col("id") % 7 > 0, F.floor(F.sqrt("id")) % 11).alias("k"), "id", (F.col("id") * 0.25).alias("v"), F.col("id").cast("string").alias("w"))
+    w = Window.partitionBy("k").orderBy("id")
+    for ranges in (2, 9, 300):
+        res = op.sequence_scan(df, "k", ["id"], lags={"a": ("w", 3), "b": ("v", 1)}, running={"s": "v", "n": "id"}, ranges=ranges)
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        want = df.withColumns({"a": F.lag("w", 3).over(w), "b": F.lag("v").over(w), "s": F.sum("v").over(run), "n": F.sum("id").over(run).cast("double")})
+        assert sorted(map(tuple, res.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), ranges
+    assert op.sequence_scan(df.limit(0), "k", ["id"], lags={"a": ("w", 3)}, running={"s": "v"}).count() == 0
