@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACES, ascii_lower, hash128, hot_keys, materialise
+from quarry.llm.common import SPACES, ascii_lower, hash128, materialise
 
 
 def line_key(line: Column) -> Column:
@@ -21,14 +21,16 @@ def _document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
-                  min_chars: int = 1, keep_first: bool = False, most: int = 10_000) -> DataFrame:
+                  min_chars: int = 1, keep_first: bool = False, hot_share: int | None = None) -> DataFrame:
     """Compressed bitmaps of the lines to drop, one row per document that loses any.
 
     Lines become 128-bit hashes of their keys.  The hashes are range-
     partitioned and sorted by document and position inside each, and one pass
-    over that order marks first occurrences and counts the documents.  The
-    ``most`` most frequent hashes are counted by a combined aggregate instead
-    and joined back by broadcast, so no hash fills a range by itself.
+    over that order marks first occurrences and counts the documents.  Hashes
+    of more than 1 / ``hot_share`` of all lines, hence fewer than ``hot_share``,
+    are counted by a combined aggregate instead and joined back by broadcast,
+    so no hash fills a range by itself.  By default that is the share of one
+    range: the session's number of shuffle partitions.
 
     A key found in at least ``min_docs`` documents loses all its lines, or
     all but its first one (smallest id, then position) with ``keep_first``.
@@ -43,7 +45,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seen = materialise(keyed.select(h1.alias("h1"), h2.alias("h2"), "id", "d1", "d2", "pos"), "lines")
 
     key, order = ["h1", "h2"], [F.col("id").asc_nulls_last(), F.col("d1"), F.col("d2"), F.col("pos")]
-    hot = materialise(hot_keys(seen.select(*key), key, most).select(*key), "hot-lines")
+    least = seen.count() // (hot_share or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = materialise(seen.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least).filter("n > 1").select(*key), "hot-lines")
     first = F.min(F.struct(F.col("id").isNull().alias("u"), *[F.col(c) for c in ("id", "d1", "d2", "pos")])).alias("first")
     per_doc = seen.join(F.broadcast(hot), key, "left_semi").groupBy(*key, "id", "d1", "d2").agg(F.min("pos").alias("pos"))
     often = (per_doc.groupBy(*key).agg(F.count(F.lit(1)).alias("n_docs"), first).filter(F.col("n_docs") >= min_docs)
@@ -65,7 +68,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
-               min_chars: int = 1, keep_first: bool = False, most: int = 10_000) -> DataFrame:
+               min_chars: int = 1, keep_first: bool = False, hot_share: int | None = None) -> DataFrame:
     """Every document without its repeated lines (see ``dropped_lines``).
 
     Defined results: a null or empty text is one empty line and stays; lines
@@ -76,7 +79,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Returns id, n_lines (before dropping), n_dropped, text (kept lines joined
     by newlines).
     """
-    bitmaps = dropped_lines(docs, id_col, text_col, min_docs, min_chars, keep_first, most)
+    bitmaps = dropped_lines(docs, id_col, text_col, min_docs, min_chars, keep_first, hot_share)
     lines = F.split("text", "\n", -1)
     joined = _document(docs, id_col, text_col).join(bitmaps, ["d1", "d2"], "left")
     found = F.map_from_entries("bits")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.llm.words import mix, text_runs, word_hashes, word_spans
 
 SAMPLE = 6000  # labelled documents fitted on, at most
-SAMPLE_LINES = 64  # lines of each that are fitted on, at most
+SAMPLE_LINES = 384_000  # lines of all of them together, at most
 _PLAIN = b".,;:'\"()?-"
 
 
@@ -195,23 +195,34 @@ def held_out(doc_id: Column) -> Column:
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = SAMPLE_LINES) -> QualityModel:
     """A model from at most ``sample`` labelled documents that are not held out.
 
-    They are chosen by a hash of their id, and the first ``lines`` lines of
-    each count; both bounds keep what reaches the driver small.  Of labels
-    that repeat for an id the lowest counts, null labels don't.  Without any
-    label every score is 0.5.
+    They are chosen by a hash of their id and fitted on as a whole.  Their
+    lines are ``lines`` at most in all, which keeps what reaches the driver
+    small: documents that would go beyond it, and such of more than a
+    hundredth of it alone, are left out.  Of labels that repeat for an id the
+    lowest counts, null labels don't.  Without any label every score is 0.5.
     """
     asked = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    chosen = docs.select(F.col("doc_id").alias("key"), F.col("text").alias("text")).join(
-        F.broadcast(asked), F.col("key") == F.col("doc_id")).select("quality", "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    given = docs.select(F.col("doc_id").alias("key"), text.alias("text"), F.xxhash64("doc_id", text).alias("h"),
+                        (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n"))
+    given = given.join(F.broadcast(asked), F.col("key") == F.col("doc_id"))
+    sizes = given.filter(F.col("n") <= max(1, lines // 100)).select("h", "n").orderBy("h").limit(sample).collect()
+    kept, total = [], 0
+    for r in sizes:
+        if total + r.n <= lines:
+            kept.append((r.h,))
+            total += r.n
+    kept = docs.sparkSession.createDataFrame(kept, "h long").distinct()
+    chosen = given.join(F.broadcast(kept), "h", "left_semi").select("quality", "text")
 
     def features(batches):
         for batch in batches:
             for lo, hi, data, offsets in text_runs(batch.column("text")):
                 x, weight, first = line_features(data, offsets)
                 both = np.concatenate([x, weight[:, None]], 1).astype("<f4")
-                rows = [both[a:min(b, a + lines)].tobytes() for a, b in zip(first[:-1], first[1:])]
+                rows = [both[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("quality").slice(lo, hi - lo).cast(pa.int32()), pa.array(rows, pa.binary())], names=["quality", "x"])
 
     found = sorted(((r.quality, bytes(r.x)) for r in chosen.mapInArrow(features, "quality int, x binary").collect()), key=lambda r: r[1])

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 _LIMIT = 500_000  # words of each of the two generations that a worker remembers
+_BYTES = 64 << 20  # and bytes of them and their ids
 
 
 class WordTokenizer:
@@ -29,6 +30,7 @@ class WordTokenizer:
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
+        self._held = 0
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint32) of all documents in a row, and where each document's ids begin."""
@@ -48,20 +50,22 @@ class WordTokenizer:
         words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
         coded = words.dictionary_encode()
         distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self._known) > _LIMIT:  # words not met since the last turn are forgotten
-            self._known, self._before = {}, self._known
+        if len(self._known) > _LIMIT or self._held > _BYTES:  # words not met since the last turn are forgotten
+            self._known, self._before, self._held = {}, self._known, 0
         known, older = self._known, self._before
         missing = [w for w in distinct if w not in known]
         new = []
         for w in missing:
             if w in older:
                 known[w] = older[w]
+                self._held += len(w) + len(older[w])
             else:
                 new.append(w)
         for at in range(0, len(new), 20_000):
             part = new[at:at + 20_000]
             for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known[w] = np.array(e.ids, np.uint32).tobytes()
+                self._held += len(w) + len(known[w])
         coded_words = [known[w] for w in distinct]
         flat = np.frombuffer(b"".join(coded_words), np.uint32)
         size = np.fromiter(map(len, coded_words), np.int64, len(coded_words)) // 4

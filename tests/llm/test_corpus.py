@@ -71,6 +71,47 @@ def test_model_is_not_fitted_on_held_out_rows(spark):
     assert docs.limit(3).select(quality_score(F.col("text"), model)).distinct().collect()[0][0] == 0.5
 
 
+def test_scores_against_a_plain_reading(spark):
+    """Document scores of a model with given weights: neighbours' features, all labellings, length-weighted marginals."""
+    from quarry.llm.quality import document_scores, line_features
+
+    rng = np.random.default_rng(4)
+    model = QualityModel(rng.normal(size=WIDTH), rng.normal(size=(2, 2)), rng.normal(size=WIDTH) * 0.1, 1 + rng.random(WIDTH))
+    for text in ["", "one line.", "A b c!\n\n12 34\nend", "x|y|z\nx|y|z\nx|y|z\nfine words, here.\n!!!!"]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        x, weight, first = line_features(data, np.array([0, len(data)]))
+        lines = text.split("\n")
+        assert len(x) == len(lines) and list(weight) == [len(s.encode()) + 1 for s in lines]
+        for i, line in enumerate(lines):  # a line alone has the features it has at the same place among others, but for its neighbours
+            alone, _, _ = line_features(np.frombuffer(line.encode(), np.uint8), np.array([0, len(line.encode())]))
+            assert np.sum(np.isclose(alone[0], x[i])) >= WIDTH // 3
+        score = ((x - model.mean) / model.scale) @ model.weights
+        total, good = 0.0, np.zeros(len(lines))
+        for code in range(2 ** len(lines)):
+            y = [code >> i & 1 for i in range(len(lines))]
+            p = np.exp(sum(s * v for s, v in zip(score, y)) + sum(model.moves[a, b] for a, b in zip(y, y[1:])))
+            total, good = total + p, good + p * np.array(y)
+        want = float((good / total * weight).sum() / weight.sum())
+        assert abs(document_scores(model, data, np.array([0, len(data)]))[0] - want) < 1e-9
+        assert abs(spark.createDataFrame([(text,)], "t string").select(quality_score(F.col("t"), model)).first()[0] - want) < 1e-9
+
+
+def test_whole_documents_are_fitted_on_within_a_budget_of_lines(spark, monkeypatch):
+    from quarry.llm import quality as module
+
+    seen = {}
+    real = module._fit
+    monkeypatch.setattr(module, "_fit", lambda x, weight, first, labels, **how: seen.update(sizes=np.diff(first), n=len(labels)) or real(x, weight, first, labels, **how))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    docs = frame(spark, ["\n".join(f"line {k} of {i}" for k in range(1 + i % 90)) for i in range(400)])
+    module.fit_quality(docs, labels, lines=9000)
+    assert sorted(seen["sizes"]) == sorted(1 + i % 90 for i in ids if i < 400) or seen["sizes"].sum() <= 9000
+    module.fit_quality(docs, labels, lines=3000)
+    assert 1000 < seen["sizes"].sum() <= 3000 and seen["sizes"].max() <= 30
+    assert all(n in {1 + i % 90 for i in ids} for n in seen["sizes"])
+
+
 @pytest.mark.parametrize("slots", [[1], [1, 1, 1], [3, 5, 8], [100, 1, 1, 1], [7, 7, 7, 7, 4], [1] * 30 + [970]])
 def test_pfair_deviates_by_less_than_one_block(slots):
     total, done = sum(slots), [0] * len(slots)

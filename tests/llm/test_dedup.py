@@ -77,8 +77,8 @@ def line_truth(texts, min_docs, keep_first=False, min_chars=1):
 def test_line_dedup_awkward_rows(spark):
     texts = awkward() + ["Same É\nown 1\n same É\t", "sAME É\n\nsame É", "\x0bsame É", "same é"]
     # almost all keys by ranges, or all by counts
-    for min_docs, keep_first, most in ((2, False, 1), (2, True, 1), (2, True, 10_000), (3, False, 10_000), (1, True, 1)):
-        got = line_dedup(frame(spark, texts), min_docs=min_docs, keep_first=keep_first, most=most).collect()
+    for min_docs, keep_first, share in ((2, False, 1), (2, True, 1), (2, True, 10 ** 6), (3, False, 10 ** 6), (1, True, 1)):
+        got = line_dedup(frame(spark, texts), min_docs=min_docs, keep_first=keep_first, hot_share=share).collect()
         assert sorted((r.id, r.n_lines, r.n_dropped, r.text) for r in got) == line_truth(texts, min_docs, keep_first)
 
 
@@ -90,6 +90,17 @@ def test_line_dedup_counts_a_repeated_row_once_and_allows_null_ids(spark):
     assert sorted((str(r.id), r.text) for r in got) == [("1", "a"), ("1", "a"), ("2", ""), ("None", "b")]
 
 
+def test_the_stream_answers_on_the_given_documents(spark, monkeypatch):
+    """No line there is as frequent as a range is large, so every dropped line comes from the sorted ranges."""
+    from quarry.llm import line_dedup as module
+
+    written = {}
+    real = module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, what: written.setdefault(what, real(df, what)))
+    bits = dropped_lines(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), min_docs=10)
+    assert bits.count() > 0 and written["hot-lines"].count() == 0
+
+
 def test_keep_bitmaps_are_sparse(spark):
     docs = frame(spark, ["\n".join(f"l{i}" for i in range(200)), "l3\nl70\nz", "q"])
     bits = dropped_lines(docs, min_docs=2).collect()
