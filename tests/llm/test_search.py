@@ -202,3 +202,45 @@ def test_passages_of_periodic_text(spark):
         whole = [w for _ in range(8) for w in gram + fresh(12)]
         texts += [fresh(9) + whole + fresh(9), fresh(9) + whole[20:75] + fresh(9), fresh(9) + whole[40:92] + fresh(9)]
     check_passages(spark, texts)
+
+
+def test_sorted_neighbours_give_the_spans(spark, monkeypatch):
+    """Suffixes are range-partitioned and sorted; where neighbours share all windows nothing is left to the grouping by hash."""
+    from quarry.llm import passages as module
+
+    written, plans = {}, {}
+    real = module.materialise
+
+    def keep(df, what):
+        plans[what] = df._jdf.queryExecution().executedPlan().toString()
+        return written.setdefault(what, real(df, what))
+
+    monkeypatch.setattr(module, "materialise", keep)
+    rng = random.Random(9)
+    fresh = lambda n: " ".join(f"q{rng.randrange(10 ** 9)}" for _ in range(n))
+    texts = []
+    for _ in range(30):
+        shared = fresh(rng.randrange(50, 300))
+        texts += [f"{fresh(20)} {shared} {fresh(20)}" for _ in range(2)]
+    got = repeated_passages(frame(spark, texts), min_words=50).collect()
+    assert {r.id for r in got} == set(range(60)) and all(r.other_id == r.id ^ 1 for r in got)
+    assert "rangepartitioning(h" in plans["neighbours"] and "Sort [h" in plans["neighbours"]
+    assert written["neighbours"].filter("`end` IS NOT NULL").count() > 0
+    keys = written["suffixes"].select("h").distinct().count()
+    assert written["unmatched-keys"].count() <= 0.1 * keys  # those at the ends of ranges
+
+
+def test_neighbours_are_extended_over_equal_windows_only():
+    from quarry.llm.passages import compare_neighbours
+
+    def row(h, d, start, lead, windows):
+        return (h, b"", b"", 0, d, d, d, start, lead, len(windows), np.array(windows, np.uint64).tobytes())
+
+    rows = [row(1, 10, 0, 2, [5, 6, 7]), row(1, 11, 40, 1, [6, 7, 8]), row(1, 11, 90, 1, [6, 9]), row(1, 12, 3, 0, [7]), row(2, 13, 0, 0, [7])]
+    names = ["h", "right", "left", "class", "d1", "d2", "id", "start", "lead", "n", "windows"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
+    spans, left = compare_neighbours(batch, 50, 30)
+    found = sorted(zip(*(x.tolist() for x in spans)))
+    # window 8 and 5 stand once; the row of document 12 is next to 11's second row, which has another window there
+    assert found == [(0, 1, 52, 11), (1, 40, 91, 10), (2, 90, 140, 10)]
+    assert left.tolist() == [True, True, True, True, True]
