@@ -69,29 +69,33 @@ def hot_keys(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
 
 
 def ranks(rows: DataFrame, keys: list[str], out: str, buckets: int = 1 << 20, most: int = 1000) -> DataFrame:
-    """Add ``out``: a long that is equal exactly where ``keys`` are equal.
-
-    Keys are hashed into many buckets, sorted inside each, and named by
-    bucket and dense rank, so only one shuffle moves them.  The ``most`` most
-    frequent keys are sorted apart (at most ``most`` hashes of keys, broadcast)
-    and get negative names; their rows then carry no key through the shuffle
-    and are dealt evenly.  ``rows`` must be a written table: it is read
-    several times.  Keys must not be null.
+    """``rows`` without ``keys`` and ``_h``, but with ``out``: a long that is equal exactly where ``keys`` are equal.
+
+    ``_h`` must be a hash of ``keys``, any one, and ``rows`` a written table: it is
+    read several times.  Keys must not be null.  Only distinct keys are
+    shuffled, combined map-side, and counted by hash; the hashes are sorted in
+    many buckets, and each is given as many names as it has keys.  Rows find
+    their name by the hash alone.  Where several keys share a hash, these keys
+    are sorted and their rows compared with them.  The ``most`` most frequent
+    hashes are joined by broadcast (their names only), the others by a join
+    of two written tables.
     """
-    h = F.xxhash64(*keys)
-    hashed = rows.withColumn("_h", h)
-    hot = hot_keys(hashed.select("_h"), ["_h"], most).select("_h")
-    named = (hashed.join(F.broadcast(hot), "_h", "left_semi").select("_h", *keys).distinct()
-             .select("_h", *[F.col(k).alias(f"_hot_{k}") for k in keys],
-                     F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys)).alias("_hot")))
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_hot_{k}"))
-    rest = [c for c in rows.columns if c not in keys]
-    joined = hashed.alias("l").join(F.broadcast(named.withColumnRenamed("_h", "_hh")), (F.col("_h") == F.col("_hh")) & same, "left")
-    spread = joined.select(
-        *rest, F.col("_hot"),
-        *[F.when(F.col("_hot").isNull(), F.col(k)).alias(k) for k in keys],
-        F.pmod(F.when(F.col("_hot").isNull(), F.col("_h")).otherwise(F.xxhash64(*rest)), F.lit(buckets)).alias("_bucket"))
-    rank = F.dense_rank().over(Window.partitionBy("_bucket").orderBy(*keys))
-    return spread.select(*rest, F.coalesce(-F.col("_hot"), F.col("_bucket") * (1 << 40) + rank).cast("long").alias(out))
+    rest = [c for c in rows.columns if c not in (*keys, "_h")]
+    counted = rows.select("_h", *keys).distinct().groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    bucket = F.pmod("_h", F.lit(buckets))
+    before = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1))
+    names = materialise(counted.withColumn("_bucket", bucket).select(
+        "_h", "_n", (F.col("_bucket") * (1 << 40) + F.coalesce(before, F.lit(0))).cast("long").alias("_first")), "key-names")
+    hot = hot_keys(rows.select("_h"), ["_h"], most).select("_h")
+    hot = F.broadcast(materialise(names.join(F.broadcast(hot), "_h", "left_semi"), "hot-names"))
+    slim = rows.select(*rest, "_h")
+    single = names.filter("_n = 1").select("_h", "_first")
+    named = slim.join(hot.filter("_n = 1").select("_h", "_first"), "_h").unionByName(
+        slim.join(hot.select("_h"), "_h", "left_anti").join(single, "_h")).select(*rest, F.col("_first").alias(out))
+    shared = names.filter("_n > 1").select("_h", "_first")
+    if shared.isEmpty():
+        return named
+    among = rows.join(shared, "_h")
+    nth = F.row_number().over(Window.partitionBy("_h").orderBy(*keys)) - 1
+    apart = materialise(among.select("_h", "_first", *keys).distinct().withColumn(out, (F.col("_first") + nth).cast("long")).drop("_first"), "apart")
+    return named.unionByName(among.drop("_first").join(apart, ["_h", *keys]).select(*rest, out))

@@ -18,7 +18,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks of ``block`` code points.  Equal blocks get equal integer names by
     sorting; then the names of adjacent pairs are named again until one is
     left, so ``n_blocks`` and ``name`` are equal exactly for equal normal
-    forms.  No hash decides: hashes only deal rows out.
+    forms.  No hash decides: where two blocks share one, they are compared.
 
     Returns row, id, d1, d2 (128-bit key of id and text), chars (code points
     of the original), sha (of the normal form), n_blocks, name.  ``row`` numbers the input rows, so repeated rows
@@ -34,7 +34,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = F.col("pos") == 0
     blocks = materialise(
         cut.select("row", *_INFO, F.size("blocks").alias("n_blocks"), F.posexplode("blocks").alias("pos", "block"))
-        .select("row", "pos", "n_blocks", *[F.when(first, F.col(c)).alias(c) for c in _INFO], "block"), "blocks")
+        .select("row", "pos", "n_blocks", *[F.when(first, F.col(c)).alias(c) for c in _INFO], "block", F.xxhash64("block").alias("_h")), "blocks")
 
     level = materialise(ranks(blocks, ["block"], "name"), "names")
     info = level.filter(first).select("row", *_INFO, "n_blocks", "name")
@@ -46,7 +46,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pairs = names.groupBy("row", "n_blocks", half.alias("at")).agg(
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("l"),
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(_NONE)).alias("r"))
-        pairs = materialise(pairs.withColumnRenamed("at", "pos"), "pairs")
+        pairs = materialise(pairs.withColumnRenamed("at", "pos").withColumn("_h", F.xxhash64("l", "r")), "pairs")
         left = -(-left // 2)
         names = materialise(ranks(pairs, ["l", "r"], "name"), "names")
         # a document is done once no second name is left

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import hash128, whole_row
 
 CYCLE = 1 << 40  # slots that weights are rounded to
-MOST_BLOCKS = 1 << 22  # each is scheduled in the driver; a schedule of more repeats after as many slots
+MOST_BLOCKS = 1 << 22  # each is scheduled in the driver; blocks of larger tables are longer
 MOST_SOURCES = 100_000  # a weight for each is kept in the driver
 _BUCKETS = 14  # bits
 _PART = 256  # slots of a source in a row of the schedule
@@ -86,12 +86,13 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, al
     Target weights are given by source, or the sources' sizes to the power
     ``alpha``; a source without a weight gets the least share, one slot of a
     cycle (``CYCLE`` slots, unless ``cycle`` is given).  Each source's documents are put in the order of a hash and cut
-    into blocks of ``block_chars`` characters (a document belongs to the
-    block in which it begins).  The weights become whole numbers of slots of a
-    cycle, so long that rounding is no block off before the schedule ends,
-    and all blocks are scheduled once in the driver, by source and number;
-    more than ``MOST_BLOCKS`` follow a cycle of as many slots that repeats
-    (rounding then is up to one block off a cycle).  The documents themselves
+    into blocks of ``block_chars`` characters, or of one part in
+    ``MOST_BLOCKS`` of all characters where that is more (a document belongs
+    to the block in which it begins).  So the blocks are at most
+    ``MOST_BLOCKS`` and one for each source, whatever the size of the table.
+    The weights become whole numbers of slots of a cycle, so long that
+    rounding is no block off before the schedule ends, and all blocks are
+    scheduled once, by source and number.  The documents themselves
     are only counted by (source, range of hashes), summed, and dealt by the
     same keys.  A source that is exhausted leaves its
     later slots empty and the others keep their proportions; nothing is dropped.
@@ -120,8 +121,9 @@ def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, al
         given = {"n" if s is None else f"s{s}": w for s, w in weights.items()}
         wanted = [max(0.0, given.get(s, 0.0)) for s in names]
         wanted = wanted if sum(wanted) else [1.0] * len(names)
+    block_chars = max(block_chars, -(-sum(sizes.values()) // MOST_BLOCKS))
     blocks = [(sizes[s] - 1) // block_chars + 1 for s in names]
-    cycle = max(cycle or (CYCLE if sum(blocks) <= MOST_BLOCKS else MOST_BLOCKS), len(names))
+    cycle = max(cycle or CYCLE, len(names))
     slots = shares(wanted, cycle) if names else []
     turns = [array("q") for _ in names]
     for t, s, _ in timed(slots, [min(b, n) for b, n in zip(blocks, slots)]):

@@ -172,6 +172,24 @@ def test_mixing_deviates_by_less_than_one_block_from_the_weights(spark, sources)
             assert abs(j - share[s] * t) < 1 + 1e-6 and abs(j + 1 - share[s] * (t + 1)) < 1 + 1e-6
 
 
+def test_blocks_grow_with_the_table_and_keep_the_bound(spark, monkeypatch):
+    """Past the number of blocks that are scheduled, blocks are longer and still less than one off."""
+    from quarry.llm import mixing as module
+
+    monkeypatch.setattr(module, "MOST_BLOCKS", 500)
+    n, share = 30_000, {"hot": 1 / 2, "a": 1 / 3, "b": 1 / 6}
+    docs = frame(spark, ["x" * (i % 19) for i in range(n)], sources=["hot" if i % 2 else "ab"[i // 2 % 2] for i in range(n)])
+    got = schedule(docs, share, block_chars=10).select("doc.doc_id", "source", "block", "slot", "at").collect()
+    chars = sum(i % 19 + 1 for i in range(n))
+    size = -(-chars // 500)
+    assert sorted(r.doc_id for r in got) == list(range(n)) and all(r.block == r.at // size for r in got)
+    by = {s: sorted({r.slot for r in got if r.source == s}) for s in share}
+    assert 490 < sum(map(len, by.values())) <= 503
+    for s, own in by.items():
+        for j, t in enumerate(own):
+            assert abs(j - share[s] * t) < 1 + 1e-6 and abs(j + 1 - share[s] * (t + 1)) < 1 + 1e-6
+
+
 def test_mixing_awkward_rows(spark):
     texts = awkward() + ["r", "r"]
     docs = frame(spark, texts, [*range(len(texts) - 2), 50, 50], [None, "n", "", "s"] * 4 + ["n", "n"])
