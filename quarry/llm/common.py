@@ -40,6 +40,12 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that Spark can hash: tells rows apart that share id and text."""
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.xxhash64(*[docs[f"`{c}`"] for c in plain]) if plain else F.lit(0).cast("long")
+
+
 def delete_spaces(text: Column) -> Column:
     for c in SPACES:
         text = F.replace(text, F.lit(c), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import delete_spaces, hash128, materialise, ranks, whole_row
+from quarry.llm.common import delete_spaces, hash128, materialise, ranks, row_hash, whole_row
 
 _NONE = -(1 << 63)  # no right neighbour
 _INFO = ("id", "d1", "d2", "chars", "sha")
@@ -92,10 +92,11 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` with one row of each group of equal texts; all columns stay.
 
     Kept rows are found again by a 128-bit hash of id and text; of rows that
-    repeat both, the join's one task per hash keeps one.
+    repeat both, the one with the lowest hash of all its columns stays.
+    Null, empty and repeated rows as in ``exact_dedup``.
     """
     kept = exact_dedup(docs, id_col, text_col).filter("kept").select("d1", "d2")
     d1, d2 = hash128(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    held = docs.select(whole_row(docs).alias("doc"), d1.alias("d1"), d2.alias("d2"))
-    w = Window.partitionBy("d1", "d2").orderBy(F.lit(0))
+    held = docs.select(whole_row(docs).alias("doc"), d1.alias("d1"), d2.alias("d2"), row_hash(docs).alias("tie"))
+    w = Window.partitionBy("d1", "d2").orderBy("tie")
     return held.join(kept, ["d1", "d2"], "left_semi").withColumn("nth", F.row_number().over(w)).filter("nth = 1").select("doc.*")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import hash128, materialise, whole_row
+from quarry.llm.common import hash128, materialise, row_hash, whole_row
 from quarry.llm.components import components
 from quarry.llm.words import shingle_sets, text_runs
 
@@ -230,9 +230,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component of ``near_dedup``; all columns stay."""
+    """``docs`` with one row of each component of ``near_dedup``; all columns stay.
+
+    Of rows that repeat both id and text, the one with the lowest hash of all
+    its columns stays.  Null, empty and repeated rows as in ``near_dedup``.
+    """
     kept = near_dedup(docs, id_col, text_col, words, percent).filter("kept").select("d1", "d2")
     d1, d2 = hash128(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    held = docs.select(whole_row(docs).alias("doc"), d1.alias("d1"), d2.alias("d2"))
-    w = Window.partitionBy("d1", "d2").orderBy(F.lit(0))
+    held = docs.select(whole_row(docs).alias("doc"), d1.alias("d1"), d2.alias("d2"), row_hash(docs).alias("tie"))
+    w = Window.partitionBy("d1", "d2").orderBy("tie")
     return held.join(kept, ["d1", "d2"], "left_semi").withColumn("nth", F.row_number().over(w)).filter("nth = 1").select("doc.*")

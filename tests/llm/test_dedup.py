@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
 from pyspark.testing.utils import assertDataFrameEqual
 
 from helpers import PROSE, SCHEMA, SPACE, awkward, components, frame, lower, shingles
@@ -42,6 +43,32 @@ def test_block_names_are_exact_for_any_number_of_blocks(spark):
     assert sorted(((r.id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == exact_truth(texts, range(300))
 
 
+def test_names_of_keys_that_share_a_hash(spark):
+    from quarry.llm.common import materialise, ranks
+
+    rng = random.Random(3)
+    keys = [rng.choice(["hot", "b", "c", *map(str, range(50))]) if i % 3 else "hot" for i in range(900)]
+    for spread in (1, 2, 7, 10 ** 6):  # hashes in all, from one to about one a key
+        rows = [(i, k, sum(map(ord, k)) * 7919 % spread) for i, k in enumerate(keys)]
+        table = materialise(spark.createDataFrame(rows, "row long, key string, _h long"), "rows")
+        for most in (2, 1000):
+            got = ranks(table, ["key"], "name", buckets=4, most=most)
+            assert got.columns == ["row", "name"]
+            found = {(keys[r.row], r.name) for r in got.collect()}
+            assert got.count() == 900 and len(found) == len(set(keys)) == len({n for _, n in found})
+
+
+def test_hot_blocks_are_not_shuffled_row_by_row(spark):
+    """Blocks are combined before they move: what moves doesn't grow with the copies."""
+    from quarry.llm.common import materialise, ranks
+
+    rows = spark.range(4000).select("id", F.lit("x" * 4000).alias("block")).withColumn("_h", F.xxhash64("block"))
+    table = materialise(rows, "rows")
+    assert ranks(table, ["block"], "name").select("name").distinct().count() == 1
+    plan = table.select("_h", "block").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.rindex("HashAggregate") and plan.count("HashAggregate") == 2
+
+
 def test_drop_exact_copies_keeps_whole_rows(spark):
     docs = frame(spark, ["a b", "ab", "c", "c", None, ""], [1, 2, 3, 3, 4, 5])
     got = drop_exact_copies(docs)
