@@ -82,9 +82,8 @@ def _estimate(a: np.ndarray, b: np.ndarray, both: int) -> float:
     return both / (np.searchsorted(a, top, "right") + np.searchsorted(b, top, "right") - both)
 
 
-def _links(ids: list[int], blocks: list[int], sets: list[np.ndarray], leader: int, i: int, j: int, k: int, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected among the pairs of blocks ``i`` and ``j`` of one leader's group."""
-    lead = ids.index(leader)
+def _links(ids: list[int], blocks: list[int], sets: list[np.ndarray], linked: np.ndarray, i: int, j: int, k: int, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is connected among the pairs of blocks ``i`` and ``j``; ``linked`` members are connected already."""
     root = list(range(len(ids)))
 
     def find(x: int) -> int:
@@ -93,15 +92,12 @@ def _links(ids: list[int], blocks: list[int], sets: list[np.ndarray], leader: in
             x = root[x]
         return x
 
-    out = []
-    for x in range(len(ids)):  # every member against the leader
-        if x != lead and _similar(sets[lead], sets[x], percent):
-            root[find(x)] = find(lead)
-            if i == j:
-                out.append((leader, ids[x]))
-    open_ = [x for x in range(len(ids)) if x != lead]
-    left = [x for x in open_ if blocks[x] == i]
-    right = [x for x in open_ if blocks[x] == j]
+    known = np.flatnonzero(linked)
+    for x in known[1:]:
+        root[x] = int(known[0])
+    out: list[tuple[int, int]] = []
+    left = [x for x in range(len(ids)) if blocks[x] == i]
+    right = [x for x in range(len(ids)) if blocks[x] == j]
     if len(left) == 0 or len(right) == 0 or (i == j and len(left) < 2):
         return out
     heads = [s[:k] for s in sets]
@@ -116,7 +112,6 @@ def _links(ids: list[int], blocks: list[int], sets: list[np.ndarray], leader: in
     lx, rx = np.array(left), np.array(right)
     share = percent / 100 - (0.8 - SHARE)
     possible = both >= share * np.minimum.outer(size[lx], size[rx])
-    linked = np.array([find(x) == find(lead) for x in range(len(ids))])
     possible &= ~np.logical_and.outer(linked[lx], linked[rx])
     if i == j:
         possible = np.triu(possible, 1)
@@ -131,6 +126,33 @@ def _links(ids: list[int], blocks: list[int], sets: list[np.ndarray], leader: in
     return out
 
 
+def _stars(dealt: DataFrame, percent: int) -> DataFrame:
+    """``dealt`` rows (leader, blk, class, items) of members, each with whether it is similar to its leader.
+
+    A leader's set goes once to each block of its group and is all that a
+    task holds of the group, so a group of any size is one pass.
+    """
+    first = F.col("class") == F.col("leader")
+    copies = F.when(first, F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array("blk"))
+    work = dealt.select("leader", F.explode(copies).alias("blk"), (~first).alias("later"), "class", "items")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = np.empty(0, np.uint64)
+        for batch in batches:
+            out: list[tuple[int, int, bool]] = []
+            for leader, later, cls, items in zip(*(batch.column(c).to_pylist() for c in ("leader", "later", "class", "items"))):
+                own = np.frombuffer(items, np.uint64)
+                if later:
+                    out.append((leader, cls, _similar(lead, own, percent)))
+                else:
+                    lead = own
+            yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in out], t) for n, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))],
+                                             names=["leader", "class", "linked"])
+
+    order = ["leader", "blk", "later"]
+    return work.repartition("leader", "blk").sortWithinPartitions(*order).mapInArrow(compare, "leader long, class long, linked boolean")
+
+
 def near_links(docs: DataFrame, rows: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int, k: int = K) -> DataFrame:
     """Verified links (a, b) between set classes that connect all similar ones.
 
@@ -139,10 +161,14 @@ def near_links(docs: DataFrame, rows: DataFrame, classes: DataFrame, id_col: str
     meet in such a list, whereas values in a great many documents are in the
     lists of documents that hold little else.  All lists with the same
     lowest member (the leader) are one group, and each member is compared
-    with the leader, then with the members that aren't yet connected with it;
-    groups are cut into blocks of bounded size and each pair of blocks is a
-    piece of work of its own.  Candidates pass the union-sketch estimate and
-    are verified on whole sets; a group yields a spanning forest, not all pairs.
+    with the leader, then with the members that aren't yet connected with it.
+    A group of more than one block of bounded size is first compared with its
+    leader block by block; the members that are not similar to it are dealt
+    into blocks again and compared with each other and with the rest, a pair
+    of blocks at a time.  So a large group of near copies costs one pass, and
+    only what its leader leaves is paired.  Candidates pass the union-sketch
+    estimate and are verified on whole sets; a group yields a spanning
+    forest, not all pairs.
     """
     reps = rows.join(classes.select("class"), rows["row"] == classes["class"], "left_semi")
     reps = reps.select(F.col("row").alias("class"), "d1", "d2", "n", "sketch")
@@ -160,15 +186,25 @@ def near_links(docs: DataFrame, rows: DataFrame, classes: DataFrame, id_col: str
     wanted = reps.select("class", "d1", "d2", "n").join(members.select("class").distinct(), "class", "left_semi")
     sets = materialise(_full_sets(docs, id_col, text_col, wanted.select("d1", "d2", "class"), words)
                        .dropDuplicates(["class"]), "sets")
-    mb = F.sum(F.octet_length("items")) / F.lit(GROUP_MB << 20)
-    sized = members.join(sets, "class")
-    big = materialise(sized.groupBy("leader").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(mb)).cast("int").alias("nb")).filter("nb > 1"), "large-groups")
-    dealt = sized.join(big, "leader", "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
-    dealt = dealt.withColumn("blk", F.pmod(F.xxhash64("class"), F.col("nb")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("nb") - 1)
-    pair = F.when(F.col("class") == F.col("leader"), F.flatten(F.transform(every, lambda x: F.transform(F.sequence(F.lit(0), x), lambda y: F.struct(y.alias("i"), x.alias("j"))))))
-    pair = pair.otherwise(F.transform(every, lambda x: F.struct(F.least(x, F.col("blk")).alias("i"), F.greatest(x, F.col("blk")).alias("j"))))
-    work = dealt.select("leader", "class", "blk", "items", F.explode(pair).alias("p")).select("leader", "p.i", "p.j", "class", "blk", "items")
+    n_blocks = F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("bytes") / F.lit(GROUP_MB << 20)), F.lit(1)).cast("int")
+    sized = members.join(sets.select("class", F.octet_length("items").alias("bytes")), "class")
+    big = materialise(sized.groupBy("leader").agg(n_blocks.alias("nb")), "groups")
+    dealt = members.join(big, "leader").withColumn("blk", F.pmod(F.xxhash64("class"), F.col("nb")).cast("int"))
+    stars = materialise(_stars(dealt.filter("nb > 1").join(sets, "class"), percent), "stars")
+
+    # what the leaders leave gets the first blocks of its group, what they link the others
+    counts = stars.join(sets.select("class", F.octet_length("items").alias("bytes")), "class").groupBy("leader", "linked").agg(n_blocks.alias("n"))
+    width = materialise(counts.groupBy("leader").agg(F.max(F.when(~F.col("linked"), F.col("n"))).alias("nu"),
+                                                     F.coalesce(F.max(F.when(F.col("linked"), F.col("n"))), F.lit(0)).alias("nl")).filter("nu > 0"), "open-groups")
+    open_ = stars.join(width, "leader")
+    nth = F.xxhash64(F.lit(2), "class")
+    blk = F.when(F.col("linked"), F.col("nu") + F.pmod(nth, F.col("nl"))).otherwise(F.pmod(nth, F.col("nu"))).cast("int")
+    partner = F.explode(F.sequence(F.lit(0), F.when(F.col("linked"), F.col("nu")).otherwise(F.col("nu") + F.col("nl")) - 1))
+    work = open_.select("leader", "class", "linked", blk.alias("blk"), partner.alias("x"))
+    work = work.select("leader", F.least("x", "blk").alias("i"), F.greatest("x", "blk").alias("j"), "class", "blk", "linked")
+    zero, unknown = F.lit(0), F.lit(None).cast("boolean")
+    whole = dealt.filter("nb = 1").select("leader", zero.alias("i"), zero.alias("j"), "class", zero.alias("blk"), unknown.alias("linked"))
+    work = work.unionByName(whole).join(sets, "class").select("leader", "i", "j", "class", "blk", "linked", "items")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -177,22 +213,28 @@ def near_links(docs: DataFrame, rows: DataFrame, classes: DataFrame, id_col: str
         def done() -> list[tuple[int, int]]:
             if len(held) < 2:
                 return []
-            ids, blocks, items = zip(*held)
-            return _links(list(ids), list(blocks), [np.frombuffer(s, np.uint64) for s in items], *key, k, percent)
+            ids, blocks, linked, items = zip(*held)
+            sets, star = [np.frombuffer(s, np.uint64) for s in items], []
+            if linked[0] is None:  # a group of one block: its leader is in it
+                lead = sets[ids.index(key[0])]
+                linked = [_similar(lead, s, percent) for s in sets]
+                star = [(key[0], x) for x, near in zip(ids, linked) if near and x != key[0]]
+            return star + _links(list(ids), list(blocks), sets, np.array(linked), *key[1:], k, percent)
 
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for leader, i, j, cls, blk, items in zip(*(batch.column(c).to_pylist() for c in range(6))):
+            for leader, i, j, cls, blk, linked, items in zip(*(batch.column(c).to_pylist() for c in range(7))):
                 if (leader, i, j) != key:
                     out += done()
                     key, held = (leader, i, j), []
-                held.append((cls, blk, items))
+                held.append((cls, blk, linked, items))
             yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in out], pa.int64()) for n in (0, 1)], names=["a", "b"])
         if key is not None:
             out = done()
             yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in out], pa.int64()) for n in (0, 1)], names=["a", "b"])
 
-    return work.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j").mapInArrow(compare, "a long, b long")
+    pairs = work.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j").mapInArrow(compare, "a long, b long")
+    return pairs.unionByName(stars.filter("linked").select(F.col("leader").alias("a"), F.col("class").alias("b")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, k: int = K) -> DataFrame:

@@ -170,6 +170,26 @@ def test_near_dedup_splits_large_groups(spark, monkeypatch):
     assert [r.component_id for r in sorted(got, key=lambda r: r.id)] == components([shingles(t, 5) for t in texts])
 
 
+def test_large_groups_are_paired_only_where_the_leader_leaves_members(spark, monkeypatch):
+    """Sets around 0.8 from each other and from the first, in blocks of 8: linked members aren't paired with each other."""
+    from quarry.llm import near_dedup as module
+
+    monkeypatch.setattr(module, "GROUP", 8)
+    seen, real = [], module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, what: seen.append((what, real(df, what))) or seen[-1][1])
+    rng = random.Random(11)
+    base = " ".join(f"w{i}" for i in range(300))
+    near = [base] + variants(rng, base, 150, 4)
+    for texts, open_ in ((near, False), (near + variants(rng, base, 100, 26), True)):
+        seen.clear()
+        got = near_dedup(frame(spark, texts), words=5).collect()
+        assert [r.component_id for r in sorted(got, key=lambda r: r.id)] == components([shingles(t, 5) for t in texts])
+        tables = dict(seen)
+        linked = tables["stars"].groupBy("linked").count().collect()
+        assert tables["groups"].filter("nb > 10").count() > 0 and sum(r["count"] for r in linked) >= len(texts) // 2
+        assert (tables["open-groups"].count() > 0) == open_
+
+
 def test_near_dedup_repeated_rows_and_null_ids(spark):
     docs = frame(spark, [PROSE, PROSE, PROSE, None, None], [3, 3, None, None, 4])
     got = near_dedup(docs).collect()
