@@ -61,68 +61,113 @@ def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
 
     For segments of length l, the squared distance of two vectors is at least
     the sum of l * ((difference of means)^2 + (difference of deviations)^2).
+    The first segments are the shortest.
     """
-    out = []
-    for part in np.array_split(np.arange(x.shape[1]), min(segments, x.shape[1])):
-        s = x[:, part]
-        out += [s.mean(1) * len(part) ** 0.5, s.std(1) * len(part) ** 0.5]
+    dim = x.shape[1]
+    edges = np.unique(np.round(dim * (np.arange(1, segments + 1) / segments) ** 2).astype(int))
+    out, start = [], 0
+    for end in edges[edges > 0]:
+        s = x[:, start:end]
+        out += [s.mean(1) * (end - start) ** 0.5, s.std(1) * (end - start) ** 0.5]
+        start = end
     return np.stack(out, 1)
 
 
-def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Row-wise integer inner products as int64, held to its range."""
-    if len(q) == 0:
-        return np.empty(0, np.int64)
-    if np.abs(q).max() * np.abs(x).max() * q.shape[1] < 2 ** 53:
-        return np.einsum("ij,ij->i", q, x).astype(np.int64)
-    whole = [sum(int(a) * int(b) for a, b in zip(r, s)) for r, s in zip(q, x)]
-    return np.array([min(max(w, -(1 << 63)), (1 << 63) - 1) for w in whole], np.int64)
+def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """All integer inner products, held to the range of int64; whole numbers below 2^53 are exact in doubles in any order."""
+    if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < 2 ** 53:
+        return (q @ x.T).astype(np.int64)
+    low, high = -(1 << 63), (1 << 63) - 1
+    left, right = ([[int(v) for v in r] for r in m] for m in (q, x))
+    return np.array([[min(max(sum(a * b for a, b in zip(r, s)), low), high) for s in right] for r in left], np.int64)
+
+
+def near_order(x: np.ndarray, size: int) -> np.ndarray:
+    """An order of the rows in which runs of ``size`` lie near each other: halves along the widest axis, again and again."""
+    parts, out = [np.arange(len(x))], []
+    while parts:
+        part = parts.pop()
+        if len(part) <= size:
+            out.append(part)
+            continue
+        own = x[part, np.argmax(x[part].std(0))]
+        half = -(-len(part) // (2 * size)) * size
+        part = part[np.argsort(own, kind="stable")]
+        parts += [part[half:], part[:half]]
+    return np.concatenate(out)
 
 
 class _Best:
-    """The ``k`` highest scores so far of each query of a block."""
+    """The ``k`` highest scores so far of each query of a block.
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
-        self.ids, self.q, self.k = ids, q, k
-        self.norm = (q * q).sum(1)
-        self.features = [segment_features(q, n) for n in LEVELS]
+    Bounds are taken along the queries' principal axes, an orthogonal turn
+    that changes no product: there the first, shortest segments hold most.
+    Queries are compared in tiles of near ones, so that whole tiles fall away.
+    """
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int, tile: int = 32):
+        self.tile = tile
+        size = np.abs(q).max(initial=0) or 1.0
+        self.axes = np.linalg.eigh((q / size).T @ (q / size))[1][:, ::-1]
+        turned = q @ self.axes
+        order = near_order(turned, tile)
+        self.ids, self.q, self.k = ids[order], q[order], k
+        self.slot = order
+        self.norm = (self.q * self.q).sum(1)
+        self.features = [segment_features(turned[order], n) for n in LEVELS]
         self.score = [np.empty(0, np.int64)] * len(ids)
         self.vec = [np.empty(0, np.int64)] * len(ids)
         self.floor = np.full(len(ids), -np.inf)
+        self.seen = self.scored = 0  # pairs in all, and those with an exact score
+
+    def _bounds(self, level: int, rows: np.ndarray, norm: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """Upper bounds of products: lower bounds of squared distances, turned round."""
+        nq, nx = self.norm[rows][:, None], norm[None, :]
+        distance = nq + nx - 2 * (self.features[level][rows] @ features.T)
+        return (nq + nx - distance) / 2 + 1 + 1e-9 * (nq + nx)
 
-    def see(self, ids: np.ndarray, x: np.ndarray, step: int = 1024) -> None:
+    def see(self, ids: np.ndarray, x: np.ndarray, step: int = 256) -> None:
         norm = (x * x).sum(1)
-        order = np.argsort(-norm, kind="stable")  # long vectors raise the floor soonest
-        ids, x, norm = ids[order], x[order], norm[order]
-        features = [segment_features(x, n) for n in LEVELS]
-        for at in range(0, len(ids), step):
-            rows, cols = np.arange(len(self.ids)), np.arange(at, min(at + step, len(ids)))
-            alive = np.ones((len(rows), len(cols)), bool)
-            for fq, fx in zip(self.features, features):
-                # lower bound of the squared distance, hence upper bound of the product
-                nq, nx = self.norm[rows][:, None], norm[cols][None, :]
-                distance = nq + nx - 2 * (fq[rows] @ fx[cols].T)
-                bound = (nq + nx - distance) / 2 + 1 + 1e-9 * (nq + nx)
-                alive &= bound >= self.floor[rows][:, None]
-                r, c = alive.any(1), alive.any(0)
-                rows, cols, alive = rows[r], cols[c], alive[r][:, c]
-                if not len(rows):
+        turned = x @ self.axes
+        features = [segment_features(turned, n) for n in LEVELS]
+        for top in range(0, len(self.ids), self.tile):
+            tile = np.arange(top, min(top + self.tile, len(self.ids)))
+            self.seen += len(tile) * len(ids)
+            coarse = self._bounds(0, tile, norm, features[0])
+            high = coarse.max(0)
+            order = np.argsort(-high, kind="stable")  # the most promising vectors raise the floor soonest
+            for at in range(0, len(ids), step):
+                cols, rows = order[at:at + step], tile
+                if high[cols[0]] < self.floor[tile].min():
                     break
-            i, j = np.nonzero(alive)
-            if not len(i):
-                continue
-            i, j = rows[i], cols[j]
-            own = self.ids[i] == ids[j]
-            i, j = i[~own], j[~own]
-            score = np.concatenate([_exact(self.q[i[a:a + 65536]], x[j[a:a + 65536]]) for a in range(0, len(i), 65536)] or [np.empty(0, np.int64)])
-            start = np.searchsorted(i, np.arange(len(self.ids) + 1))
-            for n in np.unique(i):
-                part = slice(start[n], start[n + 1])
-                s, v = np.append(self.score[n], score[part]), np.append(self.vec[n], ids[j[part]])
-                top = np.lexsort((v, ~s))[:self.k]  # ~s: descending without overflow
-                self.score[n], self.vec[n] = s[top], v[top]
-                if len(top) == self.k:
-                    self.floor[n] = self.score[n][-1]
+                bound = coarse[:, cols]
+                for level in range(len(LEVELS)):
+                    if level:
+                        bound = self._bounds(level, rows, norm[cols], features[level][cols])
+                    alive = bound >= self.floor[rows][:, None]
+                    rows, cols = rows[alive.any(1)], cols[alive.any(0)]
+                    if not len(rows):
+                        break
+                if len(rows):
+                    self._score(rows, ids[cols], x[cols])
+
+    def _score(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        """Exact scores of some queries with some vectors, as one matrix product."""
+        self.scored += len(rows) * len(ids)
+        score = _products(self.q[rows], x)
+        good = self.ids[rows][:, None] != ids[None, :]
+        good &= score >= self.floor[rows][:, None]
+        if len(ids) > self.k + 1:  # one may be the query's own
+            good &= score >= np.partition(score, -self.k - 1, axis=1)[:, -self.k - 1][:, None]
+        i, j = np.nonzero(good)
+        start = np.searchsorted(i, np.arange(len(rows) + 1))
+        for r in np.unique(i):
+            part, n = slice(start[r], start[r + 1]), rows[r]
+            s, v = np.append(self.score[n], score[r, j[part]]), np.append(self.vec[n], ids[j[part]])
+            best = np.lexsort((v, ~s))[:self.k]  # ~s: descending without overflow
+            self.score[n], self.vec[n] = s[best], v[best]
+            if len(best) == self.k:
+                self.floor[n] = self.score[n][-1]
 
 
 def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id",
@@ -132,8 +177,9 @@ def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, scale: i
     Components become floor(scale * x).  Queries and candidates are packed
     into blocks of bounded size, and each pair of blocks is a piece of work
     dealt by a grid key.  In it, segment means and deviations bound each
-    distance from below, coarse to fine, and exact scores are computed only
-    where the bound reaches the query's k-th best so far.
+    distance from below, coarse to fine, along the principal axes of the
+    queries.  Vectors whose bound reaches no k-th best so far fall away; the
+    others are scored exactly, a tile of near queries as one matrix product.
 
     Defined results: rows with a null id, a null or empty vector, or a null
     or non-finite component take no part; vectors of different dimensions
@@ -163,9 +209,9 @@ def top_inner_products(vectors: DataFrame, queries: Column, k: int = 5, scale: i
         def found() -> Iterator[pa.RecordBatch]:
             for key, best in open_.items():
                 n = [len(s) for s in best.score]
-                slot = np.repeat(np.arange(len(n)), n)
+                at = np.repeat(np.arange(len(n)), n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(slot), pa.int64()), pa.array(slot, pa.int32()), pa.array(best.ids[slot], pa.int64()),
+                    [pa.array([key] * len(at), pa.int64()), pa.array(best.slot[at], pa.int32()), pa.array(best.ids[at], pa.int64()),
                      pa.array(np.concatenate(best.vec), pa.int64()), pa.array(np.concatenate(best.score), pa.int64())],
                     names=["block", "slot", "query_id", "vec_id", "score"])
             open_.clear()

@@ -56,6 +56,28 @@ def test_segment_statistics_bound_products():
         assert (bound + 1e-9 >= (x * y).sum(1)).all()
 
 
+def test_bounds_spare_most_exact_scores_of_clustered_vectors():
+    from quarry.llm.topk import _Best
+
+    rng = np.random.default_rng(6)
+    shares = []
+    for noise in (0.05, 0.3):
+        centres = rng.normal(size=(40, 64))
+        x = np.floor(256 * (centres[rng.integers(0, 40, 8000)] + noise * rng.normal(size=(8000, 64))))
+        ids = np.arange(8000)
+        best = _Best(ids[::16], x[::16], 5)
+        for at in range(0, 8000, 3000):
+            best.see(ids[at:at + 3000], x[at:at + 3000])
+        exact = x[::16] @ x.T
+        exact[np.arange(500), ids[::16]] = -np.inf
+        for n, i in enumerate(best.slot):
+            want = np.lexsort((ids, -exact[i]))[:5]
+            assert list(best.vec[n]) == list(want) and list(best.score[n]) == list(exact[i][want])
+        assert best.seen == 500 * 8000
+        shares.append(best.scored / best.seen)
+    assert max(shares) < 0.3, shares
+
+
 PAGES = "page_id long, url string, html string, revisit string, same int, head int"
 
 
