@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -53,20 +54,21 @@ class WordTokenizer:
         if len(self._known) > _LIMIT or self._held > _BYTES:  # words not met since the last turn are forgotten
             self._known, self._before, self._held = {}, self._known, 0
         known, older = self._known, self._before
-        missing = [w for w in distinct if w not in known]
+        coded_words = list(map(known.get, distinct))
+        missing = [n for n, c in enumerate(coded_words) if c is None]
         new = []
-        for w in missing:
-            if w in older:
-                known[w] = older[w]
-                self._held += len(w) + len(older[w])
+        for n in missing:
+            code = older.get(distinct[n])
+            if code is None:
+                new.append(n)
             else:
-                new.append(w)
+                coded_words[n] = code
         for at in range(0, len(new), 20_000):
             part = new[at:at + 20_000]
-            for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
-                self._held += len(w) + len(known[w])
-        coded_words = [known[w] for w in distinct]
+            for n, e in zip(part, self._tokenizer.encode_batch_fast([distinct[n] for n in part], add_special_tokens=False)):
+                coded_words[n] = array("I", e.ids).tobytes()
+        known.update((distinct[n], coded_words[n]) for n in missing)
+        self._held += sum(len(distinct[n]) + len(coded_words[n]) for n in missing)
         flat = np.frombuffer(b"".join(coded_words), np.uint32)
         size = np.fromiter(map(len, coded_words), np.int64, len(coded_words)) // 4
         first = np.cumsum(size) - size
