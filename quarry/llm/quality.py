@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,6 +16,8 @@ from quarry.llm.words import mix, text_runs, word_hashes, word_spans
 SAMPLE = 6000  # labelled documents fitted on, at most
 SAMPLE_LINES = 384_000  # lines of all of them together, at most
 _PLAIN = b".,;:'\"()?-"
+_LINES = 1 << 15  # lines whose features are made at once
+_BYTES = 1 << 22  # and bytes of them, unless one line has more
 
 
 def _counts(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -22,11 +26,21 @@ def _counts(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all lines in a row, their weights (bytes + 1), and each document's first line.
+@dataclass
+class _Behind:
+    """What the lines that follow need of the text before them: its last two words, and the words of its last line."""
 
-    A line's features are its own, and those of the lines before and behind
-    it in its document.
+    words: np.ndarray
+    content: np.uint64
+
+
+def _own_features(data: np.ndarray, offsets: np.ndarray, behind: _Behind | None = None):
+    """Features of all lines in a row that need no line around them.
+
+    Returns those that only count for the line itself, those that its
+    neighbours see too, the weights (bytes + 1), each document's first line,
+    and what a further piece of the last document needs.  ``behind`` is that
+    of the piece of the first document before.
     """
     breaks = np.flatnonzero(data == 10)
     docs = len(offsets) - 1
@@ -43,10 +57,13 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     hashes = word_hashes(data, ws, we)
     word_doc = np.searchsorted(offsets, ws, "right") - 1
     word_line = np.searchsorted(starts, ws, "right") - 1
-    again = np.zeros((2, len(hashes)), bool)
+    earlier = behind.words if behind else np.empty(0, np.uint64)
+    row, row_doc = np.concatenate([earlier, hashes]), np.concatenate([np.zeros(len(earlier), np.int64), word_doc])
+    again = np.zeros((2, len(row)), bool)
     for d in (1, 2):
-        if len(hashes) > d:
-            again[d - 1, d:] = (hashes[d:] == hashes[:-d]) & (word_doc[d:] == word_doc[:-d])
+        if len(row) > d:
+            again[d - 1, d:] = (row[d:] == row[:-d]) & (row_doc[d:] == row_doc[:-d])
+    again = again[:, len(earlier):]
     n = len(starts)
     words = np.bincount(word_line, minlength=n)
     rep1 = np.bincount(word_line, again[0], n)
@@ -68,17 +85,39 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     size = ends - starts
     same = np.zeros(n)
     same[1:] = (content[1:] == content[:-1]) & (owner[1:] == owner[:-1]) & (words[1:] > 0)
+    if behind:
+        same[0] = content[0] == behind.content and words[0] > 0
     own = np.stack([
         upper / (upper + lower + 1), symbol / (size + 1), pipe / (words + 1), bang / (words + 1), digit / (size + 1),
         rep1 / (words + 1), rep2 / (words + 1), same, (words == 0).astype(float), (words <= 3).astype(float),
     ], 1)
-    before, behind = np.zeros_like(own), np.zeros_like(own)
-    if n > 1:
-        joined = (owner[1:] == owner[:-1])[:, None]
-        before[1:] = own[:-1] * joined
-        behind[:-1] = own[1:] * joined
     alone = np.stack([np.ones(n), np.log1p(size) / 5, np.minimum(size / (words + 1), 40) / 10], 1)
-    return np.concatenate([alone, own, before, behind], 1), size + 1.0, first
+    return alone, own, size + 1.0, first, _Behind(row[row_doc == docs - 1][-2:], content[-1])
+
+
+def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of all lines in a row, their weights (bytes + 1), and each document's first line.
+
+    A line's features are its own, and those of the lines before and behind
+    it in its document.
+    """
+    alone, own, weight, first, _ = _own_features(data, offsets)
+    before, behind = np.zeros_like(own), np.zeros_like(own)
+    before[1:], behind[:-1] = own[:-1], own[1:]
+    before[first[:-1]] = 0
+    behind[first[1:] - 1] = 0
+    return np.concatenate([alone, own, before, behind], 1), weight, first
+
+
+def _groups(data: np.ndarray, offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first document, end) of documents in a row with at most ``most`` lines together, or one with more."""
+    breaks = np.flatnonzero(data == 10)
+    lines = np.searchsorted(breaks, offsets) + np.arange(len(offsets))  # of all documents before
+    at = 0
+    while at < len(offsets) - 1:
+        end = max(at + 1, int(np.searchsorted(lines, lines[at] + most, "right")) - 1)
+        yield at, end
+        at = end
 
 
 WIDTH = 3 + 3 * 10
@@ -144,11 +183,80 @@ def _marginals(model: QualityModel, x: np.ndarray, first: np.ndarray) -> tuple[n
     return good, pairs
 
 
-def document_scores(model: QualityModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Mean marginal of "good" over each document's lines, weighted by their lengths."""
-    x, weight, first = line_features(data, offsets)
-    good, _ = _marginals(model, x, first)
-    return np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1])
+def _pieces(data: np.ndarray, lines: int, size: int) -> Iterator[np.ndarray]:
+    """A text in pieces of whole lines, at most ``lines`` and ``size`` bytes, or one line; the line end between two pieces is in neither."""
+    ends = np.append(np.flatnonzero(data == 10), len(data))
+    at = start = 0
+    while at < len(ends):
+        end = min(at + lines, max(at + 1, int(np.searchsorted(ends, start + size, "right"))), len(ends))
+        yield data[start:ends[end - 1]]
+        at, start = end, int(ends[end - 1]) + 1
+
+
+def _line_scores(model: QualityModel, data: np.ndarray, lines: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Score of "good" and weight of each line of one text, whose features are made piece by piece."""
+    weights = model.weights / model.scale
+    const = -float(model.mean @ weights)
+    parts = np.split(weights, [3, 3 + 10, 3 + 20])  # of the line alone, its own, and those before and behind it
+    scores, sizes, state, edge = [], [], None, None
+    for piece in _pieces(data, lines, size):
+        alone, own, weight, _, state = _own_features(piece, np.array([0, len(piece)]), state)
+        score = alone @ parts[0] + own @ parts[1] + const
+        score[1:] += own[:-1] @ parts[2]
+        score[:-1] += own[1:] @ parts[3]
+        if edge is not None:
+            score[0] += edge @ parts[2]
+            scores[-1][-1] += own[0] @ parts[3]
+        edge = own[-1].copy()
+        scores.append(score)
+        sizes.append(weight)
+    return np.concatenate(scores), np.concatenate(sizes)
+
+
+def _ahead(odds: float, a: float, b: float, c: float, d: float) -> float:
+    """log((a + b e^odds) / (c + d e^odds))"""
+    if odds > 0:
+        r = math.exp(-odds)
+        return math.log((a * r + b) / (c * r + d))
+    r = math.exp(odds)
+    return math.log((a + b * r) / (c + d * r))
+
+
+def _long_chain(score: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Log marginal odds of "good" along one chain, as ``_chain`` has them; messages are log odds, one number a line."""
+    (bb, bg), (gb, gg) = np.exp(moves).tolist()
+    odds = np.empty(len(score))
+    message = 0.0
+    for i in range(len(score)):  # what the lines before say
+        odds[i] = message + score[i]
+        message = _ahead(odds[i], bg, gg, bb, gb)
+    message = 0.0
+    for i in range(len(score) - 1, -1, -1):  # what the lines behind say
+        odds[i] += message
+        message = _ahead(message + score[i], gb, gg, bb, bg)
+    return odds
+
+
+def document_scores(model: QualityModel, data: np.ndarray, offsets: np.ndarray, lines: int = _LINES, size: int = _BYTES) -> np.ndarray:
+    """Mean marginal of "good" over each document's lines, weighted by their lengths.
+
+    Documents are taken together while they have at most ``lines`` lines.
+    One with more is taken in pieces of as many lines or ``size`` bytes, each
+    with what it needs of its neighbours, and its messages are numbers: some
+    50 bytes a line stay in memory.
+    """
+    found = []
+    for lo, hi in _groups(data, offsets, lines):
+        part, ends = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+        if hi == lo + 1 and np.count_nonzero(part == 10) >= lines:
+            score, weight = _line_scores(model, part, lines, size)
+            good = 1 / (1 + np.exp(-np.clip(_long_chain(score, model.moves), -500, 500)))
+            found.append([(good @ weight) / weight.sum()])
+        else:
+            x, weight, first = line_features(part, ends)
+            good, _ = _marginals(model, x, first)
+            found.append(np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1]))
+    return np.concatenate(found) if found else np.empty(0)
 
 
 def _fit(x: np.ndarray, weight: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int = 3, steps: int = 60) -> QualityModel:
@@ -220,9 +328,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines:
     def features(batches):
         for batch in batches:
             for lo, hi, data, offsets in text_runs(batch.column("text")):
-                x, weight, first = line_features(data, offsets)
-                both = np.concatenate([x, weight[:, None]], 1).astype("<f4")
-                rows = [both[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                rows = []
+                for a, b in _groups(data, offsets, _LINES):
+                    x, weight, first = line_features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                    both = np.concatenate([x, weight[:, None]], 1).astype("<f4")
+                    rows += [both[f:l].tobytes() for f, l in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("quality").slice(lo, hi - lo).cast(pa.int32()), pa.array(rows, pa.binary())], names=["quality", "x"])
 
     found = sorted(((r.quality, bytes(r.x)) for r in chosen.mapInArrow(features, "quality int, x binary").collect()), key=lambda r: r[1])

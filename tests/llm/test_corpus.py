@@ -96,6 +96,29 @@ def test_scores_against_a_plain_reading(spark):
         assert abs(spark.createDataFrame([(text,)], "t string").select(quality_score(F.col("t"), model)).first()[0] - want) < 1e-9
 
 
+def test_long_texts_are_scored_piece_by_piece():
+    """The same scores as all lines at once, whatever the pieces; a million lines in bounded memory."""
+    import tracemalloc
+
+    from quarry.llm.quality import document_scores
+
+    rng = np.random.default_rng(5)
+    model = QualityModel(rng.normal(size=WIDTH), rng.normal(size=(2, 2)), rng.normal(size=WIDTH) * 0.1, 1 + rng.random(WIDTH))
+    some = ["", "", "a", "b", "a b", "a a a", "fine words, here.", "BAD!! | 12", "x|y|z"]
+    for n in (1, 2, 3, 40, 200):
+        texts = ["\n".join(rng.choice(some, n)).encode(), b"", "\n".join(rng.choice(some, 3)).encode(), b"\n" * n, "\n".join(rng.choice(some, n)).encode()]
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        want = document_scores(model, data, offsets)
+        for lines, size in ((1, 1), (2, 1 << 20), (7, 10), (50, 1 << 20)):
+            assert np.allclose(document_scores(model, data, offsets, lines, size), want, rtol=0, atol=1e-9)
+    data = np.frombuffer(b"some words, and more.\n" * 1_000_000, np.uint8)
+    tracemalloc.start()
+    score = document_scores(model, data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 <= score[0] <= 1 and peak < 200 << 20
+
+
 def test_whole_documents_are_fitted_on_within_a_budget_of_lines(spark, monkeypatch):
     from quarry.llm import quality as module
 
