@@ -128,6 +128,15 @@ ORACLE_SQL = {
                    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 5""",
+    "op3_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS newest FROM pages),
+             h AS (SELECT page_id, newest, strlen(payload) AS payload_bytes, sha1(payload) AS hx FROM p)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(hx, 5 * (i // 4)::INTEGER + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> newest THEN newest END AS refers_to
+        FROM h""",
     "op7_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
