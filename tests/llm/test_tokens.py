@@ -16,7 +16,8 @@ from quarry.llm.records import read_records, read_shuffled, write_records
 from quarry.llm.tokens import WordTokenizer
 
 BYTES, WORDS = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
-ODD = ["a b c", "x  y", "é è　ö z", "<|endoftext|> a", " lead", "trail  ", "\n\n a\t\tb\r\nc", "don't 's 12 345", "\u0085 b", "é ́x", "日本 語", "\x1c a\x1c b", "ΣΑΣ σας", "İ i"]
+ODD = ["a b c", "x  y", "é è　ö z", "<|endoftext|> a", " lead", "trail  ", "\n\n a\t\tb\r\nc", "don't 's 12 345", "\u0085 b", "é ́x", "日本 語", "\x1c a\x1c b", "ΣΑΣ σας", "İ i",
+       "a \0 b", " \0", "a \0", " a\0 b \0\0 c", "é à Àb, ×÷ ñ. ǅ ŉ \u0301a"]
 
 
 def ids(path, texts):
@@ -28,7 +29,7 @@ def ids(path, texts):
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_words_apart_give_the_same_ids(path):
     rng = random.Random(3)
-    alphabet = list("aé \n\t\r'.!1S") + [" ", " ", "　", "ß", "́", "the", "  "]
+    alphabet = list("aé \n\t\r'.!1S\0") + [" ", " ", "　", "ß", "́", "the", "  "]
     texts = [x or "" for x in awkward()] + ODD + ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(500)]
     coded = [x.encode() for x in texts]
     offsets = np.cumsum([0, *map(len, coded)])
