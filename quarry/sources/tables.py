@@ -3,9 +3,11 @@
 Reads are lazy: a ``Tables`` object only resolves paths, and Catalyst prunes
 the columns each query uses and pushes its filters into the parquet scan.
 
-A ``Tables`` object resolves each table's schema once: its later reads pass it
-to the reader, which then plans without the footer-reading job that schema
-inference starts.  A new object sees changed files anew.
+A table's schema is resolved once in an application: later reads pass it to
+the reader, which then plans without the footer-reading job that schema
+inference starts.  A ``Tables`` object keeps its schemas; a new one asks for
+the file's time of change and length, and resolves the schema anew where these
+differ, for folders, and where the store gives no time of change.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+_RESOLVED: dict[tuple, StructType] = {}  # by application, path, its time of change and length
+_MOST_RESOLVED = 10_000
+
 
 class Tables:
     """``Tables(spark, "/data/sf0.1").orders`` -> DataFrame of orders.parquet.
@@ -47,11 +52,19 @@ class Tables:
             raise KeyError(f"unknown table {name!r}")
         if self.root.startswith("table:"):
             return self.spark.table(f"{self.root[6:]}_{name}")
+        path = self.path(name)
         if name not in self._schemas:
-            df = self.spark.read.parquet(self.path(name))
-            self._schemas[name] = df.schema
-            return df
-        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
+            key = _state(self.spark, path)
+            if key not in _RESOLVED:
+                df = self.spark.read.parquet(path)
+                self._schemas[name] = df.schema
+                if key is not None:
+                    if len(_RESOLVED) >= _MOST_RESOLVED:
+                        _RESOLVED.clear()
+                    _RESOLVED[key] = df.schema
+                return df
+            self._schemas[name] = _RESOLVED[key]
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -84,6 +97,24 @@ def write_bucketed(tables: Tables, prefix: str, buckets: int = 64, keys: dict[st
     return Tables(tables.spark, f"table:{prefix}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    store, where = _store(spark, path)
+    return store.exists(where)
+
+
+def _state(spark: SparkSession, path: str) -> tuple | None:
+    """What tells a file as it is from one changed later; None for a folder (changes deep inside it may not show) or without a time of change."""
+    store, where = _store(spark, path)
+    if not store.exists(where):
+        return None
+    status = store.getFileStatus(where)
+    changed = status.getModificationTime()
+    if status.isDirectory() or not changed:
+        return None
+    return spark.sparkContext.applicationId, path, changed, status.getLen()

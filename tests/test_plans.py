@@ -100,3 +100,19 @@ def test_bucketed_tables_are_joined_and_grouped_without_exchange(spark, tmp_path
         spark.sql("DROP DATABASE bucket_test CASCADE")
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_a_changed_file_has_its_new_schema(spark, tmp_path):
+    import os
+
+    from quarry.sources import Tables
+
+    spark.range(3).toPandas().to_parquet(tmp_path / "part.parquet")
+    assert Tables(spark, str(tmp_path)).part.columns == ["id"] == Tables(spark, str(tmp_path)).part.columns
+    spark.range(3).selectExpr("id AS other", "'x' AS more").toPandas().to_parquet(tmp_path / "part.parquet")
+    os.utime(tmp_path / "part.parquet", (1, 1))
+    assert Tables(spark, str(tmp_path)).part.columns == ["other", "more"]
+    spark.range(3).write.parquet(str(tmp_path / "orders.parquet"))  # a folder is asked each time
+    assert Tables(spark, str(tmp_path)).orders.columns == ["id"]
+    spark.range(3).selectExpr("id AS other").write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    assert Tables(spark, str(tmp_path)).orders.columns == ["other"]
