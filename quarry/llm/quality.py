@@ -17,7 +17,7 @@ SAMPLE = 6000  # labelled documents fitted on, at most
 SAMPLE_LINES = 384_000  # lines of all of them together, at most
 _PLAIN = b".,;:'\"()?-"
 _LINES = 1 << 15  # lines whose features are made at once
-_BYTES = 1 << 22  # and bytes of them, unless one line has more
+_BYTES = 1 << 20  # and bytes of them, unless one line has more
 
 
 def _counts(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:

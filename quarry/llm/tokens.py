@@ -9,13 +9,70 @@ from array import array
 import numpy as np
 import pyarrow as pa
 
-_LIMIT = 500_000  # words of each of the two generations that a worker remembers
-_BYTES = 64 << 20  # and bytes of them and their ids
+from quarry.llm.words import word_hashes
+
+_BYTES = 24 << 20  # memory of each of the two generations of words that a worker remembers, but for one run of texts more
 _TOGETHER = 1000  # words encoded at once
 _PLAIN = re.compile("(?: [!-~\u00c0-\u024f]+)").fullmatch  # a blank and a word of characters that neither compose nor hide a white space
 _MARK = " \0"
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of ranges, one behind the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class _Remembered:
+    """Words and their ids in arrays: some 45 bytes a word, where a dict of objects takes 250.
+
+    A word is found by a hash and then compared as a whole.  Of different
+    words with one hash only the first is found again.
+    """
+
+    def __init__(self):
+        self._hashes, self._number = np.empty(0, np.uint64), np.empty(0, np.int32)  # in the order of hashes
+        self._text, self._text_at = np.empty(0, np.uint8), np.zeros(1, np.int64)  # in the order of numbers
+        self._ids, self._ids_at = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self._hashes, self._number, self._text, self._text_at, self._ids, self._ids_at))
+
+    def find(self, hashes: np.ndarray, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each word (none empty), or -1."""
+        found = np.full(len(hashes), -1, np.int64)
+        if len(self._hashes) == 0 or len(hashes) == 0:
+            return found
+        at = np.searchsorted(self._hashes, hashes)
+        at[at == len(self._hashes)] = 0
+        number = self._number[at]
+        like = np.flatnonzero((self._hashes[at] == hashes) & (self._text_at[number + 1] - self._text_at[number] == sizes))
+        if len(like):
+            n = sizes[like]
+            same = self._text[_ranges(self._text_at[number[like]], n)] == text[_ranges(starts[like], n)]
+            like = like[np.logical_and.reduceat(same, np.cumsum(n) - n)]
+            found[like] = number[like]
+        return found
+
+    def add(self, hashes: np.ndarray, text: np.ndarray, sizes: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The numbers of further words."""
+        numbers = np.arange(len(self._hashes), len(self._hashes) + len(hashes))
+        order = np.argsort(hashes)
+        at = np.searchsorted(self._hashes, hashes[order], "right")
+        self._hashes, self._number = np.insert(self._hashes, at, hashes[order]), np.insert(self._number, at, numbers[order])
+        self._text, self._ids = np.concatenate([self._text, text]), np.concatenate([self._ids, ids])
+        self._text_at = np.append(self._text_at, self._text_at[-1] + np.cumsum(sizes))
+        self._ids_at = np.append(self._ids_at, self._ids_at[-1] + np.cumsum(n))
+        return numbers
+
+    def codes(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words in a row, and how many each has."""
+        first = self._ids_at[numbers]
+        n = self._ids_at[numbers + 1] - first
+        return self._ids[_ranges(first, n)], n
+
+
 class WordTokenizer:
     """Encodes texts exactly as the file's tokenizer does, word by word.
 
@@ -33,9 +90,7 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
-        self._held = 0
+        self._known, self._before = _Remembered(), _Remembered()
         self._mark = self._ids(_MARK)
         odd = [t for t in self._mark if t not in self._ids(" ")]
         self._odd = odd[0] if len(odd) == 1 and self._ids(f" a{_MARK} b") == self._ids(" a") + self._mark + self._ids(" b") else None
@@ -82,32 +137,29 @@ class WordTokenizer:
         bounds = np.append(starts, len(data)).astype(np.int32)
         words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
         coded = words.dictionary_encode()
-        distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        if len(self._known) > _LIMIT or self._held > _BYTES:  # words not met since the last turn are forgotten
-            self._known, self._before, self._held = {}, self._known, 0
+        distinct, which = coded.dictionary, coded.indices.to_numpy()
+        _, bounds, text = distinct.buffers()
+        bounds, text = np.frombuffer(bounds, np.int32)[:len(distinct) + 1].astype(np.int64), np.frombuffer(text, np.uint8)
+        begin, size = bounds[:-1], np.diff(bounds)
+        hashes = word_hashes(text, begin, bounds[1:], lower=False)
+        if self._known.nbytes > _BYTES:  # words not met since the last turn are forgotten
+            self._known, self._before = _Remembered(), self._known
         known, older = self._known, self._before
-        coded_words = list(map(known.get, distinct))
-        missing = [n for n, c in enumerate(coded_words) if c is None]
-        new = []
-        for n in missing:
-            code = older.get(distinct[n])
-            if code is None:
-                new.append(n)
-            else:
-                coded_words[n] = code
-        for at in range(0, len(new), _TOGETHER):
-            part = new[at:at + _TOGETHER]
-            for n, code in zip(part, self._codes([distinct[n] for n in part])):
-                coded_words[n] = code
-        known.update((distinct[n], coded_words[n]) for n in missing)
-        self._held += sum(len(distinct[n]) + len(coded_words[n]) for n in missing)
-        flat = np.frombuffer(b"".join(coded_words), np.uint32)
-        size = np.fromiter(map(len, coded_words), np.int64, len(coded_words)) // 4
-        first = np.cumsum(size) - size
-        n = size[which]
+        held = known.find(hashes, text, begin, size)
+        new = np.flatnonzero(held < 0)
+        place = older.find(hashes[new], text, begin[new], size[new])
+        again, place, new = new[place >= 0], place[place >= 0], new[place < 0]
+        if len(again):
+            held[again] = known.add(hashes[again], text[_ranges(begin[again], size[again])], size[again], *older.codes(place))
+        if len(new):
+            codes: list[bytes] = []
+            for at in range(0, len(new), _TOGETHER):
+                codes += self._codes(distinct.take(pa.array(new[at:at + _TOGETHER])).to_pylist())
+            n = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+            held[new] = known.add(hashes[new], text[_ranges(begin[new], size[new])], size[new], np.frombuffer(b"".join(codes), np.uint32), n)
+        ids, n = known.codes(held[which])
         at = np.cumsum(n) - n
-        total = int(n.sum())
-        ids = flat[np.repeat(first[which] - at, n) + np.arange(total)]
+        total = len(ids)
         doc_word = np.searchsorted(starts, offsets)  # the first word of each document
         return ids, np.append(at, total)[doc_word]
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_PIECE = 1 << 20  # bytes hashed at once
+_PIECE = 1 << 18  # bytes hashed at once
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -44,7 +44,7 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def text_runs(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_runs(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows with at most ``limit`` bytes, one row at least; null is empty."""
     texts = texts.fill_null("") if texts.null_count else texts
     if len(texts) == 0:
@@ -75,8 +75,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word with A-Z lowered."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of every word, with A-Z lowered unless ``lower`` is false."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     with np.errstate(over="ignore"):
@@ -84,7 +84,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             end = max(at + 1, int(np.searchsorted(ends, starts[at] + _PIECE, "right")))
             lo, hi = starts[at], ends[end - 1]
             piece = data[lo:hi]
-            piece = piece + ((piece >= 65) & (piece <= 90)).astype(np.uint8) * np.uint8(32)
+            if lower:
+                piece = piece + ((piece >= 65) & (piece <= 90)).astype(np.uint8) * np.uint8(32)
             up, down = _pows(len(piece) + 1)
             total = np.zeros(len(piece) + 1, np.uint64)
             np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[:len(piece)], out=total[1:])
