@@ -14,6 +14,7 @@ from quarry.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+_PART_ROWS = 1 << 14  # rows in a part of a small table
 
 
 def shared_path(spark: SparkSession, what: str) -> str:
@@ -35,6 +36,16 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_parts(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have at most ``rows`` rows, in parts of some _PART_ROWS rows where these are fewer than shuffle partitions.
+
+    A small table is then written as few files, not as a tiny one a partition;
+    what computes its rows keeps its own partitions.
+    """
+    parts = rows // _PART_ROWS + 1
+    return df.repartition(parts) if parts < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def whole_row(docs: DataFrame) -> Column:
     """All columns of a row as one struct, so that no name of theirs can clash."""
     return F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])

@@ -10,10 +10,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialise
-from quarry.llm.letters import PIECE, Words, word_runs
+from quarry.llm.common import few_parts, materialise
+from quarry.llm.letters import Words, word_runs
 from quarry.llm.words import grams, mix, word_hashes
 
+PIECE = 1 << 20  # bytes looked at together, unless one word is longer: arrays of a piece are many times as large
 _MOST_SLOTS = 1 << 27  # bits of the filter that every task gets: 16 MB at most
 _BLOCK = 1 << 16  # words of a document whose hits are counted together
 _BATCH = 10_000
@@ -86,9 +87,10 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str, piec
                                   "n": pa.array(ends[s] - s, pa.int32())})
 
     held = materialise(rows.mapInArrow(cut, "item string, window binary, n int"), "item-windows")
-    distinct = held.select("window", "n").distinct()
+    most = held.count()
+    distinct = few_parts(held.select("window", "n").distinct(), most)
     distinct = materialise(distinct.withColumn("wid", F.monotonically_increasing_id()), "windows")
-    return distinct, materialise(held.join(distinct, ["window", "n"]).select("wid", "item").distinct(), "window-items")
+    return distinct, materialise(few_parts(held.join(distinct, ["window", "n"]).select("wid", "item").distinct(), most), "window-items")
 
 
 def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
@@ -187,12 +189,12 @@ def window_occurrences(docs: DataFrame, items: DataFrame, window: int = 10, shin
     windows, owners = item_windows(items, window, item_col, item_text, piece)
     shingles = materialise(_window_shingles(windows, shingle), "window-shingles")
     widths = sorted(r["width"] for r in shingles.select("width").distinct().collect())  # ``shingle`` of them at most
-    often = materialise(_frequencies(rows, shingles, widths, piece), "shingle-counts")
+    often = materialise(few_parts(_frequencies(rows, shingles, widths, piece), shingles.count()), "shingle-counts")
     # a window with a shingle that no document has occurs nowhere
     known = shingles.join(often, "h", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rarest = known.groupBy("wid").agg(F.min(F.struct("n", "h", "p", "lead", "width")).alias("s")).filter("s.n > 0")
     prefixes = rarest.join(windows, "wid").select("wid", "s.h", "s.width", "s.p", F.col("s.lead").alias("skip"), "window", F.col("n").alias("size"))
-    prefixes = materialise(prefixes, "window-prefixes")
+    prefixes = materialise(few_parts(prefixes, windows.count()), "window-prefixes")
     widths = sorted(r["width"] for r in prefixes.select("width").distinct().collect())
     found = materialise(_hits(rows, prefixes, widths, window, piece), "prefix-hits")
     places = found.filter(F.col("h").isNotNull()).select("row", "h", "pos", "after", "lead", "near")
@@ -238,5 +240,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     rows, spans, owners = window_occurrences(docs, items, window, shingle, id_col, text_col, item_col, item_text, piece)
     found = spans.join(owners, "wid").select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
     out = rows.join(covered_words(spans), "row", "left").join(found, "row", "left")
-    return out.select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                      F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    out = out.select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                     F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return few_parts(out, rows.count())

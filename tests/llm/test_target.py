@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 from helpers import SCHEMA, awkward, frame, lower
-from quarry.llm import clustering, decontamination
+from quarry.llm import clustering, common, decontamination
 from quarry.llm.clustering import _limbs, cluster_vectors, nearest
 from quarry.llm.decontamination import covered_words, decontaminate
 from quarry.llm.letters import word_runs
@@ -175,6 +176,38 @@ def test_a_hot_passage_and_a_long_document(spark):
     assert got[400]["n_hit"] == 45_000 == got[400]["n_words"]
 
 
+def test_tables_of_a_small_benchmark_are_few_files(spark, monkeypatch, tmp_path):
+    """Not a tiny file a shuffle partition: each costs a task three started processes on a local disk."""
+    many = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in many}
+    monkeypatch.setattr(common, "shared_path", lambda _, what: str(tmp_path / what))
+    rng = random.Random(9)
+    try:
+        for key, value in many.items():
+            spark.conf.set(key, value)
+        items = [" ".join(f"w{rng.randrange(300)}" for _ in range(60)) for _ in range(12)]
+        found = decontaminate(frame(spark, [*items, "no hit"]), items_of(spark, items))
+        assert {r["id"]: r["n_hit"] for r in found.collect()} == {**dict.fromkeys(range(12), 60), 12: 0}
+        assert found.rdd.getNumPartitions() == 1
+        for what in ("windows", "window-items", "window-shingles", "shingle-counts", "window-prefixes"):
+            assert len(list((tmp_path / what).glob("part-*"))) <= 2, what
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+def test_a_piece_of_text_needs_little_memory():
+    text = " ".join(f"word{i % 5000}" for i in range(800_000))
+    tracemalloc.start()
+    try:
+        n = sum(len(decontamination.shingle_hashes(run, 5)[0]) for run in word_runs(pa.array([text[:4 << 20]] * 2), 9, decontamination.PIECE))
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert n == 2 * (len(text[:4 << 20].split()) - 4)
+    assert most < 80 << 20
+
+
 def test_spans_that_overlap_count_once(spark):
     spans = [(1, 0, 3), (1, 2, 4), (1, 3, 1), (1, 65530, 20), (1, 65540, 3), (2, 65535, 2)]
     got = covered_words(spark.createDataFrame(spans, "row long, start long, n int")).collect()
