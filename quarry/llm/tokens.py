@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -14,7 +15,10 @@ from quarry.llm.words import word_hashes
 _BYTES = 24 << 20  # memory of each of the two generations of words that a worker remembers, but for one run of texts more
 _TOGETHER = 1000  # words encoded at once
 _PLAIN = re.compile("(?: [!-~\u00c0-\u024f]+)").fullmatch  # a blank and a word of characters that neither compose nor hide a white space
+_LETTERS = re.compile("(?: [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u023f]+)").fullmatch  # a blank and letters that lower to letters
 _MARK = " \0"
+_STOP = np.zeros(256, bool)
+_STOP[list(b",.;:!?)\"")] = True
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -73,11 +77,22 @@ class _Remembered:
         return self._ids[_ranges(first, n)], n
 
 
+def _after_letter(data: np.ndarray) -> np.ndarray:
+    """For each byte but the first: whether a letter of U+0041 to U+023F that lowers to one letter ends before it."""
+    before, lead = data[:-1], data[:-2]
+    low = before | np.uint8(32)
+    out = (low >= 97) & (low <= 122)
+    other = ((lead == 0xC3) & ((before[1:] == 0x97) | (before[1:] == 0xB7))) | ((lead == 0xC4) & (before[1:] == 0xB0))  # signs, and the dotted I
+    out[1:] |= (before[1:] >= 128) & (lead >= 0xC3) & (lead <= 0xC8) & ~other
+    return out
+
+
 class WordTokenizer:
     """Encodes texts exactly as the file's tokenizer does, word by word.
 
     A cut is made only before a blank, tab or line end whose left neighbour
-    is surely no white space.  Neither kind of pre-tokenizer used here (byte
+    is surely no white space, and between a letter and a mark such as a comma.
+    Neither kind of pre-tokenizer used here (byte
     level with leading blank, or words with white space dropped) makes a
     token across such a place, so the pieces can be encoded apart, and each
     distinct piece only once.  Strings that look like special tokens are
@@ -94,6 +109,20 @@ class WordTokenizer:
         self._mark = self._ids(_MARK)
         odd = [t for t in self._mark if t not in self._ids(" ")]
         self._odd = odd[0] if len(odd) == 1 and self._ids(f" a{_MARK} b") == self._ids(" a") + self._mark + self._ids(" b") else None
+        self._edge, self._at_end = self._edges()
+
+    def _edges(self) -> tuple[np.ndarray | None, bool]:
+        """Which ids stand at the one edge of each word of letters, and whether that edge is its end.
+
+        A model with a suffix for words has it in the last id of a word, a byte-level one the blank in the first.
+        """
+        suffix = json.loads(self._tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        edge[[n for t, n in vocabulary.items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]] = True
+        apart = [np.array(self._ids(w)) for w in (" a", " Word", " \u00c9t\u00e9", " zqxJjv", " \u023f\u0131", " unbelievably")]
+        alone = all(edge[x].sum() == 1 and edge[x[-1 if suffix else 0]] for x in apart)
+        return (edge, bool(suffix)) if alone else (None, False)
 
     def _ids(self, text: str) -> list[int]:
         return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -101,12 +130,23 @@ class WordTokenizer:
     def _codes(self, words: list[str]) -> list[bytes]:
         """The ids of each word.
 
-        Plain words are encoded as one text, with a blank and a NUL behind
+        Words of letters are encoded as one text: each is one word to the
+        pre-tokenizer, so the ids at its edges tell the words' ids apart.
+        Plain words are, too, with a blank and a NUL behind
         each: no token crosses a blank, and only these marks hold the token of
-        NUL, which tells the words' ids apart.  All others are encoded apart.
+        NUL.  All others are encoded apart.
         """
         codes: list[bytes | None] = [None] * len(words)
-        plain = [n for n, w in enumerate(words) if _PLAIN(w)] if self._odd is not None else []
+        letters = [n for n, w in enumerate(words) if _LETTERS(w)] if self._edge is not None else []
+        if letters:
+            ids = np.array(self._ids("".join([words[n] for n in letters])), np.uint32)
+            edges = np.flatnonzero(self._edge[ids])
+            if len(edges) == len(letters):
+                bounds = np.append(0, edges + 1) if self._at_end else np.append(edges, len(ids))
+                bounds, raw = (bounds * 4).tolist(), ids.tobytes()
+                for n, a, b in zip(letters, bounds, bounds[1:]):
+                    codes[n] = raw[a:b]
+        plain = [n for n, w in enumerate(words) if codes[n] is None and _PLAIN(w)] if self._odd is not None else []
         if plain:
             ids = np.array(self._ids("".join([words[n] + _MARK for n in plain])), np.uint32)
             ends = np.flatnonzero(ids == self._odd) - self._mark.index(self._odd)
@@ -130,7 +170,7 @@ class WordTokenizer:
         high = before >= 128  # the last byte of a longer character: no white space unless a lead byte of one precedes it
         odd = np.isin(data[:-2], (0xC2, 0x80, 0x81, 0x9A)) if len(data) > 2 else np.zeros(0, bool)
         sure[1:] |= high[1:] & ~odd if len(data) > 2 else False
-        cut[1:] = blank & sure
+        cut[1:] = blank & sure | _STOP[data[1:]] & _after_letter(data)
         cut[offsets[:-1][offsets[:-1] < len(data)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))

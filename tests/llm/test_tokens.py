@@ -37,6 +37,42 @@ def test_words_apart_give_the_same_ids(path):
     assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == ids(path, texts)
 
 
+def encoded(tokenizer, texts):
+    coded = [x.encode() for x in texts]
+    flat, at = tokenizer.encode(np.frombuffer(b"".join(coded), np.uint8), np.cumsum([0, *map(len, coded)]))
+    return [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_marks_behind_letters_give_the_same_ids(path):
+    """Every character up to U+0260 and some beyond, as a letter may stand before a comma, in words of letters and in others."""
+    rng = random.Random(8)
+    some = [chr(c) for c in [*range(0x20, 0x260), 0x301, 0x307, 0x345, 0x3a3, 0x2019, 0x2028, 0x3000, 0xfb01, 0x1f600]]
+    texts = [f"x{c}, y {c}. {c}{c}! a{c}b:{c}'s?{c}\u0301,{c},\u0307; ({c}) \"{c}\"\n{c}" for c in some]
+    texts += [" ".join(f"ab{c} {c}z" for c in some), ",", "a", "é", "a,", "é,", ",é", ""]
+    texts += ["".join(rng.choices([*some, *" ,.;:!?)\"'a" * 12], k=rng.randrange(50))) for _ in range(1500)]
+    assert encoded(WordTokenizer(path), texts) == ids(path, texts)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_word_before_marks_is_encoded_once(path):
+    """Words of letters need no marks between, and a comma behind one makes no other word of it."""
+    rng = random.Random(2)
+    vocabulary = ["".join(rng.choices("abcdeéñß", k=9)) for _ in range(300)]
+    text = "".join(f" {w}{m}" for w in vocabulary for m in ("", *",.;:!?)\""))
+    tokenizer, given = WordTokenizer(path), []
+    library = tokenizer._tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    tokenizer._tokenizer = Counting()
+    assert encoded(tokenizer, [text]) == ids(path, [text])
+    assert sum(map(len, given)) <= 300 * 10 + 8
+
+
 def check_packing(rows, want, length=1024):
     cover, windows_ = {}, {}
     for r in rows:
